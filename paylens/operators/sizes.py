@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,11 +13,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder, or a local one where the session names none (tests, a laptop)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paylens-")
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Checkpoint into the cluster's shared folder, so several actions reuse one computation and lost executors
-    cost nothing. A folder is chosen here only where the session names none (tests, a laptop)."""
+    """Checkpoint into the shared folder, so several readers reuse one computation and a lost executor costs
+    nothing."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="paylens-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -67,10 +67,10 @@ def label_day(raw: DataFrame, kept: DataFrame, store: str, dt: str, labeller: la
 
 def daily_run(spark: SparkSession, landing: str, store: str, dt: str, rates: DataFrame,
               registry: DataFrame | None = None, label: bool = True, labeller: labels.Labeller | None = None,
-              limit: int = 5000) -> DataFrame:
+              limit: int = 5000, lines: bool = False) -> DataFrame:
     """Ingest one day and return its summary row. Nothing is written if the volume guard objects; a re-run of the
     day replaces its snapshot and its new keys."""
-    raw = read_postings(spark, landing, registry)
+    raw = read_postings(spark, landing, registry, lines)
     kept = materialise(normalise_postings(raw, rates, dt))
     past = history.read_table(spark, store, "snapshots").where(F.col("dt") != F.lit(dt).cast("date"))
     problems = quality.volume_guard(past, kept).collect()  # at most one row per source and one for the total

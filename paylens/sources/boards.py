@@ -1,6 +1,7 @@
 """Landed job-board dumps to the common posting record.
 
-Layout: ``<landing>/source=<board system>/company=<slug>/*.json``, one document per board and file.
+Layout: ``<landing>/source=<board system>/company=<slug>/*.json``. A file holds one document, or, with ``lines``, one
+compact document per line, which keeps large landings from drowning in small files.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from paylens.functions.text import strip_html
 SOURCES = {"greenhouse": schemas.GREENHOUSE, "lever": T.ArrayType(schemas.LEVER), "ashby": schemas.ASHBY}
 
 
-def _dumps(spark: SparkSession, landing: str, source: str, streaming: bool = False) -> DataFrame:
+def _dumps(spark: SparkSession, landing: str, source: str, streaming: bool = False, lines: bool = False) -> DataFrame:
     """(company, jobs) per landed document. A malformed document gives no jobs."""
     reader = (spark.readStream if streaming else spark.read).schema("value string, company string")
     try:
-        texts = reader.option("wholetext", True).text(f"{landing}/source={source}")
+        texts = reader.option("wholetext", not lines).text(f"{landing}/source={source}")
     except AnalysisException as e:
         if streaming or e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -89,21 +90,22 @@ def read_ashby(spark: SparkSession, landing: str) -> DataFrame:
     return ashby_postings(_dumps(spark, landing, "ashby"))
 
 
-def read_postings(spark: SparkSession, landing: str, registry: DataFrame | None = None) -> DataFrame:
+def read_postings(spark: SparkSession, landing: str, registry: DataFrame | None = None,
+                  lines: bool = False) -> DataFrame:
     """All sources in one record; with a registry only its boards. A missing or empty dump gives no rows."""
-    every = reduce(DataFrame.unionByName, [PARSERS[s](_dumps(spark, landing, s)) for s in SOURCES])
+    every = reduce(DataFrame.unionByName, [PARSERS[s](_dumps(spark, landing, s, lines=lines)) for s in SOURCES])
     if registry is None:
         return every
     boards = registry.select("source", F.col("slug").alias("company")).distinct()
     return every.join(boards, ["source", "company"], "left_semi")
 
 
-def stream_postings(spark: SparkSession, landing: str) -> DataFrame:
+def stream_postings(spark: SparkSession, landing: str, lines: bool = False) -> DataFrame:
     """The same record as an unbounded table over newly landed files of the sources that have a directory."""
     found = []
     for source, parse in PARSERS.items():
         try:
-            found.append(parse(_dumps(spark, landing, source, streaming=True)))
+            found.append(parse(_dumps(spark, landing, source, streaming=True, lines=lines)))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from paylens.operators import history
 from paylens.operators.sizes import materialise
@@ -23,8 +24,9 @@ def absorb(batch: DataFrame, store: str, dt: str, rates: DataFrame) -> None:
     history.write_day(snapshot_rows(kept).join(today, "job_uid", "left_anti"), store, "snapshots", dt, append=True)
 
 
-def stream_ingest(spark: SparkSession, landing: str, store: str, dt: str, rates: DataFrame, checkpoint: str):
+def stream_ingest(spark: SparkSession, landing: str, store: str, dt: str, rates: DataFrame, checkpoint: str,
+                  lines: bool = False) -> StreamingQuery:
     """Process every dump that landed since the last run, then stop. The checkpoint remembers which files were read."""
-    return (stream_postings(spark, landing).writeStream.trigger(availableNow=True)
+    return (stream_postings(spark, landing, lines).writeStream.trigger(availableNow=True)
             .option("checkpointLocation", checkpoint)
             .foreachBatch(lambda batch, _: absorb(batch, store, dt, rates)).start())
