@@ -124,8 +124,7 @@ def daily_ingest(spark, sf):
 @check("backfill_job", rows(ALL, KEPT, select="SELECT day AS dt, count(*) AS n, count(*) FILTER (ok) AS paid FROM z GROUP BY day"))
 def backfill_job(spark, sf):
     root = folder(spark)
-    kept = jobs.normalise_postings(read_postings(spark, land(spark, sf, f"{root}/landing"), lines=True), gbp(spark, sf), DAY)
-    history.write_backfill(jobs.job_rows(history.backfill_rows(kept, DAY)), f"{root}/store")
+    jobs.backfill(spark, land(spark, sf, f"{root}/landing"), f"{root}/store", DAY, gbp(spark, sf), lines=True)
     return history.read_table(spark, f"{root}/store", "jobs").groupBy("dt").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("has_salary").alias("paid"))
 

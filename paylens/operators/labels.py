@@ -19,12 +19,15 @@ def label_sets(labels: DataFrame, key: str = "job_uid", item: str = "skill", ver
                rank: Column | None = None) -> DataFrame:
     """(key, items): the label set of each key's newest version; empty if it was processed without a label.
 
-    Versions compare as text unless ``rank`` gives another order. Both steps combine before the shuffle, and a set
-    holds at most one entry per catalogue label.
+    Versions compare as text unless ``rank`` gives another order. One aggregate that combines before the shuffle; what
+    it holds per key is bounded by the catalogue times the versions in use.
     """
-    per_version = labels.where(F.col(version).isNotNull()).groupBy(key, version).agg(F.collect_set(item).alias("_set"))
-    newest = F.max_by("_set", F.col(version) if rank is None else rank)
-    return per_version.groupBy(key).agg(F.array_sort(newest).alias("items"))
+    order = F.col(version) if rank is None else rank
+    known = labels.where(F.col(version).isNotNull()).withColumn("_order", order)
+    per_key = known.groupBy(key).agg(F.collect_set(F.struct("_order", F.col(item).alias("_item"))).alias("_seen"),
+                                     F.max("_order").alias("_newest"))
+    current = F.filter("_seen", lambda s: (s["_order"] == F.col("_newest")) & s["_item"].isNotNull())
+    return per_key.select(key, F.array_sort(F.transform(current, lambda s: s["_item"])).alias("items"))
 
 
 def latest_labels(labels: DataFrame, key: str = "job_uid", item: str = "skill", version: str = "prompt_version",

@@ -154,13 +154,11 @@ def median_draws(n: int, replicates: int, rng: np.random.Generator) -> tuple[np.
 
 
 def _draw_ranks(replicates: int, seed: int):
-    @F.pandas_udf("array<struct<rep:int,rank:bigint,also:bigint>>")
-    def draw(cell: pd.Series, n: pd.Series) -> pd.Series:
-        def one(key: int, size: int) -> list[dict]:
-            rng = np.random.default_rng([seed, int(key) & (2**64 - 1)])
-            low, high = median_draws(int(size), replicates, rng)
-            return [{"rep": i, "rank": int(a), "also": int(b)} for i, (a, b) in enumerate(zip(low, high))]
-        return pd.Series([one(c, s) for c, s in zip(cell, n)])
+    @F.pandas_udf("low array<bigint>, high array<bigint>")
+    def draw(cell: pd.Series, n: pd.Series) -> pd.DataFrame:
+        drawn = [median_draws(int(size), replicates, np.random.default_rng([seed, int(key) & (2**64 - 1)]))
+                 for key, size in zip(cell, n)]
+        return pd.DataFrame({name: [d[i].astype("int64") for d in drawn] for i, name in enumerate(("low", "high"))})
     return draw
 
 
@@ -170,19 +168,20 @@ def _resampled_medians(p: Pools, replicates: int, seed: int) -> DataFrame:
     sides = p.cells.select(*p.cell_keys, F.explode(F.create_map(
         *[x for s in SIDES for x in (F.lit(s), F.col(f"n_{s}"))])).alias("side", "_size"))
     drawn = materialise(sides.select(
-        *keys, _draw_ranks(replicates, seed)(F.xxhash64(*keys), F.col("_size")).alias("_draws")))
-    spans = drawn.select(*keys, F.array_min(F.transform("_draws", lambda d: d["rank"])).alias("_first"),
-                         F.array_max(F.transform("_draws", lambda d: d["also"])).alias("_last"))
+        *keys, _draw_ranks(replicates, seed)(F.xxhash64(*keys), F.col("_size")).alias("d")).select(*keys, "d.*"))
+    spans = drawn.select(*keys, F.array_min("low").alias("_first"), F.array_max("high").alias("_last"))
     near = materialise(join_same(running(p.histogram, keys, "_bucket"), spans, keys).where(
         (F.col("_upto") >= F.col("_first")) & (F.col("_below") < F.col("_last"))).select(
-        *keys, "_bucket", F.col("_below").alias("_base")))
+        *keys, "_bucket", F.col("_below").alias("_base"), F.col("_upto").alias("_end")))
     grain = [*keys, "_bucket"]
     steps = running(join_same(p.values(near), near, grain), grain, "_value").select(
-        *keys, "_value", (F.col("_below") + F.col("_base")).alias("_below"),
+        *grain, "_value", (F.col("_below") + F.col("_base")).alias("_below"),
         (F.col("_upto") + F.col("_base")).alias("_upto"))
-    ranks = (drawn.select(*keys, F.explode("_draws").alias("d"))
-             .select(*keys, "d.rep", F.explode(F.array("d.rank", "d.also")).alias("_rank")))
-    hit = join_same(ranks, steps, keys, extra=(F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_upto")))
+    ranks = (drawn.select(*keys, F.posexplode(F.arrays_zip("low", "high")).alias("rep", "d"))
+             .select(*keys, "rep", F.explode(F.array("d.low", "d.high")).alias("_rank")))
+    placed = join_same(ranks, near, keys, extra=(F.col("_rank") > F.col("_base")) & (F.col("_rank") <= F.col("_end")))
+    hit = join_same(placed.select(*grain, "rep", "_rank"), steps, grain,
+                    extra=(F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_upto")))
     return hit.groupBy(*keys, "rep").agg(F.avg("_value").alias("_m"))
 
 

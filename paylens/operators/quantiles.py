@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_E_FOLD = 512  # a bucket spans about 0.2 % of its value; all doubles need under 0.8 million buckets
+BUCKETS_PER_E_FOLD = 128  # a bucket spans about 0.8 % of its value; all doubles need under 0.2 million buckets
 
 Ranks = Callable[[Column], Column]
 
@@ -77,8 +77,10 @@ def locate(histogram: DataFrame, by: list[str], wanted: dict[str, Ranks], min_n:
 
     ranks = F.concat(*[named(q, f(F.col("n"))) for q, f in wanted.items()])
     placed = running(histogram, by, "_bucket").withColumn("n", F.sum("_n").over(Window.partitionBy(*by)))
-    return (placed.where(F.col("n") >= min_n).withColumn("_wanted", _inside(ranks))
-            .where(F.size("_wanted") > 0)
+    hit = reduce(lambda a, b: a | b, [  # plain comparisons drop nearly every bucket before any array is built
+        (F.element_at(f(F.col("n")), i) > F.col("_below")) & (F.element_at(f(F.col("n")), i) <= F.col("_upto"))
+        for f in wanted.values() for i in (1, -1)])
+    return (placed.where((F.col("n") >= min_n) & hit).withColumn("_wanted", _inside(ranks))
             .select(*by, "_bucket", F.col("_below").alias("_base"), "_wanted", "n"))
 
 

@@ -15,7 +15,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, or a local one where the session names none (tests, a laptop)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paylens-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named or tempfile.mkdtemp(prefix="paylens-")
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def label_day(raw: DataFrame, kept: DataFrame, store: str, dt: str, labeller: la
     else:
         labelled = labels.apply_labeller(queue, labeller)
     rows = labels.label_rows(labelled, version, F.current_timestamp(), "literal" if labeller is None else "custom")
-    history.write_day(rows, store, "skills", dt, append=True)
+    history.write_day(materialise(rows), store, "skills", dt, append=True)  # the sort must not call a labeller twice
 
 
 def daily_run(spark: SparkSession, landing: str, store: str, dt: str, rates: DataFrame,
@@ -87,9 +87,9 @@ def daily_run(spark: SparkSession, landing: str, store: str, dt: str, rates: Dat
 
 
 def backfill(spark: SparkSession, landing: str, store: str, today: str, rates: DataFrame,
-             registry: DataFrame | None = None) -> DataFrame:
+             registry: DataFrame | None = None, lines: bool = False) -> DataFrame:
     """Rebuild the first-seen table with one partition per publish date; returns the summary row."""
-    kept = normalise_postings(read_postings(spark, landing, registry), rates, today)
+    kept = materialise(normalise_postings(read_postings(spark, landing, registry, lines), rates, today))
     rows = job_rows(history.backfill_rows(kept, today))
     history.write_backfill(rows, store)
     return history.backfill_summary(history.read_table(spark, store, "jobs"))
@@ -114,7 +114,7 @@ def aggregate(spark: SparkSession, store: str, replicates: int = 1000) -> Publis
     """All published results of the history in ``store``."""
     snap, jobs, marks = (history.read_table(spark, store, n) for n in ("snapshots", "jobs", "skills"))
     first = history.first_seen(jobs)
-    today = classify.latest(snap)
+    today = classify.latest(snap, "dt")
     sets = labels.label_sets(marks.join(today.select("job_uid"), "job_uid", "left_semi"))
     current = materialise(labels.with_label_sets(reports.latest_slice(today, first), sets))
     companies, items, rows = reports.encode_slice(current)
