@@ -12,6 +12,8 @@ from paylens.functions import vocab as v
 from paylens.functions.text import add_implied, clean_labels, literal_mentions
 from paylens.operators.groups import first_occurrence, interleave
 
+MAX_BROADCAST_QUEUE = 100_000  # rows; a longer queue meets its texts by a shuffle
+
 Labeller = Callable[[list[dict]], dict]
 
 
@@ -51,11 +53,14 @@ def processed_keys(labels: DataFrame, key: str = "job_uid") -> DataFrame:
     return labels.select(key).distinct()
 
 
-def pending(df: DataFrame, processed: DataFrame, key: str = "job_uid", description: str = "description",
-            order: str = "ingest_seq") -> DataFrame:
-    """First non-blank posting of each key that is not processed yet."""
-    worded = df.where(F.col(description).rlike(r"(?U)\S"))
-    return first_occurrence(worded, key, order).join(processed.select(key).distinct(), key, "left_anti")
+def worded(df: DataFrame, description: str = "description") -> DataFrame:
+    """Postings with a text that is not blank; the others have nothing to label."""
+    return df.where(F.col(description).rlike(r"(?U)\S"))
+
+
+def pending(df: DataFrame, processed: DataFrame, key: str = "job_uid", order: str = "ingest_seq") -> DataFrame:
+    """First posting of each key that is not processed yet."""
+    return first_occurrence(df, key, order).join(processed.select(key).distinct(), key, "left_anti")
 
 
 def label_queue(df: DataFrame, processed: DataFrame, stale: DataFrame | None = None, limit: int = 5000, *,
@@ -65,18 +70,24 @@ def label_queue(df: DataFrame, processed: DataFrame, stale: DataFrame | None = N
     """Postings to label next, with their ``position``.
 
     Never labelled before stale, with pay before without, newest first, then round-robin over sources. Publish dates
-    compare as the raw text; an unknown date comes first.
+    compare as the raw text; an unknown date comes first. Only keys and sort columns are shuffled; the texts of the
+    chosen keys are fetched at the end.
     """
-    waiting = pending(df, processed, key, description, order)
+    texts = worded(df, description)
+    waiting = pending(texts.select(key, source, has_pay, published, order), processed, key, order)
     if stale is None:
         waiting = waiting.withColumn("_stale", F.lit(False))
     else:
         flags = stale.select(key).distinct().withColumn("_stale", F.lit(True))
         waiting = waiting.join(flags, key, "left").withColumn("_stale", F.coalesce("_stale", F.lit(False)))
     date = F.concat(F.coalesce(F.col(published), F.lit("")), F.lit("\uffff"))  # a shorter text is newer than its longer form
-    waiting = waiting.withColumns({"_date": date, "_pay": F.coalesce(F.col(has_pay), F.lit(False))})
+    waiting = waiting.select(key, source, order, "_stale", F.coalesce(has_pay, F.lit(False)).alias("_pay"),
+                             date.alias("_date"))
     by = [F.asc("_stale"), F.desc("_pay"), F.desc("_date"), F.asc(order), F.asc(key)]
-    return interleave(waiting, source, key, by, limit).drop("_stale", "_date", "_pay")
+    chosen = interleave(waiting, source, key, by, limit).select(key, order, "position")
+    if limit <= MAX_BROADCAST_QUEUE:
+        chosen = F.broadcast(chosen)
+    return first_occurrence(texts.join(chosen, [key, order]), key, order)
 
 
 def batches(queue: DataFrame, size: int = 10, position: str = "position") -> DataFrame:
@@ -104,7 +115,8 @@ def apply_labeller(df: DataFrame, call: Labeller, key: str = "job_uid", title: s
                 except Exception:  # the labeller is foreign code: a failed call leaves its rows queued
                     continue
                 hit = [i for i in range(len(part)) if i in reply]
-                yield pd.DataFrame({key: part[key].iloc[hit].to_numpy(), "labels": [reply[i] for i in hit]})
+                yield pd.DataFrame({key: part[key].iloc[hit].to_numpy(),
+                                    "labels": pd.Series([reply[i] for i in hit], dtype=object)})
 
     def cut(name: str, chars: int | None) -> Column:
         whole = F.coalesce(F.col(name), F.lit(""))

@@ -26,9 +26,12 @@ def target_postings(raw: DataFrame) -> DataFrame:
 
 
 def normalise_postings(raw: DataFrame, rates: DataFrame, dt: str) -> DataFrame:
-    """One normalised row per key, without the text: buckets, flags and annual pay in US dollars."""
-    once = first_occurrence(target_postings(raw), "job_uid", "ingest_seq")
-    priced = normalise_pay(with_pay_range(once), rates)
+    """One normalised row per key, without the text: buckets, flags and annual pay in US dollars.
+
+    Pay is read from the text before duplicates go, so that the shuffle moves thin rows only.
+    """
+    thin = with_pay_range(target_postings(raw)).drop("description", "tier_pay", "range_pay")
+    priced = normalise_pay(first_occurrence(thin, "job_uid", "ingest_seq"), rates)
     day = F.lit(dt).cast("date")
     return priced.withColumns({
         "snapshot_date": day, "first_seen": day,
@@ -36,7 +39,7 @@ def normalise_postings(raw: DataFrame, rates: DataFrame, dt: str) -> DataFrame:
         "seniority": classify.seniority_bucket("title"),
         "is_management": classify.is_management("title"),
         "is_remote": F.coalesce(F.col("is_remote"), F.lit(False)),
-    }).drop("description", "tier_pay", "range_pay", "pay")
+    }).drop("pay")
 
 
 def snapshot_rows(kept: DataFrame) -> DataFrame:
