@@ -125,7 +125,8 @@ def pay_anchor(spark, sf):
     body = F.concat(F.lit("Annual report: raised $1,000 - $2,000. "), far, F.lit("\U0001f4b0 Base pay: "), range_text(),
                     month, F.lit(". "), far)
     text = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("Offer: "), range_text())).otherwise(body)
-    return numbered(spark, sf).select("o_orderkey", money.anchored_range(text).alias("r")).select("o_orderkey", "r.*")
+    spread = numbered(spark, sf).repartition("o_orderkey")  # thin rows move, the long texts are built after it
+    return spread.select("o_orderkey", money.anchored_range(text).alias("r")).select("o_orderkey", "r.*")
 
 
 @check("pay_tiers", rows(N, select="""

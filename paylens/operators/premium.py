@@ -15,43 +15,44 @@ from pyspark.sql import functions as F
 
 from paylens.functions.expr import round_half_even
 from paylens.operators.quantiles import (bucket_counts, join_same, locate, median_ranks, resolve, running,
-                                         value_counts)
+                                         running_values, value_counts)
 from paylens.operators.sizes import materialise
 
 MEDIAN = {"median": median_ranks}
-SIDES = ("with", "without")
 
 
 @dataclass(frozen=True)
 class Pools:
-    """Tables behind a premium. All are reductions, written once to the shared folder and then read several times."""
+    """Tables behind a premium. All are reductions, written once to the shared folder and then read several times.
+
+    A cell is an item in a stratum; it has two pools, those that hold the item and those that lack it. Pools carry a
+    number, so that everything after this table is grouped and joined by one integer.
+    """
 
     strata: list[str]
     counts: DataFrame  # item (NULL for the whole stratum), strata, _value, _bucket, _n
-    cells: DataFrame  # item, strata, n_with, n_without: eligible cells of admitted items
-    histogram: DataFrame  # side, item, strata, _bucket, _n of those cells
+    pools: DataFrame  # pool, cell, holds, item, strata, size: both pools of every eligible cell of admitted items
+    histogram: DataFrame  # pool, _bucket, _n
 
     @property
     def cell_keys(self) -> list[str]:
         return ["item", *self.strata]
 
-    @property
-    def side_keys(self) -> list[str]:
-        return ["side", *self.cell_keys]
-
     def values(self, near: DataFrame) -> DataFrame:
-        """Value counts of both sides of every cell, inside the buckets named by ``near`` (side, item, strata)."""
-        grain = [*self.cell_keys, "_bucket"]
-        near = near.select("side", *grain)
+        """(pool, _bucket, _value, _n) inside the buckets named by ``near``."""
+        names = self.pools.select("pool", "holds", *self.cell_keys)
+        near = near.select("pool", "_bucket").join(names, "pool")
         own = self.counts.where(F.col("item").isNotNull())
-        holding = join_same(near.where(F.col("side") == "with"), own, grain)
-        lacking = _less(join_same(near.where(F.col("side") == "without"), whole_strata(self.counts),
-                                  [*self.strata, "_bucket"]), own, [*self.cell_keys, "_value"])
-        return holding.unionByName(lacking)
+        holding = join_same(near.where("holds"), own, [*self.cell_keys, "_bucket"])
+        lacking = _less(join_same(near.where("not holds"), whole_strata(self.counts), [*self.strata, "_bucket"]), own,
+                        [*self.cell_keys, "_value"])
+        wanted = ["pool", "_bucket", "_value", "_n"]
+        return holding.select(*wanted).unionByName(lacking.select(*wanted))
 
     def only(self, items: DataFrame) -> Pools:
-        cells = self.cells.join(items.select("item"), "item", "left_semi")
-        return Pools(self.strata, self.counts, cells, self.histogram.join(items.select("item"), "item", "left_semi"))
+        pools = materialise(self.pools.join(items.select("item"), "item", "left_semi"))
+        return Pools(self.strata, self.counts, pools,
+                     self.histogram.join(pools.select("pool"), "pool", "left_semi"))
 
 
 def whole_strata(counts: DataFrame) -> DataFrame:
@@ -83,26 +84,31 @@ def build_pools(df: DataFrame, items: str, value: str, strata: list[str], min_ce
     cells = join_same(sizes.where(F.col("item").isNotNull()), whole, strata).withColumn(
         "n_without", F.col("_all") - F.col("n_with")).drop("_all")
     per_item = Window.partitionBy("item")  # an item has one row per stratum here
-    cells = materialise(
-        cells.withColumn("_total", F.sum("n_with").over(per_item))
-        .where((F.col("_total") >= min_total) & (F.col("n_with") >= min_cell) & (F.col("n_without") >= min_cell))
-        .drop("_total"))
+    cells = (cells.withColumn("_total", F.sum("n_with").over(per_item))
+             .where((F.col("_total") >= min_total) & (F.col("n_with") >= min_cell)
+                    & (F.col("n_without") >= min_cell)).drop("_total")
+             .withColumn("cell", F.monotonically_increasing_id()))
+    both = F.explode(F.create_map(F.lit(True), "n_with", F.lit(False), "n_without")).alias("holds", "size")
+    pools = materialise(cells.select("cell", *keys, both).withColumn(  # numbers are fixed by being written here
+        "pool", F.col("cell") * 2 + F.col("holds").cast("int")))
 
     own = by_bucket.where(F.col("item").isNotNull())
-    holding = join_same(cells.select(*keys), own, keys)
-    lacking = _less(join_same(cells.select(*keys), whole_strata(by_bucket), strata), own, [*keys, "_bucket"])
-    histogram = materialise(holding.withColumn("side", F.lit("with")).unionByName(
-        lacking.withColumn("side", F.lit("without"))))
-    return Pools(strata, counts, cells, histogram)
+    names = pools.select("pool", "holds", *keys)
+    holding = join_same(names.where("holds"), own, keys)
+    lacking = _less(join_same(names.where("not holds"), whole_strata(by_bucket), strata), own, [*keys, "_bucket"])
+    wanted = ["pool", "_bucket", "_n"]
+    histogram = materialise(holding.select(*wanted).unionByName(lacking.select(*wanted)))
+    return Pools(strata, counts, pools, histogram)
 
 
 def _cell_medians(p: Pools) -> DataFrame:
-    """item, strata, n_with and the exact medians of both sides of every eligible cell."""
-    picks = materialise(locate(p.histogram, p.side_keys, MEDIAN))
-    medians = resolve(p.values(picks), picks, p.side_keys, ["median"])
-    return medians.groupBy(*p.cell_keys).agg(
-        *[F.max(F.when(F.col("side") == s, F.col("median"))).alias(f"median_{s}") for s in SIDES],
-        F.max(F.when(F.col("side") == "with", F.col("n"))).alias("n_with"))
+    """cell, item, n_with and the exact medians of both pools of every eligible cell."""
+    picks = materialise(locate(p.histogram, ["pool"], MEDIAN))
+    medians = resolve(materialise(p.values(picks)), picks, ["pool"], ["median"]).select("pool", "median")
+    return p.pools.join(medians, "pool").groupBy("cell", "item").agg(
+        F.max(F.when(F.col("holds"), F.col("median"))).alias("median_with"),
+        F.max(F.when(~F.col("holds"), F.col("median"))).alias("median_without"),
+        F.max(F.when(F.col("holds"), F.col("size"))).alias("n_with"))
 
 
 def _weighted(ratio: Column, weight: Column) -> Column:
@@ -119,7 +125,7 @@ def premium_from_pools(p: Pools, k: int | None = 10) -> DataFrame:
         ranked = ranked.orderBy(F.desc("premium_pct"), "item").limit(k)
     ranked = materialise(ranked)
 
-    kept = p.only(ranked).cells.select(*p.cell_keys)
+    kept = p.pools.where("holds").join(ranked.select("item"), "item", "left_semi").select(*p.cell_keys)
     pooled = (join_same(p.counts, kept, p.cell_keys, "left_semi").groupBy("item", "_value", "_bucket")
               .agg(F.sum("_n").alias("_n")))
     picks = locate(bucket_counts(pooled, ["item"]), ["item"], MEDIAN)
@@ -163,40 +169,36 @@ def _draw_ranks(replicates: int, seed: int):
 
 
 def _resampled_medians(p: Pools, replicates: int, seed: int) -> DataFrame:
-    """side, item, strata, rep and the median of that side of the cell in that replicate."""
-    keys = p.side_keys
-    sides = p.cells.select(*p.cell_keys, F.explode(F.create_map(
-        *[x for s in SIDES for x in (F.lit(s), F.col(f"n_{s}"))])).alias("side", "_size"))
-    drawn = materialise(sides.select(
-        *keys, _draw_ranks(replicates, seed)(F.xxhash64(*keys), F.col("_size")).alias("d")).select(*keys, "d.*"))
-    spans = drawn.select(*keys, F.array_min("low").alias("_first"), F.array_max("high").alias("_last"))
-    near = materialise(join_same(running(p.histogram, keys, "_bucket"), spans, keys).where(
+    """pool, rep and the median of the pool in that replicate."""
+    drawn = materialise(p.pools.select("pool", _draw_ranks(replicates, seed)(
+        F.xxhash64("holds", *p.cell_keys), F.col("size")).alias("d")).select("pool", "d.*"))
+    spans = drawn.select("pool", F.array_min("low").alias("_first"), F.array_max("high").alias("_last"))
+    near = materialise(running(p.histogram, ["pool"], "_bucket").join(spans, "pool").where(
         (F.col("_upto") >= F.col("_first")) & (F.col("_below") < F.col("_last"))).select(
-        *keys, "_bucket", F.col("_below").alias("_base"), F.col("_upto").alias("_end")))
-    grain = [*keys, "_bucket"]
-    steps = running(join_same(p.values(near), near, grain), grain, "_value").select(
+        "pool", "_bucket", F.col("_below").alias("_base"), F.col("_upto").alias("_end")))
+    grain = ["pool", "_bucket"]
+    steps = running_values(materialise(p.values(near)).join(near.drop("_end"), grain), grain).select(
         *grain, "_value", (F.col("_below") + F.col("_base")).alias("_below"),
         (F.col("_upto") + F.col("_base")).alias("_upto"))
-    ranks = (drawn.select(*keys, F.posexplode(F.arrays_zip("low", "high")).alias("rep", "d"))
-             .select(*keys, "rep", F.explode(F.array("d.low", "d.high")).alias("_rank")))
-    placed = join_same(ranks, near, keys, extra=(F.col("_rank") > F.col("_base")) & (F.col("_rank") <= F.col("_end")))
-    hit = join_same(placed.select(*grain, "rep", "_rank"), steps, grain,
-                    extra=(F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_upto")))
-    return hit.groupBy(*keys, "rep").agg(F.avg("_value").alias("_m"))
+    ranks = (drawn.select("pool", F.posexplode(F.arrays_zip("low", "high")).alias("rep", "d"))
+             .select("pool", "rep", F.explode(F.array("d.low", "d.high")).alias("_rank")))
+    placed = ranks.join(near, "pool").where((F.col("_rank") > F.col("_base")) & (F.col("_rank") <= F.col("_end")))
+    hit = placed.select(*grain, "rep", "_rank").join(steps, grain).where(
+        (F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_upto")))
+    return hit.groupBy("pool", "rep").agg(F.avg("_value").alias("_m"))
 
 
 def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719) -> DataFrame:
-    """item, ci_lo, ci_hi: percentile interval (floor index) of the premium under a bootstrap inside every cell side.
+    """item, ci_lo, ci_hi: percentile interval (floor index) of the premium under a bootstrap inside every pool.
 
-    Draws depend only on the seed, the cell, the side and the replicate, so the result is the same for any
-    partitioning and after any retry. NULL if fewer than half of the replicates give a value.
+    Draws depend only on the seed, the pool's names and the replicate, so the result is the same for any partitioning
+    and after any retry. NULL if fewer than half of the replicates give a value.
     """
-    keys = p.cell_keys
-    both = _resampled_medians(p, replicates, seed).groupBy(*keys, "rep").agg(
-        *[F.max(F.when(F.col("side") == s, F.col("_m"))).alias(f"_{s}") for s in SIDES])
-    sized = join_same(both, p.cells.select(*keys, "n_with"), keys).withColumn(
-        "_ratio", F.col("_with") / F.col("_without"))
-    estimates = sized.groupBy("item", "rep").agg(_weighted(F.col("_ratio"), F.col("n_with")).alias("_est"))
+    named = _resampled_medians(p, replicates, seed).join(p.pools.select("pool", "cell", "item", "holds", "size"), "pool")
+    ratios = named.groupBy("cell", "item", "rep").agg(
+        (F.max(F.when(F.col("holds"), F.col("_m"))) / F.max(F.when(~F.col("holds"), F.col("_m")))).alias("_ratio"),
+        F.max(F.when(F.col("holds"), F.col("size"))).alias("n_with"))
+    estimates = ratios.groupBy("item", "rep").agg(_weighted(F.col("_ratio"), F.col("n_with")).alias("_est"))
     ordered = estimates.where(F.col("_est").isNotNull()).groupBy("item").agg(
         F.array_sort(F.collect_list("_est")).alias("_all"))  # at most one entry per replicate
 

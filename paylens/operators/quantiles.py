@@ -3,7 +3,8 @@
 A group may hold a third of all rows, so no group is ever gathered in one task. Rows are first reduced to
 (group, value) counts, which combine before the shuffle and spread a hot group over its values. A coarse, order-keeping
 bucket of the value then gives a small histogram per group; running totals over it say which bucket holds a wanted
-rank, and only the values of that bucket are ordered.
+rank, and only the values of that bucket are ordered, again slot by slot, so that a bucket into which most values fall
+is ordered by many tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLOTS_PER_BUCKET = 4096
 BUCKETS_PER_E_FOLD = 128  # a bucket spans about 0.8 % of its value; all doubles need under 0.2 million buckets
 
 Ranks = Callable[[Column], Column]
@@ -30,10 +32,10 @@ def index_rank(q: float) -> Ranks:
     return lambda n: F.array(F.least(n, F.floor(n * F.lit(float(q))) + 1))
 
 
-def bucket(value: Column) -> Column:
-    """Coarse bucket that never decreases when the value grows."""
+def bucket(value: Column, per_e_fold: int = BUCKETS_PER_E_FOLD) -> Column:
+    """Bucket that never decreases when the value grows; powers of two make finer buckets nest in coarser ones."""
     v = value.cast("double")
-    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * BUCKETS_PER_E_FOLD)
+    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * per_e_fold)
 
 
 def value_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -66,6 +68,18 @@ def running(df: DataFrame, by: list[str], order: str) -> DataFrame:
     return df.withColumn("_upto", F.sum("_n").over(w)).withColumn("_below", F.col("_upto") - F.col("_n"))
 
 
+def running_values(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``running`` over the values of each group of ``keys``, without one task per group: totals of narrow slots come
+    first and give every slot its offset. A slot is 2e-6 of its value wide."""
+    slotted = df.withColumn("_slot", bucket(F.col("_value"), BUCKETS_PER_E_FOLD * SLOTS_PER_BUCKET))
+    totals = slotted.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_n"))
+    offsets = running(totals, keys, "_slot").select(*keys, "_slot", F.col("_below").alias("_offset"))
+    grain = [*keys, "_slot"]
+    placed = running(join_same(slotted, offsets, grain), grain, "_value")
+    return placed.withColumns({"_upto": F.col("_upto") + F.col("_offset"),
+                               "_below": F.col("_below") + F.col("_offset")}).drop("_slot", "_offset")
+
+
 def _inside(ranks: Column) -> Column:
     return F.filter(ranks, lambda r: (r["rank"] > F.col("_below")) & (r["rank"] <= F.col("_upto")))
 
@@ -88,7 +102,7 @@ def resolve(counts: DataFrame, picks: DataFrame, by: list[str], wanted: list[str
     """(by, n, one column per wanted name) from the counts of the picked buckets."""
     keys = [*by, "_bucket"]
     inside = join_same(counts.select(*keys, "_value", "_n"), picks, keys)
-    ordered = running(inside, keys, "_value").withColumns({
+    ordered = running_values(inside, keys).withColumns({
         "_upto": F.col("_upto") + F.col("_base"), "_below": F.col("_below") + F.col("_base")})
     hits = ordered.select(*by, "n", "_value", F.explode(_inside(F.col("_wanted"))).alias("_hit"))
     return hits.groupBy(*by, "n").agg(

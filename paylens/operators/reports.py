@@ -13,6 +13,7 @@ from paylens.functions.expr import round_half_even, round_half_up
 from paylens.operators.groups import dictionary
 from paylens.operators.labels import processed_keys
 from paylens.operators.quantiles import grouped_quantiles, index_rank, median_by, median_ranks
+from paylens.operators.sizes import materialise
 
 
 # -- history level -----------------------------------------------------------------------------------------------
@@ -139,20 +140,24 @@ def median_by_place(df: DataFrame, value: str = "salary_mid_usd", region: str =
 
 
 def item_shares(df: DataFrame, items: str = "skills") -> DataFrame:
-    """(item, n, labelled): labelled rows per item and in total; each row counts once per item it holds."""
-    labelled = df.where(F.col(items).isNotNull())
-    total = labelled.agg(F.count(F.lit(1))).scalar()
-    per = labelled.select(F.explode(F.array_distinct(items)).alias("item")).groupBy("item").agg(
-        F.count(F.lit(1)).alias("n"))
-    return per.withColumn("labelled", total)
+    """(item, n, labelled): labelled rows per item and in total; each row counts once per item it holds.
+
+    One pass: a NULL item stands for the row itself and so counts the labelled rows.
+    """
+    named = F.filter(F.array_distinct(items), lambda x: x.isNotNull())
+    member = F.explode(F.concat(F.array(F.lit(None).cast("string")), named)).alias("item")
+    counted = materialise(df.where(F.col(items).isNotNull()).select(member).groupBy("item").agg(
+        F.count(F.lit(1)).alias("n")))
+    total = counted.where(F.col("item").isNull()).select("n").scalar()
+    return counted.where(F.col("item").isNotNull()).withColumn("labelled", total)
 
 
 def item_demand(df: DataFrame, items: str = "skills", value: str = "salary_mid_usd", management: str = "is_management",
                 k: int = 15, min_n: int = 10, min_labelled: int = 100) -> DataFrame:
     """(item, n, pct, paid_n, median): most wanted items, with the median pay of their paid rows when it is not thin."""
-    top = (item_shares(df, items).where(F.col("labelled") >= min_labelled)
-           .orderBy(F.desc("n"), "item").limit(k)
-           .select("item", "n", (round_half_up(1000 * F.col("n") / F.col("labelled")) / 10).alias("pct")))
+    top = materialise(
+        item_shares(df, items).where(F.col("labelled") >= min_labelled).orderBy(F.desc("n"), "item").limit(k)
+        .select("item", "n", (round_half_up(1000 * F.col("n") / F.col("labelled")) / 10).alias("pct")))
     held = paid(df, value, management).select(F.explode(F.array_distinct(items)).alias("item"), value)
     pay = median_by(held.join(top.select("item"), "item", "left_semi"), ["item"], value).select(
         "item", F.col("n").alias("paid_n"), F.when(F.col("n") >= min_n, F.col("median")).alias("median"))
