@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.base import L, P, S, check, label_table, labelled_postings, postings, rows, table
@@ -243,7 +245,7 @@ def quality_assertions(spark, sf):
                               "sum(CAST(o_orderkey AS BIGINT))::BIGINT AS keys FROM orders GROUP BY 1")
 def partition_roundtrip(spark, sf):
     """Backfill a table partitioned by day and read it back."""
-    store = shared_folder(spark) + "/roundtrip"
+    store = f"{shared_folder(spark)}/roundtrip-{uuid.uuid4().hex}"
     o = table(spark, sf, "orders").select("o_orderkey", F.trunc("o_orderdate", "month").alias("first_seen"))
     history.write_backfill(o, store, "orders", "o_orderkey")
     back = spark.read.schema("o_orderkey bigint, first_seen date, dt date").parquet(f"{store}/orders")

@@ -22,7 +22,7 @@ SOURCE = {"F": "greenhouse", "O": "lever", "P": "ashby"}
 
 
 def land(spark, sf, root):
-    """One compact document per line, at most 50 postings each; half of the postings of a document come twice."""
+    """One compact document per line, at most 50 orders each; the urgent ones come twice, the copy under another title."""
     o, c, n, r = (table(spark, sf, t) for t in ("orders", "customer", "nation", "region"))
     df = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
@@ -34,7 +34,8 @@ def land(spark, sf, root):
         case("o_orderstatus", SOURCE).alias("source"), F.lower("r_name").alias("company"), "o_orderkey",
         title.alias("title"), place.alias("place"), case("o_orderstatus", TEAM).alias("team"), lo.alias("lo"),
         (lo * 2).alias("hi"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).where((F.col("copy") == 1) | (F.col("lo") % 2 == 0))
+        F.explode(F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit(1), F.lit(2))).otherwise(
+            F.array(F.lit(1)))).alias("copy"))
     title = F.concat("title", F.when(F.col("copy") == 2, " (copy)").otherwise(""))
     money = F.concat(F.lit("$"), F.format_number("lo", 0), F.lit(" - $"), F.format_number("hi", 0))
     forms = {
@@ -94,7 +95,7 @@ UID = "source || ':' || company || ':' || o_orderkey"
          CASE WHEN source = 'greenhouse' THEN contains(lower({PLACE_SQL}), 'remote') ELSE source = 'lever' END AS is_remote,
          CAST(o_orderdate AS DATE) AS published, CASE o_orderstatus WHEN 'F' THEN 'Engineering' WHEN 'O' THEN 'Kitchen' END
            AS department, range_pay AS range_min FROM (SELECT *, CAST(CASE WHEN source = 'lever' THEN lo END AS DOUBLE) AS range_pay FROM t)
-  CROSS JOIN c WHERE copy = 1 OR lo % 2 = 0"""))
+  JOIN c ON copy = 1 OR o_orderpriority = '1-URGENT'"""))
 def landed_dump_union(spark, sf):
     root = land(spark, sf, folder(spark))
     return read_postings(spark, root, lines=True).select(

@@ -109,12 +109,16 @@ def resolve(counts: DataFrame, picks: DataFrame, by: list[str], wanted: list[str
         *[F.avg(F.when(F.col("_hit.name") == q, F.col("_value"))).alias(q) for q in wanted])
 
 
+def quantiles_of_counts(counts: DataFrame, by: list[str], wanted: dict[str, Ranks], min_n: int = 1) -> DataFrame:
+    """Quantiles of each group of a table of value counts (by, _value, _bucket, _n)."""
+    picks = locate(bucket_counts(counts, by), by, wanted, min_n)
+    return resolve(counts, picks, by, list(wanted))
+
+
 def grouped_quantiles(df: DataFrame, by: list[str], value: str, wanted: dict[str, Ranks],
                       min_n: int = 1) -> DataFrame:
     """One row per group with at least ``min_n`` values: the group, ``n`` and each wanted quantile, all exact."""
-    counts = value_counts(df, by, value)
-    picks = locate(bucket_counts(counts, by), by, wanted, min_n)
-    return resolve(counts, picks, by, list(wanted))
+    return quantiles_of_counts(value_counts(df, by, value), by, wanted, min_n)
 
 
 def median_by(df: DataFrame, by: list[str], value: str, min_n: int = 1, name: str = "median") -> DataFrame:

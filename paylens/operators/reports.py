@@ -12,7 +12,8 @@ from paylens.functions.classify import SENIORITY_ORDER, board_url, new_flag, pai
 from paylens.functions.expr import round_half_even, round_half_up
 from paylens.operators.groups import dictionary
 from paylens.operators.labels import processed_keys
-from paylens.operators.quantiles import grouped_quantiles, index_rank, median_by, median_ranks
+from paylens.operators.quantiles import (bucket, grouped_quantiles, index_rank, median_by, median_ranks,
+                                         quantiles_of_counts)
 from paylens.operators.sizes import materialise
 
 
@@ -139,29 +140,40 @@ def median_by_place(df: DataFrame, value: str = "salary_mid_usd", region: str =
     return median_by(df.select(F.explode(places).alias("place"), value), ["place"], value, min_n)
 
 
-def item_shares(df: DataFrame, items: str = "skills") -> DataFrame:
-    """(item, n, labelled): labelled rows per item and in total; each row counts once per item it holds.
-
-    One pass: a NULL item stands for the row itself and so counts the labelled rows.
-    """
+def _members(items: str) -> Column:
+    """One NULL for the row itself, then each distinct item it holds: one pass counts rows and items."""
     named = F.filter(F.array_distinct(items), lambda x: x.isNotNull())
-    member = F.explode(F.concat(F.array(F.lit(None).cast("string")), named)).alias("item")
-    counted = materialise(df.where(F.col(items).isNotNull()).select(member).groupBy("item").agg(
-        F.count(F.lit(1)).alias("n")))
+    return F.explode(F.concat(F.array(F.lit(None).cast("string")), named)).alias("item")
+
+
+def _with_total(counted: DataFrame) -> DataFrame:
     total = counted.where(F.col("item").isNull()).select("n").scalar()
     return counted.where(F.col("item").isNotNull()).withColumn("labelled", total)
 
 
+def item_shares(df: DataFrame, items: str = "skills") -> DataFrame:
+    """(item, n, labelled): labelled rows per item and in total; each row counts once per item it holds."""
+    labelled = df.where(F.col(items).isNotNull())
+    return _with_total(materialise(labelled.select(_members(items)).groupBy("item").agg(F.count(F.lit(1)).alias("n"))))
+
+
 def item_demand(df: DataFrame, items: str = "skills", value: str = "salary_mid_usd", management: str = "is_management",
                 k: int = 15, min_n: int = 10, min_labelled: int = 100) -> DataFrame:
-    """(item, n, pct, paid_n, median): most wanted items, with the median pay of their paid rows when it is not thin."""
-    top = materialise(
-        item_shares(df, items).where(F.col("labelled") >= min_labelled).orderBy(F.desc("n"), "item").limit(k)
-        .select("item", "n", (round_half_up(1000 * F.col("n") / F.col("labelled")) / 10).alias("pct")))
-    held = paid(df, value, management).select(F.explode(F.array_distinct(items)).alias("item"), value)
-    pay = median_by(held.join(top.select("item"), "item", "left_semi"), ["item"], value).select(
-        "item", F.col("n").alias("paid_n"), F.when(F.col("n") >= min_n, F.col("median")).alias("median"))
-    return top.join(pay, "item", "left").withColumn("paid_n", F.coalesce("paid_n", F.lit(0))).orderBy(
+    """(item, n, pct, paid_n, median): most wanted items, with the median pay of their paid rows when it is not thin.
+
+    One pass counts each item by pay; demand, paid rows and medians all come from those counts.
+    """
+    pay = F.when(~F.col(management), F.col(value)).alias("_value")
+    counts = materialise(df.where(F.col(items).isNotNull()).select(_members(items), pay).groupBy("item", "_value").agg(
+        F.count(F.lit(1)).alias("_n")))
+    per_item = counts.groupBy("item").agg(
+        F.sum("_n").alias("n"), F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0)).alias("paid_n"))
+    top = materialise(_with_total(per_item).where(F.col("labelled") >= min_labelled).orderBy(F.desc("n"), "item").limit(k))
+    held = counts.where(F.col("_value").isNotNull()).join(top.select("item"), "item", "left_semi")
+    medians = quantiles_of_counts(held.withColumn("_bucket", bucket(F.col("_value"))), ["item"],
+                                  {"median": median_ranks}, min_n).select("item", "median")
+    pct = round_half_up(1000 * F.col("n") / F.col("labelled")) / 10
+    return top.join(medians, "item", "left").select("item", "n", pct.alias("pct"), "paid_n", "median").orderBy(
         F.desc("n"), "item")
 
 
