@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import L, P, S, check, label_table, labelled_postings, postings, rows, table
+from checks.base import L, P, S, check, label_table, postings, rows, table
 from paylens.functions import text
 from paylens.operators import evaluate, groups, labels
 from paylens.sources import registry

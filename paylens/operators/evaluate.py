@@ -36,7 +36,8 @@ def _resampled_f1(seed: int):
     def score(rep: pd.Series, kinds: pd.Series) -> pd.Series:
         def one(r: int, ks) -> float:
             table = np.array([[k["tp"], k["fp"], k["fn"], k["n"]] for k in ks], dtype=np.int64)
-            counts = np.random.default_rng([seed, int(r)]).multinomial(table[:, 3].sum(), table[:, 3] / table[:, 3].sum())
+            docs = table[:, 3].sum()
+            counts = np.random.default_rng([seed, int(r)]).multinomial(docs, table[:, 3] / docs)
             tp, fp, fn = counts @ table[:, :3]
             return 2 * tp / (2 * tp + fp + fn) if 2 * tp + fp + fn else 0.0
         return pd.Series([one(r, ks) for r, ks in zip(rep, kinds)], dtype="float64")

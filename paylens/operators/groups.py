@@ -44,7 +44,8 @@ def interleave(df: DataFrame, group: str, key: str, order: list[Column], n: int)
     turns = leaders.select(F.col(group).alias("_group"), F.row_number().over(Window.orderBy(*order)).alias("_turn"))
     joined = ranked.join(turns, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
     queue = joined.orderBy("_round", "_turn").limit(n)
-    return queue.withColumn("position", F.row_number().over(Window.orderBy("_round", "_turn")).cast("bigint")).drop("_round", "_turn")
+    place = F.row_number().over(Window.orderBy("_round", "_turn")).cast("bigint")  # at most n rows
+    return queue.withColumn("position", place).drop("_round", "_turn")
 
 
 def capped_sample(df: DataFrame, key: str, group: str, cap: int, n: int, seed: int) -> DataFrame:

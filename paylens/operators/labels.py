@@ -80,7 +80,7 @@ def label_queue(df: DataFrame, processed: DataFrame, stale: DataFrame | None = N
     else:
         flags = stale.select(key).distinct().withColumn("_stale", F.lit(True))
         waiting = waiting.join(flags, key, "left").withColumn("_stale", F.coalesce("_stale", F.lit(False)))
-    date = F.concat(F.coalesce(F.col(published), F.lit("")), F.lit("\uffff"))  # a shorter text is newer than its longer form
+    date = F.concat(F.coalesce(F.col(published), F.lit("")), F.lit("\uffff"))  # "2026" is newer than "2026-01"
     waiting = waiting.select(key, source, order, "_stale", F.coalesce(has_pay, F.lit(False)).alias("_pay"),
                              date.alias("_date"))
     by = [F.asc("_stale"), F.desc("_pay"), F.desc("_date"), F.asc(order), F.asc(key)]

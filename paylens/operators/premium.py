@@ -194,7 +194,8 @@ def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719) -> DataFr
     Draws depend only on the seed, the pool's names and the replicate, so the result is the same for any partitioning
     and after any retry. NULL if fewer than half of the replicates give a value.
     """
-    named = _resampled_medians(p, replicates, seed).join(p.pools.select("pool", "cell", "item", "holds", "size"), "pool")
+    names = p.pools.select("pool", "cell", "item", "holds", "size")
+    named = _resampled_medians(p, replicates, seed).join(names, "pool")
     ratios = named.groupBy("cell", "item", "rep").agg(
         (F.max(F.when(F.col("holds"), F.col("_m"))) / F.max(F.when(~F.col("holds"), F.col("_m")))).alias("_ratio"),
         F.max(F.when(F.col("holds"), F.col("size"))).alias("n_with"))

@@ -56,7 +56,8 @@ def run_summary(raw: DataFrame, kept: DataFrame, dt: str, source: str = "source"
     """The counters with the day and a map of rows per source (one entry per job board system)."""
     per_source = source_counts(kept, source).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(source, "n")))).alias("by_source"))
-    return run_counters(raw, kept).select(F.lit(dt).cast("date").alias("date"), per_source.scalar().alias("by_source"), "*")
+    return run_counters(raw, kept).select(
+        F.lit(dt).cast("date").alias("date"), per_source.scalar().alias("by_source"), "*")
 
 
 def assertions(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -66,7 +67,8 @@ def assertions(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def pay_rules(key: str = "job_uid", value: str = "salary_mid_usd", low: str = "salary_min_usd",
-              high: str = "salary_max_usd", has_pay: str = "has_salary", skills: str | None = None) -> dict[str, Column]:
+              high: str = "salary_max_usd", has_pay: str = "has_salary",
+              skills: str | None = None) -> dict[str, Column]:
     """The standing rules on a snapshot day; each must give zero."""
     wide = F.col(high) / F.nullif(F.col(low), F.lit(0.0)) > v.GUARD_MAX_RATIO
     outside = ~F.col(value).between(v.PAY_FLOOR_USD, v.PAY_CEILING_USD)

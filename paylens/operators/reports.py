@@ -53,8 +53,8 @@ def encode_slice(df: DataFrame, key: str = "job_uid", company: str = "company",
     companies = dictionary(df, company)
     held = df.select(key, F.explode(items).alias("_item"))
     names = dictionary(held, "_item")
-    coded = (held.join(names, "_item").groupBy(key)  # at most one entry per catalogue label
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct("_item", "idx"))), lambda x: x["idx"]).alias("_ids")))
+    by_name = F.array_sort(F.collect_list(F.struct("_item", "idx")))  # at most one entry per catalogue label
+    coded = held.join(names, "_item").groupBy(key).agg(F.transform(by_name, lambda x: x["idx"]).alias("_ids"))
     kept = keep or ["region", "seniority", "is_remote", "is_management", "salary_mid_usd", "is_new"]
     rows = (df.join(companies.withColumnRenamed("idx", "company_idx"), company, "left").join(coded, key, "left")
             .select(key, *kept, "company_idx", F.when(F.col(items).isNotNull(), F.coalesce(
@@ -166,9 +166,9 @@ def item_demand(df: DataFrame, items: str = "skills", value: str = "salary_mid_u
     pay = F.when(~F.col(management), F.col(value)).alias("_value")
     counts = materialise(df.where(F.col(items).isNotNull()).select(_members(items), pay).groupBy("item", "_value").agg(
         F.count(F.lit(1)).alias("_n")))
-    per_item = counts.groupBy("item").agg(
-        F.sum("_n").alias("n"), F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0)).alias("paid_n"))
-    top = materialise(_with_total(per_item).where(F.col("labelled") >= min_labelled).orderBy(F.desc("n"), "item").limit(k))
+    paid_n = F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0))
+    shares = _with_total(counts.groupBy("item").agg(F.sum("_n").alias("n"), paid_n.alias("paid_n")))
+    top = materialise(shares.where(F.col("labelled") >= min_labelled).orderBy(F.desc("n"), "item").limit(k))
     held = counts.where(F.col("_value").isNotNull()).join(top.select("item"), "item", "left_semi")
     medians = quantiles_of_counts(held.withColumn("_bucket", bucket(F.col("_value"))), ["item"],
                                   {"median": median_ranks}, min_n).select("item", "median")

@@ -49,5 +49,6 @@ def read_rates(spark: SparkSession, path: str, dt: str) -> DataFrame:
     code = F.upper("currency")
     table = chosen.where(code != "USD").groupBy("as_of", code.alias("currency")).agg(
         F.max("per_usd").alias("per_usd"))
-    dollar = chosen.select("as_of").distinct().select("as_of", F.lit("USD").alias("currency"), F.lit(1.0).alias("per_usd"))
+    dollar = chosen.select("as_of").distinct().select(
+        "as_of", F.lit("USD").alias("currency"), F.lit(1.0).alias("per_usd"))
     return table.unionByName(dollar)
