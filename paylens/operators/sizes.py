@@ -1,22 +1,22 @@
-"""Size checks for broadcasts and the shared folder used to cut lineage."""
+"""The shared folder used to cut lineage."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when at most ``max_rows`` rows exist; the check reads no more than one row beyond it."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+LOCAL_FOLDER = "/tmp/checkpoints"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a local one where the session names none (tests, a laptop)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named or tempfile.mkdtemp(prefix="paylens-")
+    """The folder named by ``spark.checkpoint.dir``. Where it is unset, a session on one machine (``local[n]``) uses
+    LOCAL_FOLDER; on a cluster that is an error, as executors would not see each other's files."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if context.master == "local" or context.master.startswith("local["):
+        return LOCAL_FOLDER
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def materialise(df: DataFrame) -> DataFrame:
