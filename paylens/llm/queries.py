@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paylens.llm import exact_dedup, mixing, url_rules
+from paylens.llm import exact_dedup, mixing, quality_rules, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +27,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_quality_rules", quality_rules.judge_sql())
+def quality_rules_query(spark: SparkSession, sf: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.withColumn("rules", F.array_join("rules", ","))
+
+
 @query("op2_exact_dedup", exact_dedup.mark_sql())
 def exact_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf, "documents"))
