@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import exact_dedup, mixing, quality_rules, url_rules
+from paylens.llm import chat, exact_dedup, mixing, pii, quality_rules, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,26 @@ def exact_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf, "documents"))
 
 
+@query("op4_pii_anchors")
+def pii_query(spark: SparkSession, sf: str) -> DataFrame:
+    def joined(spans: str) -> Column:
+        return F.expr(f"array_join(transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')")
+
+    found = pii.find_spans(table(spark, sf, "documents")).withColumn("base", F.filter("spans", lambda s: s.base))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{kind}')) AS long) AS n_{kind}") for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
+                        joined("spans").alias("spans"))
+
+
+@query("op7_prefix_chat")
+def chat_query(spark: SparkSession, sf: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.pieces(turns))
+
+
 @query("op9_source_mix", mixing.taken_sql())
 def source_mix_query(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix(table(spark, sf, "documents"))
