@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import chat, exact_dedup, mixing, pii, quality_rules, url_rules
+from paylens.llm import chat, exact_dedup, language_id, mixing, pii, quality_rules, url_rules
+from paylens.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +39,13 @@ def exact_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf, "documents"))
 
 
+@query("op3_language_id")
+def language_id_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_pii_anchors")
 def pii_query(spark: SparkSession, sf: str) -> DataFrame:
     def joined(spans: str) -> Column:
