@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import chat, exact_dedup, language_id, mixing, pii, quality_rules, url_rules
+from paylens.llm import (
+    chat,
+    exact_dedup,
+    language_id,
+    line_crf,
+    mixing,
+    pii,
+    quality_rules,
+    sentencepiece_codec,
+    url_rules,
+)
 from paylens.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +67,18 @@ def pii_query(spark: SparkSession, sf: str) -> DataFrame:
                         joined("spans").alias("spans"))
 
 
+@query("op5_sentencepiece")
+def sentencepiece_query(spark: SparkSession, sf: str) -> DataFrame:
+    return sentencepiece_codec.encode(table(spark, sf, "documents"), sentencepiece_codec.load())
+
+
+@query("op6_line_crf")
+def line_crf_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = line_crf.score(docs, line_crf.fit(docs, table(spark, sf, "labels")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op7_prefix_chat")
 def chat_query(spark: SparkSession, sf: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
