@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paylens.llm import (
     chat,
     exact_dedup,
+    jaccard_join,
     language_id,
     line_crf,
     mixing,
@@ -88,6 +89,11 @@ def chat_query(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.pieces(turns))
 
 
+@query("op8_jaccard_join")
+def jaccard_join_query(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf, "documents"))
+
+
 @query("op9_source_mix", mixing.taken_sql())
 def source_mix_query(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix(table(spark, sf, "documents"))
