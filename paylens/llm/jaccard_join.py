@@ -61,9 +61,11 @@ class Shingler:
             return np.empty(0, np.uint64)
         if len(self.hash) > 500_000:
             self.hash.clear()
-        for w in set(words) - self.hash.keys():
-            self.hash[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(self.hash.__getitem__, words), np.uint64, len(words))
+        known = self.hash
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
+        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         size = min(self.n, len(h))
         count = len(h) - size + 1
         out = np.full(count, size, np.uint64)
@@ -81,16 +83,23 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 class MinHash:
+    """Works in one small buffer: fresh arrays of this size would be mapped and unmapped for every text."""
+
     def __init__(self, size: int) -> None:
         rng = np.random.default_rng(SEED + 1)
         self.a = rng.integers(0, 2**63, (size, 1), np.uint64) * np.uint64(2) + np.uint64(1)
         self.b = rng.integers(0, 2**63, (size, 1), np.uint64)
+        self.buffer = np.empty((size, 256), np.uint64)
 
     def __call__(self, shingles: np.ndarray) -> bytes:
         """16 bits of each component."""
         least = np.full(len(self.a), np.uint64(2**64 - 1))
-        for at in range(0, len(shingles), 2048):
-            least = np.minimum(least, (shingles[at:at + 2048] * self.a + self.b).min(axis=1))
+        for at in range(0, len(shingles), self.buffer.shape[1]):
+            some = shingles[at:at + self.buffer.shape[1]]
+            values = self.buffer[:, :len(some)]
+            np.multiply(some, self.a, out=values)
+            np.add(values, self.b, out=values)
+            np.minimum(least, values.min(axis=1), out=least)
         return ((least >> np.uint64(16)) & np.uint64(0xFFFF)).astype(">u2").tobytes()
 
 
