@@ -10,6 +10,7 @@ from checks.base import check, rows, table
 from checks.classify import GRADE_WORD, LEVEL, PLACES, ROLE, TARGET, TEAM, case
 from paylens.functions.dates import publish_date
 from paylens.operators import history
+from paylens.operators.groups import first_occurrence
 from paylens.operators.sizes import shared_folder
 from paylens.plans import jobs
 from paylens.sources.boards import read_postings
@@ -122,6 +123,46 @@ def daily_ingest(spark, sf):
         "job_uid", "dt", "region", "is_management", "has_salary", F.round("salary_mid_usd", 2).alias("salary_mid_usd"))
 
 
+@check("daily_labels", rows(ALL, KEPT, select="""
+  SELECT job_uid, unnest(CASE source WHEN 'greenhouse' THEN ['Python', 'SQL'] ELSE ['Go', 'Kafka'] END) AS skill
+  FROM z WHERE source <> 'ashby'"""))
+def daily_labels(spark, sf):
+    """The label rows of a day: every posting with a text is labelled."""
+    root = folder(spark)
+    jobs.daily_run(spark, land(spark, sf, f"{root}/landing"), f"{root}/store", DAY, gbp(spark, sf), lines=True)
+    return history.read_table(spark, f"{root}/store", "skills").select("job_uid", "skill")
+
+
+@check("run_summary", rows(ALL, KEPT, """c AS (SELECT unnest([1, 2]) AS copy),
+raw AS (SELECT * FROM t JOIN c ON copy = 1 OR o_orderpriority = '1-URGENT')""", select=f"""
+  SELECT DATE '{DAY}' AS date, (SELECT count(*) FROM raw) AS raw_jobs, (SELECT count(DISTINCT (source, company)) FROM raw) AS boards,
+         count(*) AS snapshot_rows, count(*) AS new_rows, count(*) FILTER (ok) AS with_salary,
+         count(*) FILTER (source <> 'ashby') AS labelled, 2 * count(*) FILTER (source <> 'ashby') AS label_rows,
+         count(*) FILTER (source = 'lever') AS lever FROM z"""))
+def run_summary(spark, sf):
+    root = folder(spark)
+    done = jobs.daily_run(spark, land(spark, sf, f"{root}/landing"), f"{root}/store", DAY, gbp(spark, sf), lines=True)
+    return done.select("date", "raw_jobs", "boards", "snapshot_rows", "new_rows", "with_salary", "labelled", "label_rows",
+                       F.coalesce(F.col("by_source")["lever"], F.lit(0)).alias("lever"))
+
+
+@check("ingest_order", """
+  SELECT 'lever:acme:' || (p_partkey % 100) AS job_uid, min_by('Engineer ' || p_partkey, p_partkey) AS title,
+         count(*) AS copies FROM part GROUP BY 1""")
+def ingest_order(spark, sf):
+    """The same jobs at the same places of many documents in several files: the first in ingest order stays."""
+    root = folder(spark)
+    posting = F.to_json(F.array(F.struct((F.col("p_partkey") % 100).cast("string").alias("id"),
+                                         F.concat(F.lit("Engineer "), F.col("p_partkey")).alias("text"))))
+    parts = table(spark, sf, "part").select(F.lit("lever").alias("source"), F.lit("acme").alias("company"), "p_partkey",
+                                            posting.alias("value"))
+    parts.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey").drop("p_partkey").write.partitionBy(
+        "source", "company").text(root)
+    found = jobs.target_postings(read_postings(spark, root, lines=True))
+    copies = found.groupBy("job_uid").agg(F.count(F.lit(1)).alias("copies"))
+    return first_occurrence(found, "job_uid", "ingest_seq").select("job_uid", "title").join(copies, "job_uid")
+
+
 @check("backfill_job", rows(ALL, KEPT, select="SELECT day AS dt, count(*) AS n, count(*) FILTER (ok) AS paid FROM z GROUP BY day"))
 def backfill_job(spark, sf):
     root = folder(spark)

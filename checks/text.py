@@ -36,7 +36,7 @@ PART_WORDS = {"Economy": ["economy", "budget"], "Standard": ["promo"], "Size": [
   SELECT CASE WHEN p_type IN ('ECONOMY') THEN 'Economy' WHEN p_type IN ('STANDARD', 'PROMO') THEN 'Standard'
     WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 'Size' END AS name, count(*) AS n FROM part GROUP BY 1""")
 def canonicalise(spark, sf):
-    raw = F.concat(F.lit(" "), F.initcap("p_type"), F.lit(" "))
+    raw = F.concat(F.lit("\t "), F.initcap("p_type"), F.lit(" \u00a0\n"))
     return table(spark, sf, "part").groupBy(text.canonical(raw, PART_WORDS).alias("name")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -222,8 +222,8 @@ pr AS (SELECT b.ats, b.slug, http, CASE WHEN http = 200 THEN l_linenumber - 1 EN
   CASE p_type WHEN 'ECONOMY' THEN 'Berlin' WHEN 'PROMO' THEN 'Remote, NYC' ELSE 'Tokyo' END AS location
   FROM b LEFT JOIN lineitem ON l_orderkey = b.o_orderkey LEFT JOIN part ON p_partkey = l_partkey),
 boards AS (SELECT ats, slug, max(http) AS http, count(pos) AS n_jobs,
-  coalesce(bool_or(pos < 3 AND location = 'Berlin'), false) AS has_eu,
-  coalesce(bool_or(pos < 3 AND location = 'Remote, NYC'), false) AS has_remote FROM pr GROUP BY 1, 2),
+  coalesce(bool_or(pos IS NOT NULL AND location = 'Berlin'), false) AS has_eu,
+  coalesce(bool_or(pos IS NOT NULL AND location = 'Remote, NYC'), false) AS has_remote FROM pr GROUP BY 1, 2),
 st AS (SELECT *, CASE WHEN http <> 200 THEN 'dead' WHEN n_jobs > 0 THEN 'active' ELSE 'empty' END AS status FROM boards),
 reg AS (SELECT slug AS name, ats, slug, status, n_jobs, has_eu, has_remote FROM (SELECT *, row_number() OVER (
   PARTITION BY lower(slug) ORDER BY status <> 'active', ats, slug) AS r FROM st) WHERE r = 1)"""
@@ -242,7 +242,7 @@ def probes(spark, sf):
 
 @check("registry_status", rows(PROBES, select="SELECT * FROM reg"))
 def registry_status(spark, sf):
-    return registry.board_registry(probes(spark, sf), sample=3)
+    return registry.board_registry(probes(spark, sf))
 
 
 @check("registry_summary", rows(PROBES, select="""
@@ -252,7 +252,7 @@ def registry_status(spark, sf):
          100 * count(*) FILTER (status = 'active' AND has_remote) // greatest(count(*) FILTER (status = 'active'), 1) AS remote_pct,
          CAST(coalesce(sum(n_jobs) FILTER (status = 'active'), 0) AS BIGINT) AS jobs FROM reg GROUP BY ats"""))
 def registry_summary(spark, sf):
-    return registry.registry_summary(registry.board_registry(probes(spark, sf), sample=3))
+    return registry.registry_summary(registry.board_registry(probes(spark, sf)))
 
 
 @check("slug_filter", """

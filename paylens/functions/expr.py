@@ -17,7 +17,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def lookup(mapping: Mapping[str, str], key: Column) -> Column:
+def lookup(mapping: Mapping[str, str | int], key: Column) -> Column:
     """Value of a small fixed mapping, NULL for an unknown key."""
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
     return F.try_element_at(F.create_map(*pairs), key)

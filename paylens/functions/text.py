@@ -38,8 +38,8 @@ def strip_html(text: str | Column, unescape_passes: int = 1) -> Column:
 
 
 def canonical(raw: str | Column, catalog: dict[str, list[str]] = v.SKILLS) -> Column:
-    """Canonical name of a raw label by exact, case-insensitive match, else NULL."""
-    return lookup(v.alias_map(catalog), F.lower(F.trim(col(raw))))
+    """Canonical name of a raw label by exact, case-insensitive match, white space around it aside, else NULL."""
+    return lookup(v.alias_map(catalog), F.lower(F.regexp_replace(col(raw), r"(?U)^\s+|\s+$", "")))
 
 
 def clean_labels(labels: str | Column, catalog: dict[str, list[str]] = v.SKILLS) -> Column:

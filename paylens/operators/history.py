@@ -32,8 +32,9 @@ def new_rows(today: DataFrame, history: DataFrame, dt, key: str = "job_uid", day
 
 
 def write_day(df: DataFrame, store: str, table: str, dt: str, append: bool = False, key: str = "job_uid") -> None:
-    """Replace (or extend) one day. Rows are range-partitioned and sorted by key; an empty frame clears the day."""
-    rows = df.drop("dt").sort(key)
+    """Replace (or extend) one day. Rows are dealt out by key and sorted by it in every file; an empty frame clears the
+    day."""
+    rows = df.drop("dt").repartition(key).sortWithinPartitions(key)
     rows.write.mode("append" if append else "overwrite").option("compression", "zstd").parquet(
         f"{store}/{table}/dt={dt}")
 
@@ -43,19 +44,10 @@ def backfill_rows(df: DataFrame, today: str, published: str = "published_at_raw"
     return df.withColumn("first_seen", F.coalesce(publish_date(published), F.lit(today).cast("date")))
 
 
-def write_backfill(df: DataFrame, store: str, table: str = "jobs", key: str = "job_uid",
-                   rows_per_file: int = 5_000_000) -> None:
-    """Rewrite a whole table, one partition per ``first_seen``.
-
-    Days are counted first. A day gets one file per ``rows_per_file`` rows, so a day that holds a third of all rows is
-    written by many tasks and a small one by a single task.
-    """
-    sizes = df.groupBy("first_seen").agg(F.count(F.lit(1)).alias("_size"))
-    files = F.ceil(F.col("_size") / rows_per_file)
-    sliced = df.join(sizes, "first_seen").withColumn("_slice", F.pmod(F.xxhash64(key), files)).drop("_size")
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (sliced.withColumn("dt", F.col("first_seen")).select(*df.columns, "dt", "_slice")
-     .repartition(tasks, "dt", "_slice").drop("_slice").sortWithinPartitions("dt", key)
+def write_backfill(df: DataFrame, store: str, table: str = "jobs", key: str = "job_uid") -> None:
+    """Rewrite a whole table, one partition per ``first_seen``. Rows are rebalanced by day: small days share a task, and
+    a day that holds a third of all rows is split over many."""
+    (df.withColumn("dt", F.col("first_seen")).hint("rebalance", "dt").sortWithinPartitions("dt", key)
      .write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
      .partitionBy("dt").parquet(f"{store}/{table}"))
 

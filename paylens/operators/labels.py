@@ -12,8 +12,6 @@ from paylens.functions import vocab as v
 from paylens.functions.text import add_implied, clean_labels, literal_mentions
 from paylens.operators.groups import first_occurrence, interleave
 
-MAX_BROADCAST_QUEUE = 100_000  # rows; a longer queue meets its texts by a shuffle
-
 Labeller = Callable[[list[dict]], dict]
 
 
@@ -63,11 +61,11 @@ def pending(df: DataFrame, processed: DataFrame, key: str = "job_uid", order: st
     return first_occurrence(df, key, order).join(processed.select(key).distinct(), key, "left_anti")
 
 
-def label_queue(df: DataFrame, processed: DataFrame, stale: DataFrame | None = None, limit: int = 5000, *,
+def label_queue(df: DataFrame, processed: DataFrame, stale: DataFrame | None = None, limit: int | None = None, *,
                 key: str = "job_uid", source: str = "source", description: str = "description",
                 has_pay: str = "has_salary", published: str = "published_at_raw",
                 order: str = "ingest_seq") -> DataFrame:
-    """Postings to label next, with their ``position``.
+    """Postings to label next, with their ``position``: all that wait, or the first ``limit``.
 
     Never labelled before stale, with pay before without, newest first, then round-robin over sources. Publish dates
     compare as the raw text; an unknown date comes first. Only keys and sort columns are shuffled; the texts of the
@@ -84,9 +82,7 @@ def label_queue(df: DataFrame, processed: DataFrame, stale: DataFrame | None = N
     waiting = waiting.select(key, source, order, "_stale", F.coalesce(has_pay, F.lit(False)).alias("_pay"),
                              date.alias("_date"))
     by = [F.asc("_stale"), F.desc("_pay"), F.desc("_date"), F.asc(order), F.asc(key)]
-    chosen = interleave(waiting, source, key, by, limit).select(key, order, "position")
-    if limit <= MAX_BROADCAST_QUEUE:
-        chosen = F.broadcast(chosen)
+    chosen = interleave(waiting, source, key, by, limit, lead=["_stale", "_pay", "_date"]).select(key, order, "position")
     return first_occurrence(texts.join(chosen, [key, order]), key, order)
 
 
@@ -98,13 +94,16 @@ def batches(queue: DataFrame, size: int = 10, position: str = "position") -> Dat
 
 def apply_labeller(df: DataFrame, call: Labeller, key: str = "job_uid", title: str = "title",
                    text: str = "description", size: int = 10, title_chars: int | None = None,
-                   text_chars: int | None = None) -> DataFrame:
-    """(key, labels) from a user's ``call([{id, title, text}]) -> {"items": [{id, skills}]}``, ``size`` rows a call.
+                   text_chars: int | None = None, max_failures: int = 5) -> DataFrame:
+    """(key, labels, status) from a user's ``call([{id, title, text}]) -> {"items": [{id, skills}]}``, ``size`` rows a
+    call.
 
-    An id that the reply leaves out, and every row of a failed call, gives no row and so stays queued. Texts go in
-    whole unless a limit in characters is given.
+    ``status`` is labelled, omitted (the reply leaves the id out) or failed (the call raised); only labelled rows have
+    labels, so the others stay queued. After ``max_failures`` failed calls in a row a task gives up and the job fails with
+    the last error. Texts go in whole unless a limit in characters is given.
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        failures = 0
         for frame in frames:
             for start in range(0, len(frame), size):
                 part = frame.iloc[start:start + size]
@@ -112,11 +111,14 @@ def apply_labeller(df: DataFrame, call: Labeller, key: str = "job_uid", title: s
                            for i, (t, x) in enumerate(zip(part["_title"], part["_text"]))]
                 try:
                     reply = {r["id"]: list(r.get("skills", [])) for r in call(payload).get("items", [])}
+                    missing, failures = "omitted", 0
                 except Exception:  # the labeller is foreign code: a failed call leaves its rows queued
-                    continue
-                hit = [i for i in range(len(part)) if i in reply]
-                yield pd.DataFrame({key: part[key].iloc[hit].to_numpy(),
-                                    "labels": pd.Series([reply[i] for i in hit], dtype=object)})
+                    reply, missing, failures = {}, "failed", failures + 1
+                    if failures >= max_failures:
+                        raise
+                yield pd.DataFrame({key: part[key].to_numpy(),
+                                    "labels": pd.Series([reply.get(i) for i in range(len(part))], dtype=object),
+                                    "status": ["labelled" if i in reply else missing for i in range(len(part))]})
 
     def cut(name: str, chars: int | None) -> Column:
         whole = F.coalesce(F.col(name), F.lit(""))
@@ -124,17 +126,18 @@ def apply_labeller(df: DataFrame, call: Labeller, key: str = "job_uid", title: s
 
     sent = df.select(key, cut(title, title_chars).alias("_title"), cut(text, text_chars).alias("_text"))
     kind = df.schema[key].dataType.simpleString()
-    labelled = sent.mapInPandas(run, f"{key} {kind}, labels array<string>")
+    labelled = sent.mapInPandas(run, f"{key} {kind}, labels array<string>, status string")
     return labelled.withColumn("labels", clean_labels("labels"))
 
 
 def literal_labeller(df: DataFrame, key: str = "job_uid", title: str = "title", text: str = "description",
                      catalog: dict[str, list[str]] = v.SKILLS,
                      implied: dict[str, list[str]] = v.IMPLIED_SKILLS) -> DataFrame:
-    """(key, labels): catalogue names that occur literally, plus what they imply. It matches words, not meaning, so
+    """(key, labels, status): catalogue names that occur literally, plus what they imply. It matches words, not meaning, so
     ordinary words that are also names ("go", "express", "helm") are over-labelled."""
     hay = F.concat_ws("\n", F.col(title), F.col(text))
-    return df.select(key, add_implied(literal_mentions(hay, catalog), implied).alias("labels"))
+    return df.select(key, add_implied(literal_mentions(hay, catalog), implied).alias("labels"),
+                     F.lit("labelled").alias("status"))
 
 
 def label_rows(labelled: DataFrame, version: str, at: Column, source: str = "literal",

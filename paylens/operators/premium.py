@@ -112,14 +112,15 @@ def _cell_medians(p: Pools) -> DataFrame:
 
 
 def _weighted(ratio: Column, weight: Column) -> Column:
-    return (F.sum(ratio * weight) / F.sum(weight) - 1) * 100
+    """Weighted mean of the ratios as a gain in per cent; a cell without a ratio, whose median is zero, is left out."""
+    return (F.sum(ratio * weight) / F.sum(F.when(ratio.isNotNull(), weight)) - 1) * 100
 
 
 def premium_from_pools(p: Pools, k: int | None = 10) -> DataFrame:
     """item, n, premium_pct, median_with: weighted mean of the strata's median ratios, positive ones, best first."""
     ranked = _cell_medians(p).groupBy("item").agg(
         F.sum("n_with").alias("n"),
-        _weighted(F.col("median_with") / F.col("median_without"), F.col("n_with")).alias("_pct"))
+        _weighted(F.try_divide("median_with", "median_without"), F.col("n_with")).alias("_pct"))
     ranked = ranked.where(F.col("_pct") > 0).withColumn("premium_pct", round_half_even(F.col("_pct"), 1))
     if k is not None:
         ranked = ranked.orderBy(F.desc("premium_pct"), "item").limit(k)
@@ -197,7 +198,7 @@ def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719) -> DataFr
     names = p.pools.select("pool", "cell", "item", "holds", "size")
     named = _resampled_medians(p, replicates, seed).join(names, "pool")
     ratios = named.groupBy("cell", "item", "rep").agg(
-        (F.max(F.when(F.col("holds"), F.col("_m"))) / F.max(F.when(~F.col("holds"), F.col("_m")))).alias("_ratio"),
+        F.try_divide(F.max(F.when(F.col("holds"), F.col("_m"))), F.max(F.when(~F.col("holds"), F.col("_m")))).alias("_ratio"),
         F.max(F.when(F.col("holds"), F.col("size"))).alias("n_with"))
     estimates = ratios.groupBy("item", "rep").agg(_weighted(F.col("_ratio"), F.col("n_with")).alias("_est"))
     ordered = estimates.where(F.col("_est").isNotNull()).groupBy("item").agg(

@@ -39,25 +39,48 @@ def volume_guard(history: DataFrame, today: DataFrame, source: str = "source", d
     return problems.where(enough)
 
 
-def run_counters(raw: DataFrame, kept: DataFrame, title: str = "title", department: str = "department") -> DataFrame:
-    """One row of run counters. Refused titles are counted on raw rows, pay problems on the deduplicated ones."""
+def run_counters(raw: DataFrame, priced: DataFrame, kept: DataFrame, title: str = "title",
+                 department: str = "department") -> DataFrame:
+    """One row of run counters. Refused titles are counted on raw rows; rejected ranges, currency conflicts and dropped
+    ratios on ``priced``, the target rows before duplicates go; pay out of bounds on the deduplicated rows."""
     refused = raw.agg(F.struct(
         F.count(F.lit(1)).alias("raw_jobs"),
         F.count_if(~is_target_role(title, department)).alias("filtered_non_tech"))).scalar()
     seen = kept.agg(
         F.count(F.lit(1)).alias("snapshot_rows"), F.count_if("has_salary").alias("with_salary"),
-        F.count_if("dropped_oob").alias("dropped_oob"), F.count_if("ratio_dropped").alias("ratio_guard_dropped"),
+        F.count_if("dropped_oob").alias("dropped_oob"))
+    read = priced.agg(F.struct(
+        F.count_if("ratio_dropped").alias("ratio_guard_dropped"),
         F.coalesce(F.sum("pay_rejected"), F.lit(0)).alias("pairs_rejected"),
-        F.count_if("pay_conflict").alias("currency_conflicts"))
-    return seen.withColumn("_raw", refused).select("_raw.*", *seen.columns)
+        F.count_if("pay_conflict").alias("currency_conflicts"))).scalar()
+    return seen.withColumns({"_raw": refused, "_read": read}).select("_raw.*", *seen.columns, "_read.*")
 
 
-def run_summary(raw: DataFrame, kept: DataFrame, dt: str, source: str = "source") -> DataFrame:
-    """The counters with the day and a map of rows per source (one entry per job board system)."""
+def label_counters(labelled: DataFrame) -> DataFrame:
+    """One row: postings handed to the labeller, labelled, labelled without a label, omitted, failed; and label rows."""
+    answered = F.col("status") == "labelled"
+    return labelled.agg(
+        F.count(F.lit(1)).alias("label_queue"), F.count_if(answered).alias("labelled"),
+        F.count_if(answered & (F.size("labels") == 0)).alias("labelled_empty"),
+        F.count_if(F.col("status") == "omitted").alias("labels_omitted"),
+        F.count_if(F.col("status") == "failed").alias("labels_failed"),
+        F.coalesce(F.sum(F.when(answered, F.greatest(F.size("labels"), F.lit(1)))), F.lit(0)).alias("label_rows"))
+
+
+def run_summary(raw: DataFrame, priced: DataFrame, kept: DataFrame, dt: str, new: DataFrame | None = None,
+                labelled: DataFrame | None = None, source: str = "source", board: str = "company") -> DataFrame:
+    """The counters with the day, a map of rows per source (one entry per job board system), the boards that had
+    postings, the new rows and the labelling counters."""
     per_source = source_counts(kept, source).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(source, "n")))).alias("by_source"))
-    return run_counters(raw, kept).select(
-        F.lit(dt).cast("date").alias("date"), per_source.scalar().alias("by_source"), "*")
+    boards = raw.agg(F.count_distinct(source, board))
+    out = run_counters(raw, priced, kept).select(
+        F.lit(dt).cast("date").alias("date"), per_source.scalar().alias("by_source"), boards.scalar().alias("boards"), "*")
+    if new is not None:
+        out = out.withColumn("new_rows", new.agg(F.count(F.lit(1))).scalar())
+    if labelled is not None:
+        out = out.withColumn("_labels", labelled.select(F.struct("*")).scalar()).select(*out.columns, "_labels.*")
+    return out
 
 
 def assertions(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

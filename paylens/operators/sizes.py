@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_FOLDER = "/tmp/checkpoints"
@@ -19,6 +21,13 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Write once as Parquet in the shared folder and read from there, so that later readers take only their columns."""
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder, so several readers reuse one computation and a lost executor costs
     nothing."""

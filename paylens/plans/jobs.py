@@ -13,7 +13,7 @@ from paylens.functions.money import normalise_pay, with_pay_range
 from paylens.operators import history, labels, quality, reports
 from paylens.operators.groups import first_occurrence
 from paylens.operators.premium import premium_with_ci
-from paylens.operators.sizes import materialise
+from paylens.operators.sizes import materialise, stage
 from paylens.sources.boards import read_postings
 
 LABEL_VERSION = "v1"
@@ -25,15 +25,23 @@ def target_postings(raw: DataFrame) -> DataFrame:
         "job_uid", classify.posting_key("source", "company", "job_id"))
 
 
+def priced_postings(targets: DataFrame, rates: DataFrame) -> DataFrame:
+    """Every target posting, duplicates included, without the text and with annual pay in US dollars."""
+    return normalise_pay(with_pay_range(targets).drop("description", "tier_pay", "range_pay"), rates)
+
+
 def normalise_postings(raw: DataFrame, rates: DataFrame, dt: str) -> DataFrame:
     """One normalised row per key, without the text: buckets, flags and annual pay in US dollars.
 
     Pay is read from the text before duplicates go, so that the shuffle moves thin rows only.
     """
-    thin = with_pay_range(target_postings(raw)).drop("description", "tier_pay", "range_pay")
-    priced = normalise_pay(first_occurrence(thin, "job_uid", "ingest_seq"), rates)
+    return distinct_postings(priced_postings(target_postings(raw), rates), dt)
+
+
+def distinct_postings(priced: DataFrame, dt: str) -> DataFrame:
+    """The first posting of each key in ingest order, with its buckets."""
     day = F.lit(dt).cast("date")
-    return priced.withColumns({
+    return first_occurrence(priced, "job_uid", "ingest_seq").withColumns({
         "snapshot_date": day, "first_seen": day,
         "region": classify.region_bucket("location_raw", "country"),
         "seniority": classify.seniority_bucket("title"),
@@ -50,41 +58,52 @@ def job_rows(kept: DataFrame) -> DataFrame:
     return kept.select(*schemas.JOBS.fieldNames())
 
 
-def label_day(raw: DataFrame, kept: DataFrame, store: str, dt: str, labeller: labels.Labeller | None = None,
-              limit: int = 5000, version: str = LABEL_VERSION) -> None:
-    """Label what the cache lacks, within the budget, and append it to the day. Without a labeller the literal one
-    runs."""
-    spark = raw.sparkSession
+def label_day(targets: DataFrame, kept: DataFrame, store: str, dt: str, labeller: labels.Labeller | None = None,
+              limit: int | None = None, version: str = LABEL_VERSION) -> DataFrame:
+    """Label every posting that the cache lacks, append the rows to the day and return the labelling counters.
+
+    Without a labeller the literal one runs, which needs no queue. A custom one is called in the order of the queue, for
+    at most ``limit`` postings if that is given.
+    """
+    spark = targets.sparkSession
     state = labels.cache_state(history.read_table(spark, store, "skills"), version)
     current, stale = state.where(F.col("state") == "current"), state.where(F.col("state") == "stale")
-    paid = kept.select("job_uid", "has_salary")
-    waiting = target_postings(raw).select("job_uid", "source", "title", "description", "published_at_raw", "ingest_seq")
-    queue = labels.label_queue(waiting.join(paid, "job_uid", "left"), current, stale, limit)
+    waiting = targets.select("job_uid", "source", "title", "description", "published_at_raw", "ingest_seq")
     if labeller is None:
-        labelled = labels.literal_labeller(queue)
+        thin = labels.pending(labels.worded(waiting).select("job_uid", "ingest_seq"), current)
+        labelled = labels.literal_labeller(waiting.join(thin, ["job_uid", "ingest_seq"], "left_semi"))
     else:
-        labelled = labels.apply_labeller(queue, labeller)
+        paid = kept.select("job_uid", "has_salary")
+        labelled = labels.apply_labeller(labels.label_queue(waiting.join(paid, "job_uid", "left"), current, stale, limit),
+                                         labeller)
+    labelled = materialise(labelled)  # a labeller is called once
     rows = labels.label_rows(labelled, version, F.current_timestamp(), "literal" if labeller is None else "custom")
-    history.write_day(materialise(rows), store, "skills", dt, append=True)  # the sort must not call a labeller twice
+    history.write_day(rows, store, "skills", dt, append=True)
+    return quality.label_counters(labelled)
 
 
 def daily_run(spark: SparkSession, landing: str, store: str, dt: str, rates: DataFrame,
               registry: DataFrame | None = None, label: bool = True, labeller: labels.Labeller | None = None,
-              limit: int = 5000, lines: bool = False) -> DataFrame:
-    """Ingest one day and return its summary row. Nothing is written if the volume guard objects; a re-run of the
-    day replaces its snapshot and its new keys."""
-    raw = read_postings(spark, landing, registry, lines)
-    kept = materialise(normalise_postings(raw, rates, dt))
+              limit: int | None = None, lines: bool = False) -> DataFrame:
+    """Ingest one day and return its summary row. Nothing is written to the store if the volume guard objects; a re-run
+    of the day replaces its snapshot and its new keys.
+
+    The dumps are read and parsed once, into Parquet in the shared folder; whatever follows takes its columns from there.
+    """
+    raw = stage(read_postings(spark, landing, registry, lines))
+    targets = target_postings(raw)
+    priced = stage(priced_postings(targets, rates))
+    kept = materialise(distinct_postings(priced, dt))
     past = history.read_table(spark, store, "snapshots").where(F.col("dt") != F.lit(dt).cast("date"))
     problems = quality.volume_guard(past, kept).collect()  # at most one row per source and one for the total
     if problems:
         raise quality.VolumeGuardError("; ".join(f"{p.scope}: {p.got} rows, expected about {p.expected:.0f}"
                                                  for p in problems))
     history.write_day(snapshot_rows(kept), store, "snapshots", dt)
-    history.write_day(history.new_rows(job_rows(kept), history.read_table(spark, store, "jobs"), dt), store, "jobs", dt)
-    if label:
-        label_day(raw, kept, store, dt, labeller, limit)
-    summary = quality.run_summary(raw, kept, dt)
+    new = materialise(history.new_rows(job_rows(kept), history.read_table(spark, store, "jobs"), dt))
+    history.write_day(new, store, "jobs", dt)
+    labelled = label_day(targets, kept, store, dt, labeller, limit) if label else None
+    summary = quality.run_summary(raw, priced, kept, dt, new, labelled)
     summary.write.mode("overwrite").json(f"{store}/runs/dt={dt}")
     return spark.read.schema(summary.schema).json(f"{store}/runs/dt={dt}")
 

@@ -32,10 +32,13 @@ ASHBY = struct(jobs=T.ArrayType(struct(
     id=S, title=S, department=S, employmentType=S, location=S, publishedAt=S, isRemote=B, jobUrl=S,
     descriptionPlain=S, compensation=TIER_PAY)))
 
+# Place of a posting in the landing: file, block and line of the document in it, place in the document. Compares in
+# ingest order, and no two postings share it.
+ORIGIN = struct(file=S, block=L, line=L, place=L)
 POSTING = struct(
     source=S, company=S, job_id=S, title=S, location_raw=S, is_remote=B, employment_type=S, published_at_raw=S,
     published_at=T.TimestampType(), apply_url=S, department=S, description=S, tier_pay=TIER_PAY, range_pay=RANGE_PAY,
-    country=S, ingest_seq=L)
+    country=S, ingest_seq=ORIGIN)
 
 SNAPSHOTS = struct(
     job_uid=S, snapshot_date=T.DateType(), source=S, company=S, region=S, is_remote=B, seniority=S, is_management=B,

@@ -22,7 +22,7 @@ SOURCES = {"greenhouse": schemas.GREENHOUSE, "lever": T.ArrayType(schemas.LEVER)
 
 
 def _dumps(spark: SparkSession, landing: str, source: str, streaming: bool = False, lines: bool = False) -> DataFrame:
-    """(company, jobs) per landed document. A malformed document gives no jobs."""
+    """(company, origin, jobs) per landed document. A malformed document gives no jobs; ``bad_documents`` counts them."""
     reader = (spark.readStream if streaming else spark.read).schema("value string, company string")
     try:
         texts = reader.option("wholetext", not lines).text(f"{landing}/source={source}")
@@ -31,7 +31,31 @@ def _dumps(spark: SparkSession, landing: str, source: str, streaming: bool = Fal
             raise
         texts = spark.createDataFrame([], "value string, company string")
     jobs = F.from_json("value", SOURCES[source])
-    return texts.select("company", (jobs if source == "lever" else jobs["jobs"]).alias("jobs"))
+    return texts.select("company", _origin(texts, streaming).alias("origin"), "value",
+                        (jobs if source == "lever" else jobs["jobs"]).alias("jobs"))
+
+
+def _origin(texts: DataFrame, streaming: bool) -> Column:
+    """File, block and running number inside the block, which orders the documents of a landing. A stream has no
+    running number, so there the lines of one file count as one document."""
+    if not streaming and not texts.inputFiles():
+        return F.struct(F.lit("").alias("file"), F.lit(0).alias("block"), F.lit(0).alias("line"))
+    line = F.lit(0) if streaming else F.monotonically_increasing_id()
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    line.alias("line"))
+
+
+def _jobs(dumps: DataFrame) -> DataFrame:
+    """One row per posting of the documents, with its place as ``seq``."""
+    jobs = dumps.select("company", "origin", F.posexplode("jobs").alias("place", "j"))
+    return jobs.select("company", "j", F.struct("origin.*", F.col("place").cast("long").alias("place")).alias("seq"))
+
+
+def bad_documents(spark: SparkSession, landing: str, lines: bool = False) -> DataFrame:
+    """(source, company, documents): landed documents that hold no list of postings, by board."""
+    found = [_dumps(spark, landing, s, lines=lines).where("jobs IS NULL").select(F.lit(s).alias("source"), "company")
+             for s in SOURCES]
+    return reduce(DataFrame.unionByName, found).groupBy("source", "company").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def _postings(df: DataFrame, source: str, **columns: Column) -> DataFrame:
@@ -45,7 +69,7 @@ def _postings(df: DataFrame, source: str, **columns: Column) -> DataFrame:
 
 
 def greenhouse_postings(dumps: DataFrame, unescape_passes: int = 1) -> DataFrame:
-    jobs = dumps.select("company", F.posexplode("jobs").alias("seq", "j"))
+    jobs = _jobs(dumps)
     place = blank(F.col("j.location.name"))
     return _postings(
         jobs, "greenhouse", company=F.col("company"), job_id=F.col("j.id"), title=F.col("j.title"), location_raw=place,
@@ -56,7 +80,7 @@ def greenhouse_postings(dumps: DataFrame, unescape_passes: int = 1) -> DataFrame
 
 
 def lever_postings(dumps: DataFrame) -> DataFrame:
-    jobs = dumps.select("company", F.posexplode("jobs").alias("seq", "j"))
+    jobs = _jobs(dumps)
     return _postings(
         jobs, "lever", company=F.col("company"), job_id=F.col("j.id"), title=F.col("j.text"),
         location_raw=F.col("j.categories.location"), is_remote=F.lower(blank(F.col("j.workplaceType"))) == "remote",
@@ -66,7 +90,7 @@ def lever_postings(dumps: DataFrame) -> DataFrame:
 
 
 def ashby_postings(dumps: DataFrame) -> DataFrame:
-    jobs = dumps.select("company", F.posexplode("jobs").alias("seq", "j"))
+    jobs = _jobs(dumps)
     return _postings(
         jobs, "ashby", company=F.col("company"), job_id=F.col("j.id"), title=F.col("j.title"),
         location_raw=F.col("j.location"), is_remote=F.coalesce(F.col("j.isRemote"), F.lit(False)),

@@ -22,14 +22,14 @@ def read_registry(spark: SparkSession, path: str, only_active: bool = True) -> D
                       F.coalesce("name", "slug").alias("name"))
 
 
-def board_registry(probes: DataFrame, sample: int = 25) -> DataFrame:
+def board_registry(probes: DataFrame, sample: int | None = None) -> DataFrame:
     """One row per board name from probe results (ats, slug, http, pos, location): status, size and hints.
 
-    ``pos`` is the 0-based place of a posting in its board, NULL for a board without postings. Hints look at the first
-    ``sample`` places only. Boards whose names differ only by case are one board, the active one if any.
+    ``pos`` is the 0-based place of a posting in its board, NULL for a board without postings. Hints look at all places,
+    or at the first ``sample`` if that is given. Boards whose names differ only by case are one board, the active one if any.
     """
     place = F.lower(blank(F.col("location")))
-    seen = F.col("pos") < sample
+    seen = F.col("pos").isNotNull() if sample is None else F.col("pos") < sample
     european = reduce(lambda a, b: a | b, [place.contains(w) for w in v.BOARD_EU_HINTS])
     boards = probes.groupBy("ats", "slug").agg(
         F.max("http").alias("_http"), F.count("pos").alias("n_jobs"),

@@ -11,10 +11,10 @@ from paylens.streaming.ingest import stream_ingest
 GREENHOUSE = {"jobs": [
     {"id": 11, "title": "Backend Engineer II", "location": {"name": "Remote, Berlin"},
      "content": "&lt;p&gt;Python &amp;amp; Go. Salary range: &lt;b&gt;$150,000 - $190,000&lt;/b&gt;&lt;/p&gt;",
-     "first_published": "2026-04-17T23:58:03-04:00", "updated_at": "2026-07-17T08:48:22-04:00",
+     "first_published": "2026-04-17T23:58:03-04:00", "updated_at": "2026-06-30T12:00:00-04:00",
      "absolute_url": "https://x/11", "departments": [{"id": 1, "name": "Eng"}]},
     {"id": 11, "title": "Backend Engineer II (copy)", "location": {"name": "Paris"}, "content": "none",
-     "updated_at": "2026-07-17T08:48:22-04:00"},
+     "updated_at": "2026-06-30T12:00:00-04:00"},
     {"id": 12, "title": "Account Executive", "location": None, "content": None, "departments": []}]}
 LEVER = [{"id": "aa", "text": "Senior Data Engineer", "categories": {"commitment": "Full-time", "location": "NYC",
           "team": "Data"}, "createdAt": 1700000000000, "descriptionPlain": "Spark and Kafka", "workplaceType": "hybrid",
@@ -53,7 +53,7 @@ def fx(spark):
 
 
 def test_readers(spark, landing):
-    firsts = boards.read_postings(spark, str(landing)).where("ingest_seq != 1 or source != 'greenhouse'")
+    firsts = boards.read_postings(spark, str(landing)).where("ingest_seq.place != 1 or source != 'greenhouse'")
     got = {r.job_id: r for r in firsts.collect()}
     assert set(got) == {"11", "12", "aa", "bb", "z1"}
     g, lv, a = got["11"], got["aa"], got["z1"]
@@ -73,6 +73,7 @@ def test_daily_run_is_idempotent_and_labels(spark, landing, fx, tmp_path):
         summary = jobs.daily_run(spark, str(landing), store, "2026-08-20", fx).first()
     assert (summary.raw_jobs, summary.filtered_non_tech, summary.snapshot_rows, summary.with_salary) == (6, 1, 4, 3)
     assert {k: v for k, v in summary.by_source.items()} == {"ashby": 1, "greenhouse": 1, "lever": 2}
+    assert (summary.boards, summary.new_rows, summary.labelled) == (3, 4, 0)  # the second run finds all labelled
     snap = {r.job_uid: r for r in history.read_table(spark, store, "snapshots").collect()}
     assert len(snap) == 4 and history.read_table(spark, store, "jobs").count() == 4
     g = snap["greenhouse:007:11"]
@@ -208,7 +209,7 @@ def test_registry(spark, tmp_path):
         "ats string, slug string, http int, pos int, location string")
     boards_ = registry.board_registry(probes)
     assert {(r.slug, r.status, r.n_jobs, r.has_eu, r.has_remote) for r in boards_.collect()} == {
-        ("acme", "active", 3, True, False), ("far", "active", 40, False, False), ("gone", "dead", 0, False, False),
+        ("acme", "active", 3, True, False), ("far", "active", 40, False, True), ("gone", "dead", 0, False, False),
         ("nil", "empty", 0, False, False)}
     summary = {r.ats: r for r in registry.registry_summary(boards_).collect()}
     assert (summary["lever"].active, summary["lever"].eu_pct, summary["lever"].jobs) == (2, 50, 43)

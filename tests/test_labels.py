@@ -1,6 +1,8 @@
 import random
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def queue_input(spark, rows):
                                        "published_at_raw string, ingest_seq int")
 
 
-def test_queue_matches_a_simulation(spark):
+def test_queue_matches_ranks_in_sql(spark):
     rng = random.Random(9)
     rows = []
     for i in range(300):
@@ -37,23 +39,23 @@ def test_queue_matches_a_simulation(spark):
                      bool(rng.getrandbits(1)), rng.choice([None, "", "2026-01-01", "2026-01-02", "2026-01"]), i))
     done = {f"k{i}" for i in range(0, 220, 7)}
     old = {f"k{i}" for i in range(0, 220, 5)}
-    seen, waiting = set(), []
-    for row in rows:
-        if row[0] in done or row[0] in seen or not (row[2] or "").strip():
-            continue
-        seen.add(row[0])
-        waiting.append(row)
-    waiting.sort(key=lambda r: (r[0] in old, not r[3], tuple(-ord(c) for c in r[4] or "")))
-    lines = {}
-    for row in waiting:
-        lines.setdefault(row[1], []).append(row[0])
-    want = []
-    while any(lines.values()):
-        want += [line.pop(0) for line in lines.values() if line]
+    con = duckdb.connect()
+    posts = pd.DataFrame(rows, columns=["k", "source", "txt", "pay", "day", "seq"])  # noqa: F841  (read by DuckDB)
+    done_, old_ = pd.DataFrame({"k": sorted(done)}), pd.DataFrame({"k": sorted(old)})  # noqa: F841
+    want = [r[0] for r in con.execute("""
+      WITH firsts AS (SELECT * FROM posts WHERE trim(coalesce(txt, '')) <> '' AND k NOT IN (SELECT k FROM done_)
+        QUALIFY row_number() OVER (PARTITION BY k ORDER BY seq) = 1),
+      ranked AS (SELECT *, rank() OVER (ORDER BY k IN (SELECT k FROM old_), NOT pay,
+        CASE WHEN coalesce(day, '') = '' THEN 0 ELSE 1 END, rpad(coalesce(day, ''), 10, '~') DESC, seq) AS best FROM firsts),
+      turns AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY best) AS turn,
+        min(best) OVER (PARTITION BY source) AS lead FROM ranked)
+      SELECT k FROM turns ORDER BY turn, lead""").fetchall()]
+    assert len(want) > 80
     keys = lambda ks: spark.createDataFrame([(k,) for k in ks], "job_uid string")
-    for limit in (500, 25, 3):
+    for limit in (None, 500, 25, 3):
         got = labels.label_queue(queue_input(spark, rows).repartition(5), keys(done), keys(old), limit).orderBy("position")
-        assert [r.job_uid for r in got.collect()] == want[:limit]
+        found = got.collect()
+        assert [r.job_uid for r in found] == want[:limit] and [r.position for r in found] == list(range(1, len(found) + 1))
     numbered = labels.batches(got.select("position")).collect()
     assert [(r.batch, r.batch_id) for r in sorted(numbered)] == [(0, 0), (0, 1), (0, 2)]
 
@@ -69,7 +71,9 @@ def test_labeller_contract(spark):
         return {"items": [{"id": p["id"], "skills": ["react", "junk", "REACT"] if p["id"] else []}
                           for p in payload if p["id"] != 3]}
 
-    got = {r.job_uid: r.labels for r in labels.apply_labeller(df, call).collect()}
+    answers = labels.apply_labeller(df, call).collect()
+    assert sorted(r.status for r in answers) == ["failed"] * 10 + ["labelled"] * 13 + ["omitted"] * 2
+    got = {r.job_uid: r.labels for r in answers if r.status == "labelled"}
     assert len(got) == 25 - 10 - 2 and got["k10"] == [] and got["k11"] == ["React"] and "k13" not in got
     rows = labels.label_rows(labels.apply_labeller(df, call), "v1", F.current_timestamp()).collect()
     assert sum(r.skill is None for r in rows) == 2 and {r.skill for r in rows} == {None, "React"}
@@ -77,7 +81,9 @@ def test_labeller_contract(spark):
     def short(payload):
         assert all(len(p["title"]) == 200 and len(p["text"]) <= 4000 for p in payload)
         return {"items": []}
-    assert labels.apply_labeller(df, short, title_chars=200, text_chars=4000).count() == 0
+    assert labels.apply_labeller(df, short, title_chars=200, text_chars=4000).where("labels IS NOT NULL").count() == 0
+    with pytest.raises(Exception, match="boom"):
+        labels.apply_labeller(df, call, size=1, max_failures=1).collect()
 
 
 def test_tally(spark):

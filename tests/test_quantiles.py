@@ -1,7 +1,9 @@
 import random
 from statistics import median
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,23 +46,23 @@ def test_bucket_never_decreases(spark):
     assert got == sorted(got)
 
 
-def naive_premium(rows, min_cell=8, min_total=15):
-    known = [r for r in rows if r[2] is not None]
-    out = {}
-    for item in {i for r in known for i in r[2]}:
-        pools, total, pooled = [], 0, []
-        for s in {r[0] for r in known}:
-            w = [r[1] for r in known if r[0] == s and item in r[2]]
-            wo = [r[1] for r in known if r[0] == s and item not in r[2]]
-            total += len(w)
-            if len(w) >= min_cell and len(wo) >= min_cell:
-                pools.append((w, wo))
-                pooled += w
-        if total >= min_total and pools:
-            pct = (sum(median(w) / median(wo) * len(w) for w, wo in pools) / len(pooled) - 1) * 100
-            if pct > 0:
-                out[item] = (len(pooled), pct, median(pooled), pools)
-    return out
+PREMIUM_SQL = """
+WITH known AS (SELECT row_number() OVER () AS k, * FROM postings WHERE items IS NOT NULL),
+names AS (SELECT DISTINCT unnest(items) AS item FROM known),
+cells AS (SELECT item, s, list(pay) FILTER (list_contains(items, item)) AS holding,
+    list(pay) FILTER (NOT list_contains(items, item)) AS lacking FROM known CROSS JOIN names GROUP BY item, s),
+sized AS (SELECT *, sum(coalesce(len(holding), 0)) OVER (PARTITION BY item) AS total FROM cells),
+good AS (SELECT * FROM sized WHERE len(holding) >= 8 AND len(lacking) >= 8 AND total >= 15)
+SELECT item, sum(len(holding)) AS n,
+  (sum(list_median(holding) / list_median(lacking) * len(holding)) / sum(len(holding)) - 1) * 100 AS pct,
+  list_median(flatten(list(holding))) AS mid, list((holding, lacking)) AS pools
+FROM good GROUP BY item HAVING pct > 0"""
+
+
+def premium_by_sql(rows):
+    """item to (n, per cent, median, [(pay of holders, pay of others)])."""
+    postings = pd.DataFrame(rows, columns=["s", "pay", "items"])  # noqa: F841  (read by DuckDB)
+    return {r[0]: (int(r[1]), *r[2:]) for r in duckdb.connect().execute(PREMIUM_SQL).fetchall()}
 
 
 def _rows(seed, n=900):
@@ -73,12 +75,12 @@ def _rows(seed, n=900):
     return rows + [("tiny", 1e5, ["Z"])] * 9
 
 
-def test_premium_matches_naive(spark):
+def test_premium_matches_sql(spark):
     for seed in (1, 2):
         rows = _rows(seed)
         df = spark.createDataFrame(rows, "s string, pay double, items array<string>").repartition(6)
         got = {r.item: r for r in pr.stratified_premium(df, "items", "pay", ["s"], k=None).collect()}
-        want = naive_premium(rows)
+        want = premium_by_sql(rows)
         assert set(got) == set(want)
         for item, (n, pct, mid, _) in want.items():
             assert got[item].n == n and got[item].premium_pct == pytest.approx(pct, abs=.0501)
@@ -100,7 +102,7 @@ def test_interval_matches_full_resampling(spark):
     df = spark.createDataFrame(rows, "s string, pay double, items array<string>").repartition(6)
     got = {r.item: r for r in pr.premium_with_ci(df, "items", "pay", ["s"], replicates=1000).collect()}
     rng = np.random.default_rng(0)
-    want = naive_premium(rows)
+    want = premium_by_sql(rows)
     assert "B" in got and set(got) == set(want)
     for item, (n, pct, _, pools) in want.items():
         est = sorted((sum(np.median(rng.choice(w, len(w))) / np.median(rng.choice(wo, len(wo))) * len(w)
