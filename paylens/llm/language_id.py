@@ -37,13 +37,13 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Marked lower-case words; empty if no character is a letter."""
+    """Lower-case words; empty if no character is a letter."""
     found = _LETTERS.findall(text.lower()) if text else []
     if not any(c.isalpha() for w in found for c in w):
         return []
-    if any(len(w) > MAX_WORD for w in found):
+    if len(max(found, key=len)) > MAX_WORD:
         found = [w[at:at + MAX_WORD] for w in found for at in range(0, len(w), MAX_WORD)]
-    return [spm_model.MARK + w for w in found]
+    return found
 
 
 def vocabulary(path: str = spm_model.VOCABULARY) -> list[str]:
@@ -56,20 +56,44 @@ def vocabulary(path: str = spm_model.VOCABULARY) -> list[str]:
 
 class Lattice:
     """The pieces of words: ids[w, j, k] is the piece that ends at character j and has k + 1 characters, or that of no
-    piece (size of the vocabulary), which has probability 0, or UNSEEN for a single character."""
+    piece (size of the vocabulary), which has probability 0, or UNSEEN for a single character. Substrings of all words
+    are looked up at once by a 64-bit hash: first in a table of hash prefixes, then among the sorted hashes of pieces."""
 
     def __init__(self, pieces: list[str]) -> None:
-        self.number = {p: k for k, p in enumerate(pieces)}
         self.none, self.unseen = len(pieces), len(pieces) + 1
+        rng = np.random.default_rng(7)
+        self.factors = rng.integers(0, 2**63, MAX_PIECE, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.lengths = rng.integers(0, 2**63, MAX_PIECE, np.uint64)
+        keys = np.empty(len(pieces), np.uint64)
+        for k, piece in enumerate(pieces):
+            chars = np.array([piece]).view(np.uint32).astype(np.uint64)[::-1]
+            total = (chars * self.factors[:len(chars)]).sum(keepdims=True, dtype=np.uint64)
+            keys[k] = self._mix(total, len(chars) - 1)[0]
+        self.order = np.argsort(keys).astype(np.int32)
+        self.keys = keys[self.order]
+        self.filter = np.zeros(1 << 20, bool)
+        self.filter[keys >> np.uint64(44)] = True
+
+    def _mix(self, h, k: int):
+        h = (h ^ self.lengths[k]) * np.uint64(0x9E3779B97F4A7C15)
+        return (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
 
     def ids(self, words: list[str]) -> np.ndarray:
         """Words of one length."""
-        get, size = self.number.get, len(words[0])
+        size = len(words[0])
+        chars = np.array(words, f"U{size}").view(np.uint32).reshape(len(words), size).astype(np.uint64)
         out = np.full((len(words), size, MAX_PIECE), self.none, np.int32)
-        for j in range(size):
-            out[:, j, 0] = [get(w[j], self.unseen) for w in words]
-            for k in range(1, min(MAX_PIECE, j + 1)):
-                out[:, j, k] = [get(w[j - k:j + 1], self.none) for w in words]
+        out[:, :, 0] = self.unseen
+        h = np.zeros_like(chars)
+        for k in range(min(MAX_PIECE, size)):
+            h = h[:, 1:] if k else h  # ends from character k on
+            h = h + chars[:, :size - k] * self.factors[k]
+            mixed = self._mix(h, k)
+            word, end = np.nonzero(self.filter[mixed >> np.uint64(44)])
+            found = mixed[word, end]
+            place = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+            right = self.keys[place] == found
+            out[word[right], end[right] + k, k] = self.order[place[right]]
         return out
 
 
@@ -104,6 +128,7 @@ def scaled(theta: np.ndarray, pieces: list[str]) -> np.ndarray:
 
 def log_probs(words: list[str], lattice: Lattice, probs: np.ndarray) -> np.ndarray:
     """Log-probability of every word in every language, summed over all segmentations."""
+    words = [spm_model.MARK + w for w in words]
     out = np.empty((len(words), probs.shape[1]))
     for places in by_length(words):
         some = [words[p] for p in places]
@@ -114,6 +139,7 @@ def log_probs(words: list[str], lattice: Lattice, probs: np.ndarray) -> np.ndarr
 def expected_counts(words: list[str], weight: np.ndarray, lang: np.ndarray, lattice: Lattice, probs: np.ndarray
                     ) -> np.ndarray:
     """Expected uses of every piece (piece x language) in words of known language, each counted ``weight`` times."""
+    words = [spm_model.MARK + w for w in words]
     langs = probs.shape[1]
     total = np.zeros(probs.shape[0] * langs)
     for places in by_length(words):
@@ -155,22 +181,17 @@ class Scorer:
         self.place: dict[str, int] = {}
         self.table = np.empty((0, len(model.languages)))
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.place) + len(new) > CACHE_WORDS:
-            self.place.clear()
-            self.table = self.table[:0]
-        self.place |= {w: len(self.place) + k for k, w in enumerate(new)}
-        self.table = np.vstack([self.table, log_probs(new, self.lattice, self.probs)])
-
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if not self.languages:
             return [("und", 0.0)] * len(texts)
         counted = [Counter(words_of(t)) for t in texts]
         wanted = set().union(*counted)
-        if not wanted <= self.place.keys():
-            self._learn(sorted(wanted - self.place.keys()))
-            if not wanted <= self.place.keys():  # the cache was emptied
-                self._learn(sorted(wanted - self.place.keys()))
+        if len(self.place) > CACHE_WORDS:
+            self.place.clear()
+            self.table = self.table[:0]
+        if new := [w for w in wanted if w not in self.place]:
+            self.table = np.vstack([self.table, log_probs(new, self.lattice, self.probs)])
+            self.place |= {w: len(self.place) + k for k, w in enumerate(new)}
         out = []
         for words in counted:
             if not words:
