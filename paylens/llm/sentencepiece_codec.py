@@ -131,11 +131,10 @@ class Coder:
         whole = [self.normalise(t) for t in texts]
         cut = [_PART.findall(t) if self.separable else [t] if t else [] for t in whole]
         wanted = set(chain.from_iterable(cut))
-        if not wanted <= self.parts.keys():
-            if len(self.parts) > CACHE_PARTS:
-                self.parts.clear()
-                self.odd.clear()
-            new = list(wanted - self.parts.keys())
+        if len(self.parts) > CACHE_PARTS:
+            self.parts.clear()
+            self.odd.clear()
+        if new := [p for p in wanted if p not in self.parts]:
             coded = self.fast.encode_batch_fast(new, add_special_tokens=False)
             for part, fast, exact in zip(new, coded, self._by_library(new), strict=True):
                 ids = fast.ids
