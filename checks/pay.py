@@ -32,11 +32,29 @@ def stratified_premium(spark, sf):
     return pr.stratified_premium(paid(labelled_postings(spark, sf), "pay", has_salary="has_pay"), "skills", "pay", STRATA)
 
 
-@check("premium_bootstrap_ci")
+REPLICATES = 20
+RESAMPLED = f"""pool AS (SELECT x.item, x.seniority, x.region, has, pay, row_number() OVER w AS r, count(*) OVER w2 AS n
+  FROM x JOIN ok ON x.item = ok.item AND x.seniority = ok.seniority AND x.region = ok.region
+  JOIN premium ON x.item = premium.item WINDOW w AS (PARTITION BY x.item, x.seniority, x.region, has ORDER BY pay),
+  w2 AS (PARTITION BY x.item, x.seniority, x.region, has)),
+draw AS (SELECT item, seniority, region, has, n, rep, 1 + ('0x' || substr(md5('20260719|' || has || '|' || item || '|' ||
+    seniority || '|' || region || '|' || rep || '|' || (r - 1)), 1, 8))::BIGINT % n AS r
+  FROM pool, (SELECT unnest(range({REPLICATES})) AS rep)),
+med AS (SELECT d.item, d.seniority, d.region, d.has, d.rep, max(d.n) AS n, median(pool.pay) AS m FROM draw d JOIN pool
+  ON d.item = pool.item AND d.seniority = pool.seniority AND d.region = pool.region AND d.has = pool.has AND d.r = pool.r
+  GROUP BY 1, 2, 3, 4, 5),
+est AS (SELECT a.item, a.rep, (sum(a.m / b.m * a.n) / sum(a.n) - 1) * 100 AS e FROM med a JOIN med b ON a.item = b.item
+  AND a.seniority = b.seniority AND a.region = b.region AND a.rep = b.rep AND a.has AND NOT b.has GROUP BY 1, 2),
+ci AS (SELECT item, list_sort(list(e)) AS l FROM est GROUP BY 1)"""
+
+
+@check("premium_bootstrap_ci", rows(P, S, L, PREMIUM, RESAMPLED, select=f"""
+  SELECT premium.*, round_even(l[CAST(floor(0.025 * {REPLICATES - 1}) AS INT) + 1], 1) AS ci_lo,
+         round_even(l[CAST(floor(0.975 * {REPLICATES - 1}) AS INT) + 1], 1) AS ci_hi FROM premium JOIN ci ON premium.item = ci.item"""))
 def premium_bootstrap_ci(spark, sf):
-    """No SQL can draw the same resamples; the interval is tested against full resampling on a fixture."""
+    """Few full resamples, drawn by md5 so that SQL can replay them."""
     return pr.premium_with_ci(paid(labelled_postings(spark, sf), "pay", has_salary="has_pay"), "skills", "pay", STRATA,
-                              replicates=1000)
+                              replicates=REPLICATES, draw="md5")
 
 
 PAID = "v AS (SELECT * FROM p WHERE NOT is_management AND pay IS NOT NULL)"

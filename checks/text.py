@@ -209,10 +209,20 @@ def micro_f1(spark, sf):
     return evaluate.micro_f1(evaluate.label_counts(*judged(spark, sf))).withColumn("f1", F.round("f1", 6))
 
 
-@check("micro_f1_bootstrap")
+@check("micro_f1_bootstrap", rows(GOLD, """o AS (SELECT *, row_number() OVER (ORDER BY tp, fp, fn, doc_id) - 1 AS i,
+  count(*) OVER () AS n FROM c)""", """s AS (SELECT rep, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM (
+    SELECT rep, ('0x' || substr(md5('11|' || rep || '|' || o.i), 1, 8))::BIGINT % n AS k
+    FROM o, (SELECT unnest(range(40)) AS rep)) d JOIN o ON o.i = d.k GROUP BY rep),
+f AS (SELECT list_sort(list(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END)) AS l FROM s),
+t AS (SELECT count(*) AS docs, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM c)""",
+                                  select="""
+  SELECT t.*, round(2.0 * tp / (2 * tp + fp + fn), 6) AS f1, round(l[CAST(floor(0.025 * 39) AS INT) + 1], 6) AS ci_lo,
+         round(l[CAST(floor(0.975 * 39) AS INT) + 1], 6) AS ci_hi, 2.0 * tp / (2 * tp + fp + fn) >= 0.75 AS accepted
+  FROM t, f"""))
 def micro_f1_bootstrap(spark, sf):
-    """No SQL can draw the same resamples; the interval is tested against full resampling on a fixture."""
-    return evaluate.evaluate_labels(*judged(spark, sf))
+    """Forty full resamples, drawn by md5 so that SQL can replay them."""
+    return evaluate.evaluate_labels(*judged(spark, sf), replicates=40, draw="md5").withColumns(
+        {c: F.round(c, 6) for c in ("f1", "ci_lo", "ci_hi")})
 
 
 # Boards: two orders share a board name that differs by case; line items are its postings.

@@ -169,34 +169,74 @@ def _draw_ranks(replicates: int, seed: int):
     return draw
 
 
-def _resampled_medians(p: Pools, replicates: int, seed: int) -> DataFrame:
-    """pool, rep and the median of the pool in that replicate."""
-    drawn = materialise(p.pools.select("pool", _draw_ranks(replicates, seed)(
-        F.xxhash64("holds", *p.cell_keys), F.col("size")).alias("d")).select("pool", "d.*"))
-    spans = drawn.select("pool", F.array_min("low").alias("_first"), F.array_max("high").alias("_last"))
+def _order_statistics(p: Pools, replicates: int, seed: int) -> DataFrame:
+    """(pool, rep, _rank): the one or two ranks that carry the median of each replicate, by their law."""
+    drawn = p.pools.select("pool", _draw_ranks(replicates, seed)(
+        F.xxhash64("holds", *p.cell_keys), F.col("size")).alias("d")).select("pool", "d.*")
+    return (drawn.select("pool", F.posexplode(F.arrays_zip("low", "high")).alias("rep", "d"))
+            .select("pool", "rep", F.explode(F.array("d.low", "d.high")).alias("_rank")))
+
+
+def _full_draws(p: Pools, replicates: int, seed: int) -> DataFrame:
+    """The same from n draws by md5, which any engine can replay: draw i of a replicate is the first 32 bits of the md5
+    of seed, pool, replicate and i, modulo n. Costs n times ``replicates``, so it is meant for few replicates."""
+    chunk = 100_000
+    pools = p.pools.select("pool", "size", F.concat_ws("|", F.lit(seed), "holds", *p.cell_keys).alias("_name"))
+    reps = pools.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
+    parts = reps.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / chunk))).alias("_part"))
+    first = F.col("_part") * chunk
+    draws = parts.repartition("pool", "rep", "_part").select(
+        "pool", "rep", "size", "_name", F.explode(F.sequence(first, F.least(first + chunk, F.col("size")) - 1)).alias("_i"))
+    key = F.concat_ws("|", "_name", "rep", "_i").cast("binary")
+    rank = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % F.col("size") + 1
+    counts = value_counts(draws.select("pool", "rep", rank.alias("_drawn")), ["pool", "rep"], "_drawn")
+    picks = locate(bucket_counts(counts, ["pool", "rep"]), ["pool", "rep"], {"low": lambda n: F.array(F.floor((n + 1) / 2)),
+                                                                            "high": lambda n: F.array(F.floor(n / 2) + 1)})
+    ends = resolve(counts, picks, ["pool", "rep"], ["low", "high"])
+    return ends.select("pool", "rep", F.explode(F.array(F.col("low").cast("bigint"), F.col("high").cast("bigint"))).alias("_rank"))
+
+
+DRAWS = {"order": _order_statistics, "md5": _full_draws}
+
+
+def _resampled_medians(p: Pools, replicates: int, seed: int, draw: str) -> DataFrame:
+    """pool, rep and the median of the pool in that replicate.
+
+    Wanted ranks meet values in one ordered pass per pool and bucket: the value of a rank is that of the last step that
+    begins below it.
+    """
+    ranks = materialise(DRAWS[draw](p, replicates, seed))
+    spans = ranks.groupBy("pool").agg(F.min("_rank").alias("_first"), F.max("_rank").alias("_last"))
     near = materialise(running(p.histogram, ["pool"], "_bucket").join(spans, "pool").where(
         (F.col("_upto") >= F.col("_first")) & (F.col("_below") < F.col("_last"))).select(
         "pool", "_bucket", F.col("_below").alias("_base"), F.col("_upto").alias("_end")))
     grain = ["pool", "_bucket"]
+    none = F.lit(None)
     steps = running_values(materialise(p.values(near)).join(near.drop("_end"), grain), grain).select(
-        *grain, "_value", (F.col("_below") + F.col("_base")).alias("_below"),
-        (F.col("_upto") + F.col("_base")).alias("_upto"))
-    ranks = (drawn.select("pool", F.posexplode(F.arrays_zip("low", "high")).alias("rep", "d"))
-             .select("pool", "rep", F.explode(F.array("d.low", "d.high")).alias("_rank")))
-    placed = ranks.join(near, "pool").where((F.col("_rank") > F.col("_base")) & (F.col("_rank") <= F.col("_end")))
-    hit = placed.select(*grain, "rep", "_rank").join(steps, grain).where(
-        (F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_upto")))
-    return hit.groupBy("pool", "rep").agg(F.avg("_value").alias("_m"))
-
-
-def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719) -> DataFrame:
+        *grain, (F.col("_below") + F.col("_base")).alias("_at"), F.lit(1).alias("_kind"), "_value")
+    wanted = ranks.select("pool", "_rank").distinct()
+    buckets = near.select("pool", F.col("_base").alias("_at"), F.lit(1).alias("_kind"), "_bucket")
+    ordered = Window.partitionBy("pool").orderBy("_at", "_kind")
+    placed = (wanted.select("pool", F.col("_rank").alias("_at"), F.lit(0).alias("_kind"), none.cast("bigint").alias("_bucket"))
+              .unionByName(buckets).withColumn("_bucket", F.last("_bucket", ignorenulls=True).over(ordered))
+              .where("_kind = 0").withColumn("_value", none.cast("double")))
+    inside = Window.partitionBy(*grain).orderBy("_at", "_kind")
+    found = (placed.unionByName(steps.withColumn("_value", F.col("_value").cast("double")))
+             .withColumn("_value", F.last("_value", ignorenulls=True).over(inside)).where("_kind = 0")
+             .select("pool", F.col("_at").alias("_rank"), "_value"))
+    return ranks.join(found, ["pool", "_rank"]).groupBy("pool", "rep").agg(F.avg("_value").alias("_m"))
+
+
+def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719, draw: str = "order") -> DataFrame:
     """item, ci_lo, ci_hi: percentile interval (floor index) of the premium under a bootstrap inside every pool.
 
+    ``draw`` is "order" (order statistics by their law, constant cost) or "md5" (full resamples that SQL can replay).
+
     Draws depend only on the seed, the pool's names and the replicate, so the result is the same for any partitioning
     and after any retry. NULL if fewer than half of the replicates give a value.
     """
     names = p.pools.select("pool", "cell", "item", "holds", "size")
-    named = _resampled_medians(p, replicates, seed).join(names, "pool")
+    named = _resampled_medians(p, replicates, seed, draw).join(names, "pool")
     ratios = named.groupBy("cell", "item", "rep").agg(
         F.try_divide(F.max(F.when(F.col("holds"), F.col("_m"))), F.max(F.when(~F.col("holds"), F.col("_m")))).alias("_ratio"),
         F.max(F.when(F.col("holds"), F.col("size"))).alias("n_with"))
@@ -212,9 +252,9 @@ def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719) -> DataFr
 
 def premium_with_ci(df: DataFrame, items: str = "skills", value: str = "salary_mid_usd",
                     strata: list[str] | None = None, min_cell: int = 8, min_total: int = 15, k: int | None = 10,
-                    replicates: int = 1000, seed: int = 20260719) -> DataFrame:
+                    replicates: int = 1000, seed: int = 20260719, draw: str = "order") -> DataFrame:
     """The premium table with an interval per item. Only the items that are reported are resampled."""
     p = build_pools(df, items, value, strata or ["seniority", "region"], min_cell, min_total)
     best = materialise(premium_from_pools(p, k))
-    ci = premium_ci(p.only(best), replicates, seed)
+    ci = premium_ci(p.only(best), replicates, seed, draw)
     return best.join(ci, "item", "left").orderBy(F.desc("premium_pct"), "item")

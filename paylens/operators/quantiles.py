@@ -1,10 +1,10 @@
 """Exact medians and index quantiles of groups of any size.
 
-A group may hold a third of all rows, so no group is ever gathered in one task. Rows are first reduced to
-(group, value) counts, which combine before the shuffle and spread a hot group over its values. A coarse, order-keeping
-bucket of the value then gives a small histogram per group; running totals over it say which bucket holds a wanted
-rank, and only the values of that bucket are ordered, again slot by slot, so that a bucket into which most values fall
-is ordered by many tasks.
+A group may hold a third of all rows, so no group is ever gathered in one task. A first pass counts rows by group and a
+coarse, order-keeping bucket of the value, which combines before the shuffle to a small histogram per group; running
+totals over it say which bucket holds a wanted rank. These picks, a few rows per group, are written out. A second pass
+keeps only rows of picked buckets, and orders their values slot by slot, so that a bucket into which most values fall is
+ordered by many tasks. Nearly unique values are thus never shuffled as a whole.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylens.operators.sizes import stage
+
 SLOTS_PER_BUCKET = 4096
 BUCKETS_PER_E_FOLD = 128  # a bucket spans about 0.8 % of its value; all doubles need under 0.2 million buckets
 
@@ -117,8 +119,15 @@ def quantiles_of_counts(counts: DataFrame, by: list[str], wanted: dict[str, Rank
 
 def grouped_quantiles(df: DataFrame, by: list[str], value: str, wanted: dict[str, Ranks],
                       min_n: int = 1) -> DataFrame:
-    """One row per group with at least ``min_n`` values: the group, ``n`` and each wanted quantile, all exact."""
-    return quantiles_of_counts(value_counts(df, by, value), by, wanted, min_n)
+    """One row per group with at least ``min_n`` values: the group, ``n`` and each wanted quantile, all exact. Reads
+    ``df`` twice, the first time at once. The picks are read from a file, so their size is known to the planner."""
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_value")).withColumn(
+        "_bucket", bucket(F.col("_value")))
+    histogram = rows.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    picks = stage(locate(histogram, by, wanted, min_n))
+    counts = join_same(rows, picks.select(*by, "_bucket"), [*by, "_bucket"], "left_semi").groupBy(
+        *by, "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    return resolve(counts, picks, by, list(wanted))
 
 
 def median_by(df: DataFrame, by: list[str], value: str, min_n: int = 1, name: str = "median") -> DataFrame:
