@@ -35,6 +35,11 @@ def published_at(raw: str | Column) -> Column:
     return col(raw).try_cast("timestamp")
 
 
+def day_in_zone(utc: str | Column, zone: str = v.DAY_ZONE) -> Column:
+    """Calendar day in ``zone`` of a UTC timestamp without zone."""
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), col(utc).cast("timestamp_ntz")))
+
+
 def today(zone: str = v.DAY_ZONE) -> Column:
     """Calendar day now in ``zone``; jobs prefer an explicit day."""
     return F.to_date(F.convert_timezone(F.current_timezone(), F.lit(zone), F.localtimestamp()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,10 +131,13 @@ class Published:
     counts: DataFrame
     top_companies: DataFrame
     premium: DataFrame
+    freshness: DataFrame | None = None
 
 
-def aggregate(spark: SparkSession, store: str, replicates: int = 1000) -> Published:
-    """All published results of the history in ``store``."""
+def aggregate(spark: SparkSession, store: str, replicates: int = 1000, rates: DataFrame | None = None,
+              dt: str | None = None) -> Published:
+    """All published results of the history in ``store``; with the rates (as_of, currency, per_usd) and the day also
+    whether the rates are out of date."""
     snap, jobs, marks = (history.read_table(spark, store, n) for n in ("snapshots", "jobs", "skills"))
     first = history.first_seen(jobs)
     today = classify.latest(snap, "dt")
@@ -144,13 +148,15 @@ def aggregate(spark: SparkSession, store: str, replicates: int = 1000) -> Publis
         slice=current, companies=companies, items=items, rows=rows,
         series=reports.daily_series(snap, first), coverage=reports.coverage(current, marks),
         counts=reports.distinct_counts(snap, current), top_companies=reports.top_entities(current),
-        premium=premium_with_ci(classify.paid(current, has_salary="has_salary"), replicates=replicates))
+        premium=premium_with_ci(classify.paid(current, has_salary="has_salary"), replicates=replicates),
+        freshness=None if rates is None or dt is None else reports.rate_freshness(rates, dt))
 
 
 def write_published(result: Published, target: str) -> None:
     """Write every published result as JSON lines below ``target``."""
-    for name in ("companies", "items", "rows", "series", "coverage", "counts", "top_companies", "premium"):
-        getattr(result, name).write.mode("overwrite").json(f"{target}/{name}")
+    for name in ("companies", "items", "rows", "series", "coverage", "counts", "top_companies", "premium", "freshness"):
+        if (frame := getattr(result, name)) is not None:
+            frame.write.mode("overwrite").json(f"{target}/{name}")
 
 
 def slice_report(df: DataFrame, premium: DataFrame, days: int, region: str = "all", seniority: str = "all",
@@ -169,3 +175,10 @@ def slice_report(df: DataFrame, premium: DataFrame, days: int, region: str = "al
         "payers": reports.top_payers(paid, employers),
         "learn_next": reports.learn_next(premium, reports.item_shares(picked)),
     }
+
+
+def one_table(report: dict[str, DataFrame]) -> DataFrame:
+    """(chart, row): all parts of a slice report, each row as JSON."""
+    return reduce(DataFrame.unionByName, [
+        part.select(F.lit(name).alias("chart"), F.to_json(F.struct(*part.columns)).alias("row"))
+        for name, part in report.items()])

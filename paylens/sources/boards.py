@@ -124,6 +124,20 @@ def read_postings(spark: SparkSession, landing: str, registry: DataFrame | None
     return every.join(boards, ["source", "company"], "left_semi")
 
 
+def board_places(spark: SparkSession, landing: str, lines: bool = False) -> DataFrame:
+    """Probe results (ats, slug, http, pos, location) of landed boards, one row per posting, one with neither place nor
+    location for a board without postings. Lever's place ends with the workplace type, Ashby's with "remote" by its flag."""
+    where = {"greenhouse": F.col("j.location.name"),
+             "lever": F.concat_ws(" ", blank(F.col("j.categories.location")), blank(F.col("j.workplaceType"))),
+             "ashby": F.concat(blank(F.col("j.location")), F.when(F.col("j.isRemote"), " remote").otherwise(""))}
+    found = []
+    for source, location in where.items():
+        jobs = _dumps(spark, landing, source, lines=lines).select("company", F.posexplode_outer("jobs").alias("pos", "j"))
+        found.append(jobs.select(F.lit(source).alias("ats"), F.col("company").alias("slug"), F.lit(200).alias("http"), "pos",
+                                 F.when(F.col("pos").isNotNull(), location).alias("location")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def stream_postings(spark: SparkSession, landing: str, lines: bool = False) -> DataFrame:
     """The same record as an unbounded table over newly landed files of the sources that have a directory."""
     found = []

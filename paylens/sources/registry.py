@@ -22,11 +22,11 @@ def read_registry(spark: SparkSession, path: str, only_active: bool = True) -> D
                       F.coalesce("name", "slug").alias("name"))
 
 
-def board_registry(probes: DataFrame, sample: int | None = None) -> DataFrame:
+def board_registry(probes: DataFrame, sample: int | None = None, added: str | None = None) -> DataFrame:
     """One row per board name from probe results (ats, slug, http, pos, location): status, size and hints.
 
     ``pos`` is the 0-based place of a posting in its board, NULL for a board without postings. Hints look at all places,
-    or at the first ``sample`` if that is given. Boards whose names differ only by case are one board, the active one if any.
+    or at the first ``sample`` if that is given. ``added`` adds the day of the probe to every row. Boards whose names differ only by case are one board, the active one if any.
     """
     place = F.lower(blank(F.col("location")))
     seen = F.col("pos").isNotNull() if sample is None else F.col("pos") < sample
@@ -38,8 +38,9 @@ def board_registry(probes: DataFrame, sample: int | None = None) -> DataFrame:
     boards = boards.withColumn("status", F.when(F.col("_http") != 200, "dead").when(F.col("n_jobs") > 0, "active")
                                .otherwise("empty"))
     ranked = boards.withColumns({"_name": F.lower("slug"), "_idle": (F.col("status") != "active").cast("int")})
+    day = [] if added is None else [F.lit(added).alias("added")]
     return first_occurrence(ranked, "_name", ["_idle", "ats", "slug"]).select(
-        F.col("slug").alias("name"), "ats", "slug", "status", "n_jobs", "has_eu", "has_remote")
+        F.col("slug").alias("name"), "ats", "slug", "status", *day, "n_jobs", "has_eu", "has_remote")
 
 
 def plausible_slug(slug: str | Column) -> Column:

@@ -112,6 +112,18 @@ def test_next_day_only_adds_new_keys_and_aggregates(spark, landing, fx, tmp_path
     assert all(frame.count() >= 0 for frame in report.values())
 
 
+def test_every_waiting_posting_is_labelled(spark, tmp_path, fx):
+    board = [{"id": f"k{k}", "text": "Data Engineer", "descriptionPlain": "Kafka"} for k in range(5200)]
+    land(tmp_path / "landing", "lever", "big", board)
+    done = jobs.daily_run(spark, str(tmp_path / "landing"), str(tmp_path / "store"), "2026-08-20", fx).first()
+    assert (done.labelled, done.label_rows) == (5200, 5200)
+    assert history.read_table(spark, str(tmp_path / "store"), "skills").count() == 5200
+
+
+def test_bad_documents_are_counted(spark, landing):
+    assert [tuple(r) for r in boards.bad_documents(spark, str(landing)).collect()] == [("ashby", "broken", 1)]
+
+
 def snapshot_days(spark, days, n=100):
     return spark.range(n).crossJoin(spark.createDataFrame([(d,) for d in days], "d string")).selectExpr(
         "concat('greenhouse:c:', d, id) job_uid", "cast(d as date) snapshot_date", "'greenhouse' source", "'c' company",
