@@ -204,7 +204,7 @@ class Scorer:
         return out
 
 
-def word_counts(docs: DataFrame, languages: list[str], rows: DataFrame) -> DataFrame:
+def word_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
     """(lang_no, word, n) over labelled texts; words are counted per batch first, then summed."""
     number = {name: k for k, name in enumerate(languages)}
 
@@ -240,7 +240,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     for name in languages:
         wanted = F.when(F.col("lang") == name, int(1_000_000 * min(1.0, docs_per_language / sizes[name]))).otherwise(wanted)
     sampled = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < wanted)
-    counted = materialise(word_counts(docs, languages, sampled))
+    counted = materialise(word_counts(sampled, languages))
     theta = flat
     for _ in range(rounds):
         theta = _maximise(_expect(spark, counted, pieces, theta), theta.shape)

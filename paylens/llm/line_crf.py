@@ -107,9 +107,9 @@ class Crf:
     slope: float = 1.0
     shift: float = 0.0
 
-    def raw(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Length-weighted mean marginal of each text."""
-        out = np.empty(len(parts))
+    def lines(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """Marginal of "good" of every line of each text."""
+        out = [np.empty(0)] * len(parts)
         order = sorted(range(len(parts)), key=lambda k: -len(parts[k][1]))
         at = 0
         while at < len(order):
@@ -117,9 +117,14 @@ class Crf:
             some = order[at:at + max(1, min(256, 200_000 // longest))]  # bounds the padded grid
             found, _, _ = marginals([emissions(parts[k][0], self.weights) for k in some], self.weights[3 * WIDTH:])
             for k, good in zip(some, found, strict=True):
-                out[k] = good @ parts[k][1] / parts[k][1].sum()
+                out[k] = good
             at += len(some)
-        return np.clip(out, 1e-9, 1 - 1e-9)
+        return out
+
+    def raw(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Length-weighted mean marginal of each text."""
+        means = [good @ sizes / sizes.sum() for good, (_, sizes) in zip(self.lines(parts), parts, strict=True)]
+        return np.clip(means, 1e-9, 1 - 1e-9)
 
     def scores(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         raw = self.raw(parts)
@@ -195,8 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def score(docs: DataFrame, model: Crf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, score, predicted (1 if score >= THRESHOLD), n_lines, bad_chars (length of
-    the lines more likely bad).
+    """One row per row of ``docs``: doc_id, score, predicted (1 if score >= THRESHOLD).
 
     A null or empty text is one empty line and gets a score as well. Texts are read whole, however many lines they have;
     repeated rows get the same score; an empty table gives an empty result; other columns are ignored.
@@ -211,3 +215,23 @@ def score(docs: DataFrame, model: Crf, doc_id: str = "doc_id", text: str = "text
 
     scored = pick(docs, doc_id=doc_id, text=text).select("doc_id", F.pandas_udf(run, "double")(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def label_lines(docs: DataFrame, model: Crf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per line of every text: doc_id, line (from 0), chars, good (its marginal probability)."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), DOCS_AT_ONCE):
+                some = batch.iloc[at:at + DOCS_AT_ONCE]
+                parts = [line_features(t) for t in some.text]
+                found = sent.value.lines(parts)
+                yield pd.DataFrame({
+                    "doc_id": some.doc_id.repeat([len(f) for f in found]).to_numpy(),
+                    "line": np.concatenate([np.arange(len(f)) for f in found]),
+                    "chars": np.concatenate([sizes for _, sizes in parts]).astype(int) - 1, "good": np.concatenate(found)})
+
+    kept = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("string"), "text")
+    return kept.mapInPandas(run, "doc_id string, line long, chars long, good double").withColumn(
+        "doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))

@@ -241,6 +241,16 @@ def test_crf_learns_junk_lines():
     assert (model.scores([line_crf.line_features(None)] * 3) > 0).all()
 
 
+def test_lines_are_labelled(spark):
+    bad = " | ".join(prose(3, 40).split())
+    docs = spark.createDataFrame([(1, f"{prose(1, 40)}.\n{bad}"), (2, None), (None, "a\n\nb")], "doc_id long, text string")
+    parts = [line_crf.line_features(t) for t in [f"{prose(k, 40)}." for k in range(40)] + [bad] * 40]
+    model = line_crf.train(parts, np.array([1] * 40 + [0] * 40))
+    got = {(r.doc_id, r.line): (r.chars, r.good) for r in line_crf.label_lines(docs, model).collect()}
+    assert sorted(got, key=str) == sorted([(1, 0), (1, 1), (2, 0), (None, 0), (None, 1), (None, 2)], key=str)
+    assert got[1, 1][0] == len(bad) and got[1, 0][1] > got[1, 1][1] and got[None, 1][0] == 0
+
+
 # -- chat
 
 
