@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from paylens.llm.common import WORD, pick
+from paylens.llm.common import WORD, pick, small_batches
 from paylens.llm.components import components
 from paylens.operators.sizes import materialise
 
 SALTS = 64
 SEED = 20_240
-BLOCK_SETS, BLOCK_SHINGLES = 256, 500_000
+BLOCK_SETS, BLOCK_SHINGLES = 128, 500_000
 COLUMNS = 16_384
 _WORD = re.compile(WORD)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -59,7 +59,7 @@ class Shingler:
         words = _WORD.findall(text or "")
         if not words:
             return np.empty(0, np.uint64)
-        if len(self.hash) > 500_000:
+        if len(self.hash) > 300_000:
             self.hash.clear()
         known = self.hash
         for w in set(words):
@@ -245,7 +245,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5
     to each other like any copies. An empty table gives an empty result; other columns are ignored.
     """
     depth = forest_depth(trees, max_depth, threshold, recall)
-    thin = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
+    thin = small_batches(pick(docs, doc_id=doc_id, text=text)).select(F.col("doc_id").cast("long"), "text")
     signed = materialise(_signatures(thin, n, trees * max_depth).withColumn(
         "salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")))
     entries = signed.groupBy("salt", "node").agg(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm import spm_model
-from paylens.llm.common import held_out, pick
+from paylens.llm.common import held_out, pick, small_batches
 from paylens.operators.sizes import materialise
 
 MAX_WORD = 64
@@ -227,7 +227,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     """
     spark = docs.sparkSession
     pieces = vocabulary(vocabulary_path)
-    rows = pick(docs, doc_id=doc_id, text=text, lang=lang).filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = small_batches(pick(docs, doc_id=doc_id, text=text, lang=lang)).filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(
         max_languages + 1).collect()}
     if len(sizes) > max_languages:
@@ -286,4 +286,4 @@ def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text
             yield pd.DataFrame(parts, columns=["lang_pred", "score"])
 
     udf = F.pandas_udf(predict, "lang_pred string, score double")
-    return pick(docs, doc_id=doc_id, text=text).select("doc_id", udf(F.col("text")).alias("p")).select("doc_id", "p.*")
+    return small_batches(pick(docs, doc_id=doc_id, text=text)).select("doc_id", udf(F.col("text")).alias("p")).select("doc_id", "p.*")

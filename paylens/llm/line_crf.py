@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import held_out, pick
+from paylens.llm.common import held_out, pick, small_batches
 
 FEATURES = ("one", "log_chars", "log_words", "symbols", "caps", "bare", "repeats", "stutter", "shouts", "copy", "word_size",
             "ends")
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pd.DataFrame({"doc_id": [r[0] for r in rows], "y": [r[1] for r in rows],
                                 "x": [r[2].ravel().tolist() for r in rows], "sizes": [r[3].tolist() for r in rows]})
 
-    found = pick(docs, doc_id=doc_id, text=text).join(sample, "doc_id").mapInPandas(
+    found = small_batches(pick(docs, doc_id=doc_id, text=text)).join(sample, "doc_id").mapInPandas(
         count, "doc_id long, y int, x array<float>, sizes array<double>")
     rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.y, r.x))  # about max_docs rows of at most max_lines lines
     parts = [(np.array(r.x, np.float32).reshape(-1, WIDTH), np.array(r.sizes)) for r in rows]
@@ -213,7 +213,7 @@ def score(docs: DataFrame, model: Crf, doc_id: str = "doc_id", text: str = "text
                    for at in range(0, len(texts), DOCS_AT_ONCE)]
             yield pd.Series(np.concatenate(out) if out else [], dtype=float)
 
-    scored = pick(docs, doc_id=doc_id, text=text).select("doc_id", F.pandas_udf(run, "double")(F.col("text")).alias("score"))
+    scored = small_batches(pick(docs, doc_id=doc_id, text=text)).select("doc_id", F.pandas_udf(run, "double")(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -232,6 +232,6 @@ def label_lines(docs: DataFrame, model: Crf, doc_id: str = "doc_id", text: str =
                     "line": np.concatenate([np.arange(len(f)) for f in found]),
                     "chars": np.concatenate([sizes for _, sizes in parts]).astype(int) - 1, "good": np.concatenate(found)})
 
-    kept = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("string"), "text")
+    kept = small_batches(pick(docs, doc_id=doc_id, text=text)).select(F.col("doc_id").cast("string"), "text")
     return kept.mapInPandas(run, "doc_id string, line long, chars long, good double").withColumn(
         "doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))

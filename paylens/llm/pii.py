@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import pick
+from paylens.llm.common import pick, small_batches
 
 BASE = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind:string,start:int,end:int,base:boolean>>"
@@ -210,7 +210,7 @@ def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     an empty table gives an empty result, other columns are ignored. Of added spans that overlap, the one that begins
     first stays, then the longer one.
     """
-    return pick(docs, doc_id=doc_id, text=text).select("doc_id", spans(F.col("text")).alias("spans"))
+    return small_batches(pick(docs, doc_id=doc_id, text=text)).select("doc_id", spans(F.col("text")).alias("spans"))
 
 
 def redact(text: Column, found: Column) -> Column:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import WORD, pick
+from paylens.llm.common import WORD, pick, small_batches
 from paylens.operators.sizes import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -161,7 +161,7 @@ def reasons(c: Column, stratum: Column, cutoffs: dict[tuple[str, str], float]) -
 
 
 def _counted(docs: DataFrame, doc_id: str, text: str, stratum: str, policy: Policy) -> DataFrame:
-    thin = pick(docs, doc_id=doc_id, text=text, stratum=stratum)
+    thin = small_batches(pick(docs, doc_id=doc_id, text=text, stratum=stratum))
     return thin.select("doc_id", _stratum(F.col("stratum"), policy).alias("stratum"), counts(F.col("text")).alias("c"))
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm import spm_model
-from paylens.llm.common import pick
+from paylens.llm.common import pick, small_batches
 from paylens.llm.spm_model import BPE, BYTE, CONTROL, MARK, NORMAL, UNIGRAM, UNUSED, USER_DEFINED, Model
 
 CACHE_PARTS = 400_000
@@ -104,7 +105,7 @@ class Coder:
         self.separable = not model.suffix_mark and not any(
             MARK in p.lstrip(MARK) for p, t in zip(model.pieces, model.types, strict=True) if t in (NORMAL, USER_DEFINED)
         ) and USER_DEFINED not in model.types
-        self.parts: dict[str, np.ndarray] = {}
+        self.parts: dict[str, bytes] = {}
         self.odd: set[str] = set()
         self.bytes = [b"" if t == CONTROL else bytes([int(p[3:5], 16)]) if t == BYTE else
                       p.replace(MARK, " ").encode() if t != spm_model.UNKNOWN else " ⁇ ".encode()
@@ -141,11 +142,10 @@ class Coder:
                 if exact is not None and ids != exact:
                     self.odd.add(part)
                     ids = exact
-                self.parts[part] = np.array(ids, np.int32)
-        none = np.empty(0, np.int32)
+                self.parts[part] = array("i", ids).tobytes()
         out = []
         for parts in cut:
-            ids = np.concatenate([self.parts[p] for p in parts]) if parts else none
+            ids = np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), np.int32)
             out.append((ids, not self.odd or self.odd.isdisjoint(parts)))
         return out
 
@@ -186,7 +186,7 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
                      pa.array([p for _, p in coded]), pa.array(back)],
                     ["doc_id", "n_tokens", "ids", "parity", "round_trip"])
 
-    return pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return small_batches(pick(docs, doc_id=doc_id, text=text)).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
 
 
@@ -201,5 +201,5 @@ def decode(encoded: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str =
                 [batch.column(0), pa.array([coder.decode(i or []) for i in batch.column(1).to_pylist()], pa.string())],
                 ["doc_id", "text"])
 
-    return pick(encoded, doc_id=doc_id, ids=ids).select(F.col("doc_id").cast("long"), "ids").mapInArrow(
+    return small_batches(pick(encoded, doc_id=doc_id, ids=ids)).select(F.col("doc_id").cast("long"), "ids").mapInArrow(
         run, "doc_id long, text string")
