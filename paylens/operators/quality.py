@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paylens.functions import vocab as v
 from paylens.functions.classify import is_target_role
+from paylens.operators.sizes import materialise
 
 
 class VolumeGuardError(RuntimeError):
@@ -22,9 +23,10 @@ def volume_guard(history: DataFrame, today: DataFrame, source: str = "source", d
     """Problems as (scope, got, expected): a source below ``floor`` of the median of its latest ``days`` counts, or a
     total below ``total_floor`` of the summed medians. Silent until ``min_days`` days of history exist.
 
-    ``history`` excludes today. Days on which a source has no rows are absent, not zero.
+    ``history`` excludes today. Days on which a source has no rows are absent, not zero. The history is counted once,
+    from its source and date columns.
     """
-    per_day = history.groupBy(source, date).agg(F.count(F.lit(1)).alias("_n"))
+    per_day = materialise(history.groupBy(source, date).agg(F.count(F.lit(1)).alias("_n")))
     recent = per_day.withColumn("_r", F.row_number().over(Window.partitionBy(source).orderBy(F.desc(date)))).where(
         F.col("_r") <= days)
     expected = recent.groupBy(source).agg(F.median("_n").alias("expected"))  # at most ``days`` numbers each
