@@ -190,12 +190,16 @@ def count_links(sets: list[np.ndarray], weights: np.ndarray, threshold: float, s
 def _verify(dealt: DataFrame, n: int, threshold: float) -> DataFrame:
     """(node, links, root) per class and block pair, from rows sorted by block pair that carry texts."""
 
-    def flush(group: dict[int, tuple]) -> list[tuple[int, int, int]]:
+    def flush(pair: tuple[int, int, int] | None, group: dict[int, tuple]) -> list[tuple[int, int, int]]:
+        """Links inside block i for the pair (i, i), else only those between i and j; a block may have no class."""
         rows = sorted(group.items(), key=lambda r: (r[1][0], r[0]))
-        second = [side for _, (side, *_) in rows].count(1)
-        split = len(rows) - second if second else None
-        if len(rows) < 2 or split == 0:
+        if len(rows) < 2:
             return []
+        split = None
+        if pair[1] != pair[2]:
+            split = [side for _, (side, *_) in rows].count(0)
+            if split in (0, len(rows)):
+                return []
         links, root = count_links([r[1][2] for r in rows], np.array([r[1][1] for r in rows]), threshold, split)
         return [(rows[k][0], int(links[k]), rows[root[k]][0]) for k in np.flatnonzero(links)]
 
@@ -204,12 +208,12 @@ def _verify(dealt: DataFrame, n: int, threshold: float) -> DataFrame:
         for batch in batches:
             for key, i, j, side, node, weight, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (key, i, j) != now:
-                    out += flush(group)
+                    out += flush(now, group)
                     now, group = (key, i, j), {}
                 group[node] = (side, weight, np.frombuffer(data, np.uint64))
             yield _rows(out)
             out = []
-        yield _rows(flush(group))
+        yield _rows(flush(now, group))
 
     def _rows(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], pa.int64()) for k in range(3)],

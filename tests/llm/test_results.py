@@ -329,6 +329,15 @@ def test_links_against_all_pairs(spark, monkeypatch):
     assert {r.doc_id for r in jaccard_join.keep_one(docs).collect()} == set(root)
 
 
+def test_links_are_counted_once_when_blocks_are_empty(spark, monkeypatch):
+    """Few long texts: blocks follow the number of shingles, so most of them have no class."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 40)
+    near = {k: [prose(1000 + k, 150) + end for end in (" one", " two", " six")[:2 + k % 2]] for k in range(8)}
+    rows = [(10 * k + no, text) for k, texts in near.items() for no, text in enumerate(texts)]
+    got = {r.doc_id: r for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: (r.n_links, r.class_id) for d, r in got.items()} == {d: (len(near[d // 10]) - 1, d // 10 * 10) for d, _ in rows}
+
+
 # -- mixing
 
 
