@@ -107,15 +107,20 @@ def by_length(words: list[str], most: int = 4096) -> Iterator[np.ndarray]:
 
 
 def forward(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """alpha[j]: scaled probability of the first j characters, over (word, language). ``probs`` has scaled probabilities
-    by piece and language; pieces of k + 1 characters are scaled by SCALE ** (k + 1)."""
+    """Log of the scaled probability of words, over (word, language). ``probs`` has scaled probabilities by piece and
+    language; pieces of k + 1 characters are scaled by SCALE ** (k + 1). The values that later characters need are
+    divided by the newest one at every character and the log of it is kept, so no run of unlikely letters reaches 0."""
     count, size, _ = ids.shape
     alpha = np.zeros((size + 1, count, probs.shape[1]))
     alpha[0] = 1
+    log = np.zeros(alpha.shape[1:])
     for j in range(size):
         for k in range(min(MAX_PIECE, j + 1)):
             alpha[j + 1] += alpha[j - k] * probs[ids[:, j, k]]
-    return alpha
+        by = np.where(alpha[j + 1] > 0, alpha[j + 1], 1)
+        alpha[max(0, j + 2 - MAX_PIECE):j + 2] /= by
+        log += np.log(by)
+    return np.where(alpha[size] > 0, log, -np.inf)
 
 
 def scaled(theta: np.ndarray, pieces: list[str]) -> np.ndarray:
@@ -132,32 +137,36 @@ def log_probs(words: list[str], lattice: Lattice, probs: np.ndarray) -> np.ndarr
     out = np.empty((len(words), probs.shape[1]))
     for places in by_length(words):
         some = [words[p] for p in places]
-        out[places] = np.log(forward(lattice.ids(some), probs)[-1]) - len(some[0]) * np.log(SCALE)
+        out[places] = forward(lattice.ids(some), probs) - len(some[0]) * np.log(SCALE)
     return out
 
 
 def expected_counts(words: list[str], weight: np.ndarray, lang: np.ndarray, lattice: Lattice, probs: np.ndarray
                     ) -> np.ndarray:
-    """Expected uses of every piece (piece x language) in words of known language, each counted ``weight`` times."""
+    """Expected uses of every piece (piece x language) in words of known language, each counted ``weight`` times; words
+    without any probability have none. Forward values are normalised as in ``forward``. Divided by the value they sum
+    to, the terms are the shares of the last piece's lengths, and going back they hand on the chance of a cut."""
     words = [spm_model.MARK + w for w in words]
     langs = probs.shape[1]
     total = np.zeros(probs.shape[0] * langs)
     for places in by_length(words):
         ids, own = lattice.ids([words[p] for p in places]), lang[places]
         count, size, _ = ids.shape
-        mine = probs[ids, own[:, None, None]]  # word x end x length
-        alpha, beta = np.zeros((size + 1, count)), np.zeros((size + 1, count))
-        alpha[0] = beta[size] = 1
+        last = probs[ids, own[:, None, None]]  # word x end x length
+        alpha, cut = np.zeros((size + 1, count)), np.zeros((size + 1, count))
+        alpha[0] = 1
         for j in range(size):
             for k in range(min(MAX_PIECE, j + 1)):
-                alpha[j + 1] += alpha[j - k] * mine[:, j, k]
+                last[:, j, k] *= alpha[j - k]
+                alpha[j + 1] += last[:, j, k]
+            by = np.where(alpha[j + 1] > 0, alpha[j + 1], 1)
+            last[:, j] /= by[:, None]
+            alpha[max(0, j + 2 - MAX_PIECE):j + 2] /= by
+        cut[size] = weight[places] * (alpha[size] > 0)
         for j in reversed(range(size)):
             for k in range(min(MAX_PIECE, j + 1)):
-                beta[j - k] += beta[j + 1] * mine[:, j, k]
-        share = weight[places] / alpha[size]
-        for j in range(size):
-            for k in range(min(MAX_PIECE, j + 1)):
-                use = alpha[j - k] * mine[:, j, k] * beta[j + 1] * share
+                use = cut[j + 1] * last[:, j, k]
+                cut[j - k] += use
                 total += np.bincount(ids[:, j, k] * langs + own, use, len(total)) if use.any() else 0
     return total.reshape(probs.shape)[:-2]
 

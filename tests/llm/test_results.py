@@ -117,6 +117,24 @@ def test_forward_sums_all_segmentations():
     assert counts[:, 1].sum() == 0 and (counts[:, 0] @ [len(p) for p in pieces]) == pytest.approx(2 * len("▁ab"))
 
 
+def test_long_runs_of_unknown_letters_keep_a_finite_score(spark):
+    pieces = ["▁", "a", "b", "ab"]
+    probs = language_id.scaled(np.array([[0.5, 0.3], [1e-9, 0.4], [0.3, 1e-9], [0.2, 0.3]]), pieces)
+    lattice = language_id.Lattice(pieces)
+    words = ["語" * 64, "b" * 64, "ab"]
+    assert np.isfinite(language_id.log_probs(words, lattice, probs)).all()
+    assert language_id.log_probs(words[:1], lattice, probs)[0] == pytest.approx(np.log([0.5, 0.3]) + 64 * np.log(language_id.UNSEEN))
+    counts = language_id.expected_counts(words, np.array([3.0, 2.0, 0.0]), np.array([0, 1, 0]), lattice, probs)
+    assert counts[:, 0] == pytest.approx([3, 0, 0, 0]) and counts[:, 1] == pytest.approx([2, 0, 128, 0])
+
+    texts = [("hello there all", "en"), ("guten tag zusammen", "de")] * 20 + [("語" * 64, "en"), ("語" * 64 + " guten tag", None)]
+    docs = spark.createDataFrame([(k, *r) for k, r in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, rounds=2)
+    assert np.isfinite(model.theta).all()
+    got = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    assert all(0 <= r.score <= 1 for r in got.values()) and got[41].lang_pred == "de"
+
+
 @driver_tables
 def test_language_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
