@@ -40,7 +40,16 @@ STREET_BEFORE = ("street", "road", "avenue", "lane", "drive", "boulevard")  # 12
 STREET_AFTER = ("straße", "strasse", "gasse")  # Lange Straße 12
 STREET_LEAD = ("rue", "calle", "avenida")  # 12 rue Longue, calle Larga 12
 _ACCOUNT_TAIL = re.compile(r"(?:\s|[.:#=]|no\b|number\b|nr\b){0,6}([0-9](?:[ -]?[0-9]){5,20})(?![0-9])")
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_IBAN_START = re.compile(r"[A-Z]{2}[0-9]{2}")
+_IBAN_CUE = re.compile(r"(?<![^\W_])(?:iban|IBAN|Iban)")
+_IBAN_STOP = re.compile(rf"\n|{_IBAN_CUE.pattern}")
+IBAN_WINDOW = 48  # an account may follow its label on the next line
+IBAN_LENGTHS = {code[:2]: int(code[2:]) for code in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 "
+    "FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 "
+    "LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 "
+    "RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 _SECRET_TAIL = re.compile(r"""["']?\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9+/_.=-]{8,512})""")
 _HOUSE_BEFORE = re.compile(r"(?<![0-9])[0-9]{1,5}[a-z]? (?:[A-Z][\w'-]{0,30} ){1,3}$")
 _STREET_STEM = re.compile(r"(?:[A-ZÄÖÜ][\w-]{0,30}[ -]?)$")
@@ -122,8 +131,23 @@ def _account(text: str, start: int, end: int):
 
 
 def _iban(text: str, start: int, end: int):
-    m = _IBAN.search(text, end, end + 48)
-    return m and _iban_ok(m[0]) and ("account", m.start(), m.end())
+    """All accounts up to the end of the line, or to the next cue, which searches on from there. A country's own length
+    tells where one ends, whatever follows; for other countries every end is tried, the longest first."""
+    last, upto = _IBAN_STOP.search(text, end), len(text)
+    if last and last[0] == "\n" and last.start() < end + IBAN_WINDOW:
+        upto = end + IBAN_WINDOW
+        last = _IBAN_CUE.search(text, last.end(), upto)
+    stop = last.start() if last else upto
+    found, at = [], end
+    while m := _IBAN_START.search(text, at, stop):
+        most = _IBAN.match(text, m.start()) or m
+        ends = [k for k in range(most.start() + 1, most.end() + 1) if text[k - 1] != " "]
+        size = IBAN_LENGTHS.get(most[0][:2])
+        good = [k for k in (ends[size - 1:size] if size else ends[:13:-1])
+                if not (text[k:k + 1].isascii() and text[k:k + 1].isalnum()) and _iban_ok(text[m.start():k])]
+        found += [("account", m.start(), good[0])] if good else []
+        at = good[0] if good else m.start() + 1
+    return found
 
 
 def _secret(text: str, start: int, end: int):
@@ -182,7 +206,7 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
         if kind not in _FREE_LEFT and start and text[start - 1].isalnum():
             continue
         if got := PARSERS[kind](text, start, end):
-            added.append(got)
+            added += got if isinstance(got, list) else [got]
     place = 0
     for kind, start, end in sorted(set(added), key=lambda s: (s[1], -s[2], s[0])):
         while place < len(taken) and taken[place][0] < start:

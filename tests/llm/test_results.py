@@ -190,6 +190,20 @@ def test_added_spans(text, want):
     assert [(s[0], text[s[1]:s[2]]) for s in pii.find(text) if not s[3]] == want
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("IBAN DE89370400440532013000 BIC COBADEFFXXX", ["DE89370400440532013000"]),
+    ("IBAN: DE89 3704 0044 0532 0130 00 BIC COBADEFF", ["DE89 3704 0044 0532 0130 00"]),
+    ("IBAN: DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32",
+     ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("IBAN BIC XY12ABCDEFGHIJK, GB82WEST12345698765432 OK", ["GB82WEST12345698765432"]),
+    ("IBAN of the account that the yearly membership fee is taken from: GB82 WEST 1234 5698 7654 32", ["GB82 WEST 1234 5698 7654 32"]),
+    ("IBAN:\nDE89 3704 0044 0532 0130 00\n", ["DE89 3704 0044 0532 0130 00"]),
+    ("IBAN " * 3 + "DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+    ("IBAN DE89 3704 0044 0532 0130 01 BIC COBADEFF", []), ("IBAN DE89370400440532013000BIC", []), ("IBAN DE89", [])])
+def test_ibans_with_text_around(text, want):
+    assert [text[s[1]:s[2]] for s in pii.find(text) if s[0] == "account"] == want
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a@b.cd or +1 (555) 555-1234 é"), (2, "nothing"), (3, None)], "doc_id long, text string")
     got = docs.select("doc_id", pii.redact(docs.text, pii.spans(docs.text)).alias("t")).orderBy("doc_id").collect()
