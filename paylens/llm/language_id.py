@@ -27,7 +27,6 @@ from paylens.llm.common import held_out, pick, small_batches
 from paylens.operators.sizes import materialise
 
 MAX_WORD = 64
-MAX_PIECE = 8
 CACHE_WORDS = 300_000
 SCALE = 64.0  # per character; keeps products of small probabilities inside the range of doubles
 UNSEEN = 1e-7  # probability of a character that is no piece; the same for every language, so it favours none
@@ -47,10 +46,10 @@ def words_of(text: str | None) -> list[str]:
 
 
 def vocabulary(path: str = spm_model.VOCABULARY) -> list[str]:
-    """Lower-case letter pieces of up to MAX_PIECE characters, with and without the word mark, in the file's order."""
+    """Lower-case letter pieces, with and without the word mark, in the file's order."""
     model = spm_model.read(path)
     plain = [p.lower() for p, t in zip(model.pieces, model.types, strict=True) if t == spm_model.NORMAL]
-    kept = [p for p in plain if len(p) <= MAX_PIECE and (p == spm_model.MARK or p.removeprefix(spm_model.MARK).isalpha())]
+    kept = [p for p in plain if p == spm_model.MARK or p.removeprefix(spm_model.MARK).isalpha()]
     return list(dict.fromkeys(kept))
 
 
@@ -62,8 +61,9 @@ class Lattice:
     def __init__(self, pieces: list[str]) -> None:
         self.none, self.unseen = len(pieces), len(pieces) + 1
         rng = np.random.default_rng(7)
-        self.factors = rng.integers(0, 2**63, MAX_PIECE, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.lengths = rng.integers(0, 2**63, MAX_PIECE, np.uint64)
+        self.width = max(map(len, pieces), default=1)
+        self.factors = rng.integers(0, 2**63, self.width, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.lengths = rng.integers(0, 2**63, self.width, np.uint64)
         keys = np.empty(len(pieces), np.uint64)
         for k, piece in enumerate(pieces):
             chars = np.array([piece]).view(np.uint32).astype(np.uint64)[::-1]
@@ -82,10 +82,10 @@ class Lattice:
         """Words of one length."""
         size = len(words[0])
         chars = np.array(words, f"U{size}").view(np.uint32).reshape(len(words), size).astype(np.uint64)
-        out = np.full((len(words), size, MAX_PIECE), self.none, np.int32)
+        out = np.full((len(words), size, self.width), self.none, np.int32)
         out[:, :, 0] = self.unseen
         h = np.zeros_like(chars)
-        for k in range(min(MAX_PIECE, size)):
+        for k in range(min(self.width, size)):
             h = h[:, 1:] if k else h  # ends from character k on
             h = h + chars[:, :size - k] * self.factors[k]
             mixed = self._mix(h, k)
@@ -106,6 +106,13 @@ def by_length(words: list[str], most: int = 4096) -> Iterator[np.ndarray]:
             yield places[at:at + most]
 
 
+def ends(ids: np.ndarray, none: int) -> tuple[list[list[tuple[int, np.ndarray]]], int]:
+    """By character: (k, words) for each length k + 1 that some piece ending there has; and the longest length."""
+    used = ids != none
+    lengths = [[(k, np.flatnonzero(used[:, j, k])) for k in np.flatnonzero(some)] for j, some in enumerate(used.any(axis=0))]
+    return lengths, max(k for at in lengths for k, _ in at) + 1
+
+
 def forward(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
     """Log of the scaled probability of words, over (word, language). ``probs`` has scaled probabilities by piece and
     language; pieces of k + 1 characters are scaled by SCALE ** (k + 1). The values that later characters need are
@@ -114,11 +121,12 @@ def forward(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
     alpha = np.zeros((size + 1, count, probs.shape[1]))
     alpha[0] = 1
     log = np.zeros(alpha.shape[1:])
+    lengths, width = ends(ids, len(probs) - 2)
     for j in range(size):
-        for k in range(min(MAX_PIECE, j + 1)):
-            alpha[j + 1] += alpha[j - k] * probs[ids[:, j, k]]
+        for k, at in lengths[j]:
+            alpha[j + 1, at] += alpha[j - k, at] * probs[ids[at, j, k]]
         by = np.where(alpha[j + 1] > 0, alpha[j + 1], 1)
-        alpha[max(0, j + 2 - MAX_PIECE):j + 2] /= by
+        alpha[max(0, j + 2 - width):j + 2] /= by
         log += np.log(by)
     return np.where(alpha[size] > 0, log, -np.inf)
 
@@ -152,22 +160,23 @@ def expected_counts(words: list[str], weight: np.ndarray, lang: np.ndarray, latt
     for places in by_length(words):
         ids, own = lattice.ids([words[p] for p in places]), lang[places]
         count, size, _ = ids.shape
-        last = probs[ids, own[:, None, None]]  # word x end x length
+        last = np.zeros(ids.shape)  # word x end x length
+        lengths, width = ends(ids, len(probs) - 2)
         alpha, cut = np.zeros((size + 1, count)), np.zeros((size + 1, count))
         alpha[0] = 1
         for j in range(size):
-            for k in range(min(MAX_PIECE, j + 1)):
-                last[:, j, k] *= alpha[j - k]
+            for k, at in lengths[j]:
+                last[at, j, k] = alpha[j - k, at] * probs[ids[at, j, k], own[at]]
                 alpha[j + 1] += last[:, j, k]
             by = np.where(alpha[j + 1] > 0, alpha[j + 1], 1)
             last[:, j] /= by[:, None]
-            alpha[max(0, j + 2 - MAX_PIECE):j + 2] /= by
+            alpha[max(0, j + 2 - width):j + 2] /= by
         cut[size] = weight[places] * (alpha[size] > 0)
         for j in reversed(range(size)):
-            for k in range(min(MAX_PIECE, j + 1)):
-                use = cut[j + 1] * last[:, j, k]
-                cut[j - k] += use
-                total += np.bincount(ids[:, j, k] * langs + own, use, len(total)) if use.any() else 0
+            for k, at in lengths[j]:
+                use = cut[j + 1, at] * last[at, j, k]
+                cut[j - k, at] += use
+                np.add.at(total, ids[at, j, k] * langs + own[at], use)
     return total.reshape(probs.shape)[:-2]
 
 

@@ -135,6 +135,17 @@ def test_long_runs_of_unknown_letters_keep_a_finite_score(spark):
     assert all(0 <= r.score <= 1 for r in got.values()) and got[41].lang_pred == "de"
 
 
+def test_long_pieces_count():
+    long = "ab" * 6
+    theta = np.array([[0.4], [0.2], [0.3], [0.1]])
+    pieces = ["▁", "a", "b", long]
+    got = language_id.log_probs([long], language_id.Lattice(pieces), language_id.scaled(theta, pieces))
+    assert got[0, 0] == pytest.approx(np.log(0.4 * (0.1 + 0.2**6 * 0.3**6)))
+    model = spm_model.read(spm_model.VOCABULARY)
+    plain = {p.lower() for p, t in zip(model.pieces, model.types, strict=True) if t == spm_model.NORMAL}
+    assert set(language_id.vocabulary()) == {p for p in plain if p == "▁" or p.removeprefix("▁").isalpha()}
+
+
 @driver_tables
 def test_language_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
