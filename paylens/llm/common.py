@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,3 +42,13 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 def is_held_out(doc_id: int | None, folds: int = 5) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % folds == 0
+
+
+def pieces(data: bytes, gap: re.Pattern[bytes], size: int = 1 << 20) -> Iterator[bytes]:
+    """A long text in parts of about ``size`` bytes that end where ``gap`` matches, so that none cuts a word. A word
+    longer than that stays whole."""
+    at = 0
+    while len(data) - at > size and (m := gap.search(data, at + size)):
+        yield data[at:m.end()]
+        at = m.end()
+    yield data[at:] if at else data

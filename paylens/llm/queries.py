@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from paylens.llm import (
     chat,
     exact_dedup,
+    fill_in_middle,
     jaccard_join,
     language_id,
+    lexical_scan,
     line_crf,
     mixing,
     pii,
     quality_rules,
     sentencepiece_codec,
+    simhash_anchors,
     url_rules,
 )
 from paylens.llm.common import held_out
@@ -103,3 +106,18 @@ def source_mix_query(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_url_filter", url_rules.judge_sql())
 def url_filter_query(spark: SparkSession, sf: str) -> DataFrame:
     return url_rules.judge(table(spark, sf, "pages"))
+
+
+@query("op11_fill_in_middle", fill_in_middle.digests_sql())
+def fill_in_middle_query(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf, "documents")))
+
+
+@query("op12_simhash_anchors")
+def simhash_anchors_query(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_anchors.cluster(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op13_lexical_scan", lexical_scan.search_sql())
+def lexical_scan_query(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_scan.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

@@ -38,5 +38,6 @@ def labels(spark):
 def crowded(odd):
     """The same rows with further columns that clash with names the operators use inside."""
     names = ["run", "sha", "best", "n", "kept", "node", "root", "size", "h", "slice", "start", "c", "stratum", "spans", "ids",
-             "score", "key", "url", "target", "place", "nth", "_row", "_id", "_text", "place_no", "rules", "group", "x", "y"]
+             "score", "key", "url", "target", "place", "nth", "_row", "_id", "_text", "place_no", "rules", "group", "x", "y",
+             "fp", "anchor", "at", "other", "salt", "first", "output", "form", "item_id", "terms", "term", "rank", "block"]
     return odd.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])

@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 from paylens.llm import (
     chat,
     exact_dedup,
+    fill_in_middle,
     jaccard_join,
     language_id,
+    lexical_scan,
     line_crf,
     mixing,
     pii,
     quality_rules,
     sentencepiece_codec,
+    simhash_anchors,
     url_rules,
 )
 
@@ -27,10 +30,14 @@ OPERATORS = {
     "crf": lambda d, y: line_crf.score(d, line_crf.fit(d, y)),
     "jaccard": lambda d, y: jaccard_join.join(d),
     "jaccard kept": lambda d, y: jaccard_join.keep_one(d).select(*d.columns[:5]),
+    "fim": lambda d, y: fill_in_middle.digests(fill_in_middle.transform(d)),
+    "simhash": lambda d, y: simhash_anchors.cluster(d),
+    "simhash kept": lambda d, y: simhash_anchors.keep_one(d).select(*d.columns[:5]),
+    "search": lambda d, y: lexical_scan.search(d, d, item_id="doc_id"),
     "mix": lambda d, y: mixing.taken_words(mixing.mix(d)).drop("stretches"),
     "mix rows": lambda d, y: mixing.mixed_rows(d, mixing.mix(d)).select(*d.columns[:5]),
 }
-PER_ROW = set(OPERATORS) - {"rules kept", "dedup kept", "jaccard kept", "mix rows"}
+PER_ROW = set(OPERATORS) - {"rules kept", "dedup kept", "jaccard kept", "mix rows", "simhash kept", "search"}
 
 
 def plain(df):
