@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import replay
 from checks.base import L, P, S, check, labelled_postings, postings, rows
 from paylens.functions.classify import paid
 from paylens.operators import premium as pr
 from paylens.operators import quantiles, reports
+from paylens.operators.sizes import stage
 
 STRATA = ["seniority", "region"]
 GRADES = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
@@ -27,22 +29,31 @@ premium AS (SELECT pct.item, n, round_even(pct, 1) AS premium_pct, round_even(m,
   FROM pct JOIN mid ON pct.item = mid.item WHERE pct > 0 ORDER BY premium_pct DESC, pct.item LIMIT 10)"""
 
 
+def paid_members(spark, sf):
+    """Stored, as the latest slice is."""
+    return stage(paid(labelled_postings(spark, sf), "pay", has_salary="has_pay").select("skills", "pay", *STRATA))
+
+
 @check("stratified_premium", rows(P, S, L, PREMIUM, select="SELECT * FROM premium"))
 def stratified_premium(spark, sf):
-    return pr.stratified_premium(paid(labelled_postings(spark, sf), "pay", has_salary="has_pay"), "skills", "pay", STRATA)
+    return pr.stratified_premium(paid_members(spark, sf), "skills", "pay", STRATA)
 
 
-REPLICATES = 20
+REPLICATES = 1000
+NAME = "'20260719|' || has || '|' || item || '|' || seniority || '|' || region || '|' || rep"
 RESAMPLED = f"""pool AS (SELECT x.item, x.seniority, x.region, has, pay, row_number() OVER w AS r, count(*) OVER w2 AS n
   FROM x JOIN ok ON x.item = ok.item AND x.seniority = ok.seniority AND x.region = ok.region
   JOIN premium ON x.item = premium.item WINDOW w AS (PARTITION BY x.item, x.seniority, x.region, has ORDER BY pay),
   w2 AS (PARTITION BY x.item, x.seniority, x.region, has)),
-draw AS (SELECT item, seniority, region, has, n, rep, 1 + ('0x' || substr(md5('20260719|' || has || '|' || item || '|' ||
-    seniority || '|' || region || '|' || rep || '|' || (r - 1)), 1, 8))::BIGINT % n AS r
-  FROM pool, (SELECT unnest(range({REPLICATES})) AS rep)),
-med AS (SELECT d.item, d.seniority, d.region, d.has, d.rep, max(d.n) AS n, median(pool.pay) AS m FROM draw d JOIN pool
-  ON d.item = pool.item AND d.seniority = pool.seniority AND d.region = pool.region AND d.has = pool.has AND d.r = pool.r
-  GROUP BY 1, 2, 3, 4, 5),
+named AS (SELECT *, {NAME} AS name, (n + 1) // 2 AS mid FROM (SELECT DISTINCT item, seniority, region, has, n FROM pool),
+  (SELECT unnest(range({REPLICATES})) AS rep)),
+drawn AS (SELECT *, {replay.beta("name", "mid", "n - mid + 1")} AS u, {replay.uniform("name || '|c'")} AS v FROM named),
+low AS (SELECT *, greatest(1, least(n, ceil(n * u))) AS lo FROM drawn),
+high AS (SELECT *, CASE WHEN n % 2 = 1 THEN lo ELSE greatest(lo, least(n, ceil(n * (1 - (1 - u) * pow(v, 1 / CAST(n - mid AS DOUBLE))))))
+  END AS hi FROM low),
+med AS (SELECT h.item, h.seniority, h.region, h.has, h.rep, h.n, (a.pay + b.pay) / 2 AS m FROM high h
+  JOIN pool a ON a.item = h.item AND a.seniority = h.seniority AND a.region = h.region AND a.has = h.has AND a.r = h.lo
+  JOIN pool b ON b.item = h.item AND b.seniority = h.seniority AND b.region = h.region AND b.has = h.has AND b.r = h.hi),
 est AS (SELECT a.item, a.rep, (sum(a.m / b.m * a.n) / sum(a.n) - 1) * 100 AS e FROM med a JOIN med b ON a.item = b.item
   AND a.seniority = b.seniority AND a.region = b.region AND a.rep = b.rep AND a.has AND NOT b.has GROUP BY 1, 2),
 ci AS (SELECT item, list_sort(list(e)) AS l FROM est GROUP BY 1)"""
@@ -52,9 +63,7 @@ ci AS (SELECT item, list_sort(list(e)) AS l FROM est GROUP BY 1)"""
   SELECT premium.*, round_even(l[CAST(floor(0.025 * {REPLICATES - 1}) AS INT) + 1], 1) AS ci_lo,
          round_even(l[CAST(floor(0.975 * {REPLICATES - 1}) AS INT) + 1], 1) AS ci_hi FROM premium JOIN ci ON premium.item = ci.item"""))
 def premium_bootstrap_ci(spark, sf):
-    """Few full resamples, drawn by md5 so that SQL can replay them."""
-    return pr.premium_with_ci(paid(labelled_postings(spark, sf), "pay", has_salary="has_pay"), "skills", "pay", STRATA,
-                              replicates=REPLICATES, draw="md5")
+    return pr.premium_with_ci(paid_members(spark, sf), "skills", "pay", STRATA, replicates=REPLICATES)
 
 
 PAID = "v AS (SELECT * FROM p WHERE NOT is_management AND pay IS NOT NULL)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import replay
 from checks.base import L, P, S, check, label_table, postings, rows, table
 from paylens.functions import text
 from paylens.operators import evaluate, groups, labels
@@ -121,6 +122,26 @@ def label_queue(spark, sf):
     return queue_of(spark, sf, 5000).select("position", "job_uid", "source")
 
 
+@check("label_queue_all", """
+  WITH q AS (SELECT d.doc_id, source, text, coalesce(toxic = 1, false) AS stale, n_chars % 2 = 0 AS pay,
+    CASE WHEN doc_id % 50 = 0 THEN 'x' ELSE CAST(doc_id * 7919 % 100000007 + 1000000000 AS VARCHAR) END AS published
+    FROM documents d LEFT JOIN labels USING (doc_id) WHERE regexp_matches(text, '\\S') AND coalesce(quality, 1) = 1),
+  o AS (SELECT *, row_number() OVER (ORDER BY stale, pay DESC, published DESC, doc_id) AS k FROM q),
+  r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k) AS round, min(k) OVER (PARTITION BY source) AS first FROM o)
+  SELECT row_number() OVER (ORDER BY round, first) AS position, doc_id, source, md5(text) AS text_md5 FROM r""")
+def label_queue_all(spark, sf):
+    """Every document that waits, with its text, in turns over the sources; nearly all publish times differ, and some are
+    unknown. Documents of low quality were processed, toxic ones are stale."""
+    seen = table(spark, sf, "labels")
+    d = table(spark, sf, "documents").select(
+        "doc_id", "source", "text", (F.col("n_chars") % 2 == 0).alias("has_pay"),
+        F.when(F.col("doc_id") % 50 != 0, (F.col("doc_id") * 7919 % 100000007 + 1000000000).cast("string")).alias("published"),
+        F.col("doc_id").alias("ingest_seq"))
+    queue = labels.label_queue(d, seen.where("quality <> 1"), seen.where("toxic = 1"), key="doc_id", description="text",
+                               has_pay="has_pay", published="published")
+    return queue.select("position", "doc_id", "source", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @check("label_batches", rows(P, S, L, QUEUE, select="""
   SELECT CAST(floor((position - 1) / 10) AS BIGINT) AS batch, count(*) AS n, CAST(sum(job_uid) AS BIGINT) AS keys,
          CAST(max((position - 1) % 10) AS INT) AS last_id FROM queue WHERE position <= 5000 GROUP BY 1"""))
@@ -209,20 +230,34 @@ def micro_f1(spark, sf):
     return evaluate.micro_f1(evaluate.label_counts(*judged(spark, sf))).withColumn("f1", F.round("f1", 6))
 
 
-@check("micro_f1_bootstrap", rows(GOLD, """o AS (SELECT *, row_number() OVER (ORDER BY tp, fp, fn, doc_id) - 1 AS i,
-  count(*) OVER () AS n FROM c)""", """s AS (SELECT rep, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM (
-    SELECT rep, ('0x' || substr(md5('11|' || rep || '|' || o.i), 1, 8))::BIGINT % n AS k
-    FROM o, (SELECT unnest(range(40)) AS rep)) d JOIN o ON o.i = d.k GROUP BY rep),
-f AS (SELECT list_sort(list(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END)) AS l FROM s),
-t AS (SELECT count(*) AS docs, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM c)""",
-                                  select="""
-  SELECT t.*, round(2.0 * tp / (2 * tp + fp + fn), 6) AS f1, round(l[CAST(floor(0.025 * 39) AS INT) + 1], 6) AS ci_lo,
-         round(l[CAST(floor(0.975 * 39) AS INT) + 1], 6) AS ci_hi, 2.0 * tp / (2 * tp + fp + fn) >= 0.75 AS accepted
-  FROM t, f"""))
+F1_NAME = "'11|' || st.rep || '|' || ks.tp || '|' || ks.fp || '|' || ks.fn || '|' || st.j"
+F1_DRAWS = f"""ks AS (SELECT *, row_number() OVER (ORDER BY tp, fp, fn) AS k FROM (
+  SELECT tp, fp, fn, count(*) AS n FROM c GROUP BY 1, 2, 3)),
+t AS (SELECT CAST(sum(n) AS BIGINT) AS docs, max(k) AS k, CAST(sum(n * tp) AS BIGINT) AS tp, CAST(sum(n * fp) AS BIGINT) AS fp,
+  CAST(sum(n * fn) AS BIGINT) AS fn FROM ks),
+st AS (SELECT CAST(rep AS BIGINT) AS rep, CAST(1 AS BIGINT) AS k, CAST(0 AS BIGINT) AS j, docs AS n,
+    CAST((SELECT n FROM ks WHERE k = 1) AS DOUBLE) / docs AS p, CAST(0 AS BIGINT) AS x, docs AS lft, docs AS weight,
+    CAST(0 AS BIGINT) AS tp, CAST(0 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS fn FROM t, (SELECT unnest(range(1000)) AS rep)
+  UNION ALL
+  SELECT rep, CASE WHEN n > 0 THEN k ELSE k + 1 END, CASE WHEN n > 0 THEN j + 1 ELSE 0 END,
+    CAST(CASE WHEN n = 0 THEN lft - x WHEN b <= p THEN n - half ELSE half - 1 END AS BIGINT),
+    CASE WHEN n = 0 THEN CAST(nxt AS DOUBLE) / (weight - kn) WHEN b <= p THEN least(1, (p - b) / (1 - b)) ELSE least(1, p / b) END,
+    CAST(CASE WHEN n = 0 THEN 0 WHEN b <= p THEN x + half ELSE x END AS BIGINT), CASE WHEN n = 0 THEN lft - x ELSE lft END,
+    CASE WHEN n = 0 THEN weight - kn ELSE weight END, CASE WHEN n = 0 THEN tp + x * ktp ELSE tp END,
+    CASE WHEN n = 0 THEN fp + x * kfp ELSE fp END, CASE WHEN n = 0 THEN fn + x * kfn ELSE fn END
+  FROM (SELECT st.*, (st.n + 1) // 2 AS half, ks.n AS kn, ks.tp AS ktp, ks.fp AS kfp, ks.fn AS kfn, nx.n AS nxt,
+      CASE WHEN st.n > 0 THEN {replay.beta(F1_NAME, "(st.n + 1) // 2", "st.n + 1 - (st.n + 1) // 2")} END AS b
+    FROM st JOIN ks ON ks.k = st.k LEFT JOIN ks nx ON nx.k = st.k + 1)),
+f AS (SELECT list_sort(list(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END)) AS l
+  FROM st WHERE k = (SELECT k + 1 FROM t))"""
+
+
+@check("micro_f1_bootstrap", rows(GOLD, F1_DRAWS, select="""
+  SELECT docs, tp, fp, fn, round(2.0 * tp / (2 * tp + fp + fn), 6) AS f1, round(l[CAST(floor(0.025 * 999) AS INT) + 1], 6) AS ci_lo,
+         round(l[CAST(floor(0.975 * 999) AS INT) + 1], 6) AS ci_hi, 2.0 * tp / (2 * tp + fp + fn) >= 0.75 AS accepted
+  FROM t, f""").replace("WITH", "WITH RECURSIVE", 1))
 def micro_f1_bootstrap(spark, sf):
-    """Forty full resamples, drawn by md5 so that SQL can replay them."""
-    return evaluate.evaluate_labels(*judged(spark, sf), replicates=40, draw="md5").withColumns(
-        {c: F.round(c, 6) for c in ("f1", "ci_lo", "ci_hi")})
+    return evaluate.evaluate_labels(*judged(spark, sf)).withColumns({c: F.round(c, 6) for c in ("f1", "ci_lo", "ci_hi")})
 
 
 # Boards: two orders share a board name that differs by case; line items are its postings.

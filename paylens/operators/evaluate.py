@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylens.functions import draws
+from paylens.functions.expr import let
+
 ACCEPTABLE_F1 = 0.75
 
 
@@ -33,58 +32,34 @@ def micro_f1(per_doc: DataFrame) -> DataFrame:
     return sums.withColumn("f1", f1(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
-def _resampled_f1(seed: int):
-    @F.pandas_udf("double")
-    def score(rep: pd.Series, kinds: pd.Series) -> pd.Series:
-        def one(r: int, ks) -> float:
-            table = np.array([[k["tp"], k["fp"], k["fn"], k["n"]] for k in ks], dtype=np.int64)
-            docs = table[:, 3].sum()
-            counts = np.random.default_rng([seed, int(r)]).multinomial(docs, table[:, 3] / docs)
-            tp, fp, fn = counts @ table[:, :3]
-            return 2 * tp / (2 * tp + fp + fn) if 2 * tp + fp + fn else 0.0
-        return pd.Series([one(r, ks) for r, ks in zip(rep, kinds)], dtype="float64")
-    return score
-
-
-def _replayed_f1(packed: DataFrame, replicates: int, seed: int, chunk: int = 10_000) -> DataFrame:
-    """_f1 per replicate from full draws by md5: draw i of a replicate is the first 32 bits of the md5 of seed, replicate
-    and i, modulo the number of documents, in order of their counts. Chunks of draws are separate rows."""
-    @F.pandas_udf("tp bigint, fp bigint, fn bigint")
-    def drawn(rep: pd.Series, first: pd.Series, kinds: pd.Series) -> pd.DataFrame:
-        out = []
-        for r, at, ks in zip(rep, first, kinds):
-            table = np.array([[k["tp"], k["fp"], k["fn"], k["n"]] for k in ks], dtype=np.int64)
-            upto = table[:, 3].cumsum()
-            picks = [int(hashlib.md5(f"{seed}|{r}|{i}".encode()).hexdigest()[:8], 16) % upto[-1]
-                     for i in range(at, min(at + chunk, int(upto[-1])))]
-            out.append(table[np.searchsorted(upto, picks, side="right"), :3].sum(axis=0))
-        return pd.DataFrame(out, columns=["tp", "fp", "fn"])
-
-    total = F.aggregate("kinds", F.lit(0).cast("bigint"), lambda a, k: a + k["n"])
-    parts = packed.select("kinds", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"), total.alias("_n"))
-    parts = parts.select("kinds", "rep", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(chunk).cast(
-        "bigint"))).alias("first"))
-    sums = parts.repartition("rep", "first").select("rep", drawn("rep", "first", "kinds").alias("d")).groupBy("rep").agg(
-        *[F.sum(f"d.{c}").alias(c) for c in ("tp", "fp", "fn")])
-    return sums.select(f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("_f1"))
-
-
-def f1_ci(per_doc: DataFrame, replicates: int = 1000, seed: int = 11, draw: str = "multinomial") -> DataFrame:
+def _resampled(name: Column, kinds: Column) -> Column:
+    """Summed (tp, fp, fn) of as many draws with replacement as there are documents. The draws that fall on a kind, of
+    those that fell on none before it, are binomial."""
+    def add(s: Column, k: Column) -> Column:
+        found = draws.binomial(draws.named(name, k["tp"], k["fp"], k["fn"]), s["left"], k["n"] / s["weight"])
+        return let(found, lambda x: F.struct(
+            (s["left"] - x).alias("left"), (s["weight"] - k["n"]).alias("weight"),
+            *[(s[c] + x * k[c]).alias(c) for c in ("tp", "fp", "fn")]))
+
+    zero = F.lit(0).cast("bigint")
+    docs = F.aggregate(kinds, zero, lambda a, k: a + k["n"])
+    return F.aggregate(kinds, F.struct(docs.alias("left"), docs.alias("weight"), zero.alias("tp"), zero.alias("fp"),
+                                       zero.alias("fn")), add)
+
+
+def f1_ci(per_doc: DataFrame, replicates: int = 1000, seed: int = 11) -> DataFrame:
     """One row (ci_lo, ci_hi): percentile interval (floor index) of micro-F1 over resampled documents.
 
     Documents with equal (tp, fp, fn) are interchangeable, so they are counted first. Resampling the documents is a
-    multinomial draw over those kinds: the cost does not grow with the number of documents, and the kinds are bounded
-    by the sizes of two label sets. With ``draw="md5"`` every document is drawn one by one in a way that SQL can replay,
-    which is meant for few replicates.
+    multinomial draw over those kinds: the cost grows with the logarithm of the number of documents, and the kinds are
+    bounded by the sizes of two label sets.
     """
     kinds = per_doc.groupBy("tp", "fp", "fn").agg(F.count(F.lit(1)).alias("n"))
     packed = kinds.agg(F.array_sort(F.collect_list(F.struct("tp", "fp", "fn", "n"))).alias("kinds"))
-    packed = packed.where(F.size("kinds") > 0)
-    if draw == "md5":
-        drawn = _replayed_f1(packed, replicates, seed)
-    else:
-        reps = packed.select("kinds", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-        drawn = reps.repartition("rep").select(_resampled_f1(seed)("rep", "kinds").alias("_f1"))
+    reps = packed.where(F.size("kinds") > 0).select("kinds", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
+    tasks = per_doc.sparkSession.sparkContext.defaultParallelism
+    sums = reps.repartition(tasks, "rep").select(_resampled(draws.named(seed, F.col("rep")), F.col("kinds")).alias("d"))
+    drawn = sums.select(f1(F.col("d.tp"), F.col("d.fp"), F.col("d.fn")).alias("_f1"))
     scores = drawn.agg(F.array_sort(F.collect_list("_f1")).alias("_all"))  # one number per replicate
 
     def at(q: float) -> Column:
@@ -93,10 +68,10 @@ def f1_ci(per_doc: DataFrame, replicates: int = 1000, seed: int = 11, draw: str
 
 
 def evaluate_labels(pred: DataFrame, gold: DataFrame, replicates: int = 1000, seed: int = 11,
-                    key: str = "id", draw: str = "multinomial") -> DataFrame:
+                    key: str = "id") -> DataFrame:
     """One row: document and label counts, micro-F1, its interval, and whether it clears the gate."""
     per_doc = label_counts(pred, gold, key)
-    interval = f1_ci(per_doc, replicates, seed, draw).select(F.struct("ci_lo", "ci_hi")).scalar()
+    interval = f1_ci(per_doc, replicates, seed).select(F.struct("ci_lo", "ci_hi")).scalar()
     scored = micro_f1(per_doc)
     return scored.withColumn("_ci", interval).select(
         *scored.columns, "_ci.*", (F.col("f1") >= ACCEPTABLE_F1).alias("accepted"))

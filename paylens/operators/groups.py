@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylens.operators.sizes import materialise, stage
+
 SPREAD = 1024
 
 
@@ -35,31 +35,37 @@ def top_per_group(df: DataFrame, by: list[str], key: str, order: list[Column], n
         F.col("_place") <= n)
 
 
-def numbered(df: DataFrame, by: list[str], lead: list[Column], rest: list[Column]) -> DataFrame:
-    """Add ``_place``: the 1-based place of every row of a group in the order of ``lead``, then ``rest``. Rows with equal
-    leading values are numbered together and offset by the sizes before them, so a group is no single task."""
-    named = df.withColumns({f"_lead{k}": c for k, c in enumerate(lead)})
-    names = [f"_lead{k}" for k in range(len(lead))]
-    sizes = named.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*[F.col(c).alias(f"_o{k}") for k, c in enumerate([*by, *names])],
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    same = [F.col(c).eqNullSafe(F.col(f"_o{k}")) for k, c in enumerate([*by, *names])]
-    inner = F.row_number().over(Window.partitionBy(*by, *names).orderBy(*rest))
-    placed = named.withColumn("_i", inner).join(offsets, reduce(lambda a, b: a & b, same))
-    return placed.select(*df.columns, (F.col("_offset") + F.col("_i")).alias("_place"))
+def global_rank(df: DataFrame, order: list[Column], name: str = "_rank") -> DataFrame:
+    """Add the 1-based place of every row in ``order`` over all rows, by many tasks.
 
-
-def interleave(df: DataFrame, group: str, key: str, order: list[Column], n: int | None = None,
-               lead: list[str] | None = None) -> DataFrame:
+    Rows are dealt into ranges of the order, sorted inside each and written once with their place in the range; the sizes
+    of the ranges before it, one number per task, give the rest. The order should name every row, else ties are numbered
+    as they come. ``df`` is read twice, the first time to sample its ranges, so it should be a stored table.
+    """
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = stage(df.repartitionByRange(tasks, *order).sortWithinPartitions(*order).withColumn(
+        "_at", F.monotonically_increasing_id()))  # the task in the upper bits, the row in the lower 33
+    task = F.shiftright("_at", 33)
+    sizes = sorted(ranges.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).collect())  # one row per task
+    before, offsets = 0, []
+    for row in sizes:
+        offsets.append((row.task, before))
+        before += row.n
+    known = F.broadcast(spark.createDataFrame(offsets, "_task bigint, _before bigint"))
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return ranges.join(known, task == F.col("_task")).select(*df.columns, place.alias(name))
+
+
+def interleave(df: DataFrame, group: str, key: str, order: list[Column], n: int | None = None) -> DataFrame:
     """Round-robin over groups, all rows or at most ``n``, with their 1-based ``position``.
 
     Inside a group rows follow ``order``; in every round groups follow the order of their best rows. With a limit only
-    the first ``n`` rows of a group, and the first ``n`` groups, can be reached. Without one, ``lead`` names the columns
-    that ``order`` begins with; they cut a large group into parts that are numbered apart.
+    the first ``n`` rows of a group, and the first ``n`` groups, can be reached. Without one, ``order`` must name every row;
+    ranks over all rows are taken by ranges, so no group and no round is a single task.
     """
     if n is None:
-        return _interleave_all(df, group, order, lead or [])
+        return _interleave_all(df, group, order)
     ranked = top_per_group(df, [group], key, order, n).withColumnRenamed("_place", "_round")
     leaders = ranked.where(F.col("_round") == 1).orderBy(*order).limit(n)
     turns = leaders.select(F.col(group).alias("_group"), F.row_number().over(Window.orderBy(*order)).alias("_turn"))
@@ -69,22 +75,15 @@ def interleave(df: DataFrame, group: str, key: str, order: list[Column], n: int
     return queue.withColumn("position", place).drop("_round", "_turn")
 
 
-def _interleave_all(df: DataFrame, group: str, order: list[Column], lead: list[str]) -> DataFrame:
-    """All rows in turns. The distinct leading combinations are numbered first: there are few, such as days."""
-    ranked, rest = df.withColumn("_combo", F.lit(1)), order[len(lead):]
-    if lead:
-        combos = df.select(*lead).distinct().withColumn(
-            "_combo", F.row_number().over(Window.orderBy(*order[:len(lead)])))
-        combos = combos.select("_combo", *[F.col(c).alias(f"_c{k}") for k, c in enumerate(lead)])
-        same = [F.col(c).eqNullSafe(F.col(f"_c{k}")) for k, c in enumerate(lead)]
-        ranked = df.join(combos, reduce(lambda a, b: a & b, same)).select(*df.columns, "_combo")
-    ranked = numbered(ranked, [group], [F.col("_combo")], rest).withColumnRenamed("_place", "_round")
-    first = ranked.where(F.col("_round") == 1)
-    turns = first.select(F.col(group).alias("_group"),
-                         F.row_number().over(Window.orderBy("_combo", *rest)).alias("_turn"))  # a row per group
-    joined = ranked.join(turns, F.col(group).eqNullSafe(F.col("_group"))).drop("_group", "_combo")
-    placed = numbered(joined.withColumn("_all", F.lit(0)), ["_all"], [F.floor(F.col("_round") / SPREAD)], ["_round", "_turn"])
-    return placed.withColumn("position", F.col("_place").cast("bigint")).drop("_round", "_turn", "_all", "_place")
+def _interleave_all(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """All rows in turns: ranked by group and order, a row's round is its rank less that of the first of its group."""
+    ranked = global_rank(materialise(df), [F.asc(group), *order])
+    firsts = ranked.groupBy(group).agg(F.min("_rank").alias("_first"))
+    leaders = ranked.join(firsts.select("_first"), F.col("_rank") == F.col("_first")).drop("_rank")
+    turns = global_rank(leaders, order, "_turn").select(F.col(group).alias("_group"), "_first", "_turn")
+    joined = ranked.join(turns, F.col(group).eqNullSafe(F.col("_group")))
+    rounds = joined.select(*df.columns, (F.col("_rank") - F.col("_first")).alias("_round"), "_turn")
+    return global_rank(materialise(rounds), [F.asc("_round"), F.asc("_turn")], "position").drop("_round", "_turn")
 
 
 def capped_sample(df: DataFrame, key: str, group: str, cap: int, n: int, seed: int) -> DataFrame:

@@ -1,21 +1,20 @@
 """Stratified premium of an item on a value, with a stratified bootstrap interval.
 
-The "without" side of an item is its stratum minus the item's own members. It is never built row by row: counts by
-value of the stratum and of the item are subtracted, first by bucket, then inside the one bucket that holds the median.
+The "without" side of an item is its stratum minus the item's own members. It is never built row by row: counts of the
+stratum and of the item are subtracted, first by bucket, then by value inside the few buckets that hold a wanted rank. What
+is written out is one row per cell and bucket, and the values of picked buckets; members are read again for those.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylens.functions import draws
 from paylens.functions.expr import round_half_even
-from paylens.operators.quantiles import (bucket_counts, join_same, locate, median_ranks, resolve, running,
-                                         running_values, value_counts)
+from paylens.operators.quantiles import bucket, join_same, locate, median_ranks, resolve, running, running_values
 from paylens.operators.sizes import materialise
 
 MEDIAN = {"median": median_ranks}
@@ -30,7 +29,8 @@ class Pools:
     """
 
     strata: list[str]
-    counts: DataFrame  # item (NULL for the whole stratum), strata, _value, _bucket, _n
+    members: DataFrame  # item (NULL for the whole stratum), strata, _value, _bucket: not written, read once per use
+    buckets: DataFrame  # item (NULL for the whole stratum), strata, _bucket, _n
     pools: DataFrame  # pool, cell, holds, item, strata, size: both pools of every eligible cell of admitted items
     histogram: DataFrame  # pool, _bucket, _n
 
@@ -38,20 +38,30 @@ class Pools:
     def cell_keys(self) -> list[str]:
         return ["item", *self.strata]
 
+    def picked(self, wanted: DataFrame) -> DataFrame:
+        """(item, strata, _bucket, _value, _n) inside the buckets of cells named by ``wanted``, in one pass over the
+        members."""
+        grain = [*self.cell_keys, "_bucket"]
+        inside = join_same(self.members, wanted.select(*grain).distinct(), grain, "left_semi")
+        return materialise(inside.groupBy(*grain, "_value").agg(F.count(F.lit(1)).alias("_n")))
+
     def values(self, near: DataFrame) -> DataFrame:
         """(pool, _bucket, _value, _n) inside the buckets named by ``near``."""
         names = self.pools.select("pool", "holds", *self.cell_keys)
         near = near.select("pool", "_bucket").join(names, "pool")
-        own = self.counts.where(F.col("item").isNotNull())
-        holding = join_same(near.where("holds"), own, [*self.cell_keys, "_bucket"])
-        lacking = _less(join_same(near.where("not holds"), whole_strata(self.counts), [*self.strata, "_bucket"]), own,
-                        [*self.cell_keys, "_value"])
+        grain = [*self.cell_keys, "_bucket"]
+        whole = near.where("not holds").withColumn("item", F.lit(None).cast(near.schema["item"].dataType))
+        counts = self.picked(near.select(*grain).unionByName(whole.select(*grain)))
+        own = counts.where(F.col("item").isNotNull())
+        holding = join_same(near.where("holds"), own, grain)
+        lacking = _less(join_same(near.where("not holds"), whole_strata(counts), [*self.strata, "_bucket"]), own,
+                        [*grain, "_value"])
         wanted = ["pool", "_bucket", "_value", "_n"]
         return holding.select(*wanted).unionByName(lacking.select(*wanted))
 
     def only(self, items: DataFrame) -> Pools:
         pools = materialise(self.pools.join(items.select("item"), "item", "left_semi"))
-        return Pools(self.strata, self.counts, pools,
+        return Pools(self.strata, self.members, self.buckets, pools,
                      self.histogram.join(pools.select("pool"), "pool", "left_semi"))
 
 
@@ -71,13 +81,15 @@ def build_pools(df: DataFrame, items: str, value: str, strata: list[str], min_ce
     """Pools of the labelled rows of ``df``; ``items`` is an array, NULL where a row was never labelled.
 
     An unlabelled row says nothing about any item and takes part on neither side. Every labelled row is counted once
-    for its stratum (item NULL) and once per item it holds, in a single pass.
+    for its stratum (item NULL) and once per item it holds, in a single pass that combines before the shuffle. ``df`` is
+    read again for picked buckets, so it should be a stored table.
     """
     named = F.filter(F.array_distinct(items), lambda x: x.isNotNull())
     member = F.explode(F.concat(F.array(F.lit(None).cast("string")), named)).alias("item")
     keys = ["item", *strata]
-    counts = materialise(value_counts(df.where(F.col(items).isNotNull()).select(member, *strata, value), keys, value))
-    by_bucket = bucket_counts(counts, keys)
+    known = df.where(F.col(items).isNotNull() & F.col(value).isNotNull())
+    members = known.select(member, *strata, F.col(value).alias("_value")).withColumn("_bucket", bucket(F.col("_value")))
+    by_bucket = materialise(members.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n")))
 
     sizes = by_bucket.groupBy(*keys).agg(F.sum("_n").alias("n_with"))
     whole = whole_strata(sizes).withColumnRenamed("n_with", "_all")
@@ -98,7 +110,7 @@ def build_pools(df: DataFrame, items: str, value: str, strata: list[str], min_ce
     lacking = _less(join_same(names.where("not holds"), whole_strata(by_bucket), strata), own, [*keys, "_bucket"])
     wanted = ["pool", "_bucket", "_n"]
     histogram = materialise(holding.select(*wanted).unionByName(lacking.select(*wanted)))
-    return Pools(strata, counts, pools, histogram)
+    return Pools(strata, members, by_bucket, pools, histogram)
 
 
 def _cell_medians(p: Pools) -> DataFrame:
@@ -127,10 +139,11 @@ def premium_from_pools(p: Pools, k: int | None = 10) -> DataFrame:
     ranked = materialise(ranked)
 
     kept = p.pools.where("holds").join(ranked.select("item"), "item", "left_semi").select(*p.cell_keys)
-    pooled = (join_same(p.counts, kept, p.cell_keys, "left_semi").groupBy("item", "_value", "_bucket")
-              .agg(F.sum("_n").alias("_n")))
-    picks = locate(bucket_counts(pooled, ["item"]), ["item"], MEDIAN)
-    middle = resolve(pooled, picks, ["item"], ["median"]).select(
+    pooled = join_same(p.buckets, kept, p.cell_keys, "left_semi").groupBy("item", "_bucket").agg(F.sum("_n").alias("_n"))
+    picks = materialise(locate(pooled, ["item"], MEDIAN))
+    values = p.picked(kept.join(picks.select("item", "_bucket"), "item")).groupBy("item", "_bucket", "_value").agg(
+        F.sum("_n").alias("_n"))
+    middle = resolve(values, picks, ["item"], ["median"]).select(
         "item", round_half_even(F.col("median")).alias("median_with"))
     return ranked.join(middle, "item").select("item", "n", "premium_pct", "median_with")
 
@@ -144,68 +157,23 @@ def stratified_premium(df: DataFrame, items: str = "skills", value: str = "salar
     return premium_from_pools(pools, k).orderBy(F.desc("premium_pct"), "item")
 
 
-def median_draws(n: int, replicates: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks that carry the median of n draws with replacement from n members, for each replicate.
+def _drawn_ranks(p: Pools, replicates: int, seed: int) -> DataFrame:
+    """(pool, rep, _rank): the one or two ranks that carry the median of each replicate. A replicate costs a constant
+    number of draws, whatever the size of the pool."""
+    tasks = p.pools.sparkSession.sparkContext.defaultParallelism
+    pools = p.pools.select("pool", "size", draws.named(seed, F.col("holds"), *map(F.col, p.cell_keys)).alias("_name"))
+    reps = pools.repartition(tasks, "pool").select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
+    ranks = reps.select("pool", "rep", draws.median_ranks(draws.named(F.col("_name"), F.col("rep")), F.col("size")).alias("d"))
+    return ranks.select("pool", "rep", F.explode(F.array("d.low", "d.high")).alias("_rank"))
 
-    Sorting n uniform draws, the m-th is Beta(m, n - m + 1) and hits member ceil(n * u), so a replicate costs two
-    numbers instead of n draws and has exactly the law of a full resample. For even n the next order statistic is
-    the minimum of the n - m draws above the m-th.
-    """
-    m = (n + 1) // 2
-    u = rng.beta(m, n - m + 1, replicates)
-    low = np.clip(np.ceil(n * u), 1, n)
-    if n % 2:
-        return low, low
-    above = 1 - (1 - u) * rng.random(replicates) ** (1 / (n - m))
-    return low, np.clip(np.ceil(n * above), low, n)
-
-
-def _draw_ranks(replicates: int, seed: int):
-    @F.pandas_udf("low array<bigint>, high array<bigint>")
-    def draw(cell: pd.Series, n: pd.Series) -> pd.DataFrame:
-        drawn = [median_draws(int(size), replicates, np.random.default_rng([seed, int(key) & (2**64 - 1)]))
-                 for key, size in zip(cell, n)]
-        return pd.DataFrame({name: [d[i].astype("int64") for d in drawn] for i, name in enumerate(("low", "high"))})
-    return draw
-
-
-def _order_statistics(p: Pools, replicates: int, seed: int) -> DataFrame:
-    """(pool, rep, _rank): the one or two ranks that carry the median of each replicate, by their law."""
-    drawn = p.pools.select("pool", _draw_ranks(replicates, seed)(
-        F.xxhash64("holds", *p.cell_keys), F.col("size")).alias("d")).select("pool", "d.*")
-    return (drawn.select("pool", F.posexplode(F.arrays_zip("low", "high")).alias("rep", "d"))
-            .select("pool", "rep", F.explode(F.array("d.low", "d.high")).alias("_rank")))
-
-
-def _full_draws(p: Pools, replicates: int, seed: int) -> DataFrame:
-    """The same from n draws by md5, which any engine can replay: draw i of a replicate is the first 32 bits of the md5
-    of seed, pool, replicate and i, modulo n. Costs n times ``replicates``, so it is meant for few replicates."""
-    chunk = 100_000
-    pools = p.pools.select("pool", "size", F.concat_ws("|", F.lit(seed), "holds", *p.cell_keys).alias("_name"))
-    reps = pools.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    parts = reps.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / chunk))).alias("_part"))
-    first = F.col("_part") * chunk
-    draws = parts.repartition("pool", "rep", "_part").select(
-        "pool", "rep", "size", "_name", F.explode(F.sequence(first, F.least(first + chunk, F.col("size")) - 1)).alias("_i"))
-    key = F.concat_ws("|", "_name", "rep", "_i").cast("binary")
-    rank = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % F.col("size") + 1
-    counts = value_counts(draws.select("pool", "rep", rank.alias("_drawn")), ["pool", "rep"], "_drawn")
-    picks = locate(bucket_counts(counts, ["pool", "rep"]), ["pool", "rep"], {"low": lambda n: F.array(F.floor((n + 1) / 2)),
-                                                                            "high": lambda n: F.array(F.floor(n / 2) + 1)})
-    ends = resolve(counts, picks, ["pool", "rep"], ["low", "high"])
-    return ends.select("pool", "rep", F.explode(F.array(F.col("low").cast("bigint"), F.col("high").cast("bigint"))).alias("_rank"))
-
-
-DRAWS = {"order": _order_statistics, "md5": _full_draws}
-
-
-def _resampled_medians(p: Pools, replicates: int, seed: int, draw: str) -> DataFrame:
+
+def _resampled_medians(p: Pools, replicates: int, seed: int) -> DataFrame:
     """pool, rep and the median of the pool in that replicate.
 
     Wanted ranks meet values in one ordered pass per pool and bucket: the value of a rank is that of the last step that
     begins below it.
     """
-    ranks = materialise(DRAWS[draw](p, replicates, seed))
+    ranks = materialise(_drawn_ranks(p, replicates, seed))
     spans = ranks.groupBy("pool").agg(F.min("_rank").alias("_first"), F.max("_rank").alias("_last"))
     near = materialise(running(p.histogram, ["pool"], "_bucket").join(spans, "pool").where(
         (F.col("_upto") >= F.col("_first")) & (F.col("_below") < F.col("_last"))).select(
@@ -227,16 +195,14 @@ def _resampled_medians(p: Pools, replicates: int, seed: int, draw: str) -> DataF
     return ranks.join(found, ["pool", "_rank"]).groupBy("pool", "rep").agg(F.avg("_value").alias("_m"))
 
 
-def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719, draw: str = "order") -> DataFrame:
+def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719) -> DataFrame:
     """item, ci_lo, ci_hi: percentile interval (floor index) of the premium under a bootstrap inside every pool.
 
-    ``draw`` is "order" (order statistics by their law, constant cost) or "md5" (full resamples that SQL can replay).
-
     Draws depend only on the seed, the pool's names and the replicate, so the result is the same for any partitioning
     and after any retry. NULL if fewer than half of the replicates give a value.
     """
     names = p.pools.select("pool", "cell", "item", "holds", "size")
-    named = _resampled_medians(p, replicates, seed, draw).join(names, "pool")
+    named = _resampled_medians(p, replicates, seed).join(names, "pool")
     ratios = named.groupBy("cell", "item", "rep").agg(
         F.try_divide(F.max(F.when(F.col("holds"), F.col("_m"))), F.max(F.when(~F.col("holds"), F.col("_m")))).alias("_ratio"),
         F.max(F.when(F.col("holds"), F.col("size"))).alias("n_with"))
@@ -252,9 +218,9 @@ def premium_ci(p: Pools, replicates: int = 1000, seed: int = 20260719, draw: str
 
 def premium_with_ci(df: DataFrame, items: str = "skills", value: str = "salary_mid_usd",
                     strata: list[str] | None = None, min_cell: int = 8, min_total: int = 15, k: int | None = 10,
-                    replicates: int = 1000, seed: int = 20260719, draw: str = "order") -> DataFrame:
+                    replicates: int = 1000, seed: int = 20260719) -> DataFrame:
     """The premium table with an interval per item. Only the items that are reported are resampled."""
     p = build_pools(df, items, value, strata or ["seniority", "region"], min_cell, min_total)
     best = materialise(premium_from_pools(p, k))
-    ci = premium_ci(p.only(best), replicates, seed, draw)
+    ci = premium_ci(p.only(best), replicates, seed)
     return best.join(ci, "item", "left").orderBy(F.desc("premium_pct"), "item")

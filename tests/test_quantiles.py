@@ -116,14 +116,3 @@ def test_interval_does_not_depend_on_partitions(spark):
     df = spark.createDataFrame(_rows(4, 400), "s string, pay double, items array<string>")
     runs = [pr.premium_with_ci(df.repartition(n), "items", "pay", ["s"], replicates=50).collect() for n in (1, 7)]
     assert runs[0] == runs[1]
-
-
-@pytest.mark.parametrize("n", [1, 2, 7, 8])
-def test_median_draws_have_the_law_of_a_resample(n):
-    rng = np.random.default_rng(1)
-    low, high = pr.median_draws(n, 40000, rng)
-    full = np.sort(rng.integers(1, n + 1, (40000, n)), axis=1)
-    want_low, want_high = full[:, (n - 1) // 2], full[:, n // 2]
-    for got, want in ((low, want_low), (high, want_high), (low + high, want_low + want_high), (low * high, want_low * want_high)):
-        for v in range(1, n * n + 1):
-            assert abs((got == v).mean() - (want == v).mean()) < .015
