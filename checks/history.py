@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from checks.base import L, P, S, check, label_table, labelled_postings, postings, rows, table
 from paylens.functions import classify
-from paylens.operators import groups, history, labels, quality, reports
-from paylens.operators.sizes import shared_folder
+from paylens.operators import groups, history, keyfilter, labels, quality, reports
+from paylens.operators.sizes import materialise, shared_folder
 
 E = """e AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, value, event_type = 'error' AS mgmt,
   value > 10 AS has_pay FROM events)"""
@@ -180,13 +180,34 @@ def first_occurrence(spark, sf):
   SELECT job_uid, count(*) AS n FROM k t WHERE dt = (SELECT max(dt) FROM k)
   AND NOT EXISTS (SELECT 1 FROM k h WHERE h.job_uid = t.job_uid AND h.dt <> t.dt) GROUP BY 1""")
 def anti_new_keys(spark, sf):
-    """Customer and priority pairs that only the last year holds."""
+    """Customer and priority pairs that only the last year holds, found with key filters of all other years."""
     k = table(spark, sf, "orders").select(
         classify.posting_key(F.col("o_custkey").cast("string"), "o_orderpriority").alias("job_uid"),
         F.trunc("o_orderdate", "year").alias("dt"))
     last = k.agg(F.max("dt")).first()[0]
     today = k.where(F.col("dt") == F.lit(last)).groupBy("job_uid").agg(F.count(F.lit(1)).alias("n"))
-    return history.new_rows(today, k, last)
+    past = k.where(F.col("dt") != F.lit(last))
+    filters = keyfilter.build(past, "job_uid", keyfilter.slots_for(past.count()), ["dt"])
+    return today.join(keyfilter.find_known(today, past, filters).known, "job_uid", "left_anti")
+
+
+@check("key_lookup", """
+  WITH k AS (SELECT o_custkey || ':' || o_orderpriority AS job_uid, CAST(date_trunc('year', o_orderdate) AS DATE) AS dt
+    FROM orders), t AS (SELECT DISTINCT job_uid FROM k WHERE dt = (SELECT max(dt) FROM k))
+  SELECT k.dt, count(DISTINCT t.job_uid) AS known, max(a.n) AS stored FROM k JOIN t USING (job_uid)
+  JOIN (SELECT dt, count(*) AS n FROM k GROUP BY dt) a ON a.dt = k.dt WHERE k.dt < (SELECT max(dt) FROM k) GROUP BY 1""")
+def key_lookup(spark, sf):
+    """Per year that was read for an exact check: keys of the last year that it holds, and its rows."""
+    k = table(spark, sf, "orders").select(
+        classify.posting_key(F.col("o_custkey").cast("string"), "o_orderpriority").alias("job_uid"),
+        F.trunc("o_orderdate", "year").alias("dt"))
+    last = k.agg(F.max("dt")).first()[0]
+    past = k.where(F.col("dt") != F.lit(last))
+    filters = keyfilter.build(past, "job_uid", keyfilter.slots_for(past.count()), ["dt"])
+    found = keyfilter.find_known(k.where(F.col("dt") == F.lit(last)), past, filters)
+    read = past.where(F.col("dt").isin(found.days_read))
+    exact = read.join(found.candidates, ["job_uid", "dt"], "left_semi").groupBy("dt").agg(F.count_distinct("job_uid").alias("known"))
+    return exact.join(read.groupBy("dt").agg(F.count(F.lit(1)).alias("stored")), "dt")
 
 
 @check("publish_date_backfill", """
@@ -220,12 +241,18 @@ j AS (SELECT w.event_type AS scope, coalesce(g.n, 0) AS got, expected FROM want
   SELECT * FROM j WHERE got < 0.5 * expected UNION ALL
   SELECT * FROM t WHERE got < 0.6 * expected"""))
 def volume_guard(spark, sf):
-    """A last day on which one source went silent and another lost most of its rows."""
-    e = event_rows(spark, sf)
-    last = e.agg(F.max("day")).first()[0]
-    now = e.where((F.col("day") == F.lit(last)) & (F.col("event_type") != "purchase")
-                  & ((F.col("event_type") != "view") | (F.col("value") > 20)))
-    return quality.volume_guard(e.where(F.col("day") != F.lit(last)), now, "event_type", "day")
+    """A last day on which one source went silent and another lost most of its rows, against counts that are kept per day.
+    The day before was stored at half its size first and then replaced, which retracts its old counts."""
+    e = event_rows(spark, sf).select(F.col("event_type").alias("source"), "day", "value")
+    days = [r.day for r in e.select("day").distinct().orderBy("day").collect()]
+    store = f"{shared_folder(spark)}/guard-{uuid.uuid4().hex}"
+    per_day = materialise(e.where(F.col("day") != days[-1]).groupBy("source", "day").agg(F.count(F.lit(1)).alias("n")))
+    for day, part in ((days[-2], 2), *((d, 1) for d in days[:-1])):
+        counts = per_day.where(F.col("day") == day).select("source", F.ceil(F.col("n") / part).alias("n"))
+        history.write_day(counts, store, "counts", str(day), key="source")
+    now = e.where((F.col("day") == days[-1]) & (F.col("source") != "purchase")
+                  & ((F.col("source") != "view") | (F.col("value") > 20)))
+    return quality.volume_problems(history.day_counts(spark, store, str(days[-1])), quality.source_counts(now))
 
 
 @check("quality_assertions", rows(P, select="""

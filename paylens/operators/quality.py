@@ -20,17 +20,24 @@ def source_counts(df: DataFrame, source: str = "source") -> DataFrame:
 
 def volume_guard(history: DataFrame, today: DataFrame, source: str = "source", date: str = "snapshot_date",
                  floor: float = 0.5, total_floor: float = 0.6, days: int = 7, min_days: int = 3) -> DataFrame:
+    """The guard over rows: ``history`` excludes today and is counted once, from its source and date columns."""
+    per_day = materialise(history.groupBy(source, date).agg(F.count(F.lit(1)).alias("n")))
+    return volume_problems(per_day, source_counts(today, source), source, date, floor, total_floor, days, min_days)
+
+
+def volume_problems(per_day: DataFrame, today: DataFrame, source: str = "source", date: str = "dt", floor: float = 0.5,
+                    total_floor: float = 0.6, days: int = 7, min_days: int = 3) -> DataFrame:
     """Problems as (scope, got, expected): a source below ``floor`` of the median of its latest ``days`` counts, or a
     total below ``total_floor`` of the summed medians. Silent until ``min_days`` days of history exist.
 
-    ``history`` excludes today. Days on which a source has no rows are absent, not zero. The history is counted once,
-    from its source and date columns.
+    ``per_day`` has (source, date, n) and excludes today, ``today`` has (source, n). Days on which a source has no rows
+    are absent, not zero.
     """
-    per_day = materialise(history.groupBy(source, date).agg(F.count(F.lit(1)).alias("_n")))
+    per_day = per_day.withColumnRenamed("n", "_n")
     recent = per_day.withColumn("_r", F.row_number().over(Window.partitionBy(source).orderBy(F.desc(date)))).where(
         F.col("_r") <= days)
     expected = recent.groupBy(source).agg(F.median("_n").alias("expected"))  # at most ``days`` numbers each
-    now = source_counts(today, source).withColumnRenamed("n", "_got")
+    now = today.withColumnRenamed("n", "_got")
     judged = expected.join(now, source, "full_outer").select(
         F.col(source).alias("scope"), F.coalesce("_got", F.lit(0)).alias("got"), "expected")
     total = judged.agg(F.sum("got").alias("got"), F.sum("expected").alias("expected")).select(

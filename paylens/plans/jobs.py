@@ -41,8 +41,13 @@ def normalise_postings(raw: DataFrame, rates: DataFrame, dt: str) -> DataFrame:
 
 def distinct_postings(priced: DataFrame, dt: str) -> DataFrame:
     """The first posting of each key in ingest order, with its buckets."""
+    return bucketed(first_occurrence(priced, "job_uid", "ingest_seq"), dt)
+
+
+def bucketed(priced: DataFrame, dt: str) -> DataFrame:
+    """Priced postings of a day with their buckets."""
     day = F.lit(dt).cast("date")
-    return first_occurrence(priced, "job_uid", "ingest_seq").withColumns({
+    return priced.withColumns({
         "snapshot_date": day, "first_seen": day,
         "region": classify.region_bucket("location_raw", "country"),
         "seniority": classify.seniority_bucket("title"),
@@ -95,14 +100,16 @@ def daily_run(spark: SparkSession, landing: str, store: str, dt: str, rates: Dat
     targets = target_postings(raw)
     priced = stage(priced_postings(targets, rates))
     kept = materialise(distinct_postings(priced, dt))
-    past = history.read_table(spark, store, "snapshots").where(F.col("dt") != F.lit(dt).cast("date"))
-    problems = quality.volume_guard(past, kept).collect()  # at most one row per source and one for the total
+    counts = materialise(quality.source_counts(kept))
+    problems = quality.volume_problems(history.day_counts(spark, store, dt), counts).collect()  # a row per source at most
     if problems:
         raise quality.VolumeGuardError("; ".join(f"{p.scope}: {p.got} rows, expected about {p.expected:.0f}"
                                                  for p in problems))
-    history.write_day(snapshot_rows(kept), store, "snapshots", dt)
-    new = materialise(history.new_rows(job_rows(kept), history.read_table(spark, store, "jobs"), dt))
-    history.write_day(new, store, "jobs", dt)
+    history.forget_counts(spark, store, dt)
+    history.replace_day(snapshot_rows(kept), store, "snapshots", dt)
+    history.write_day(counts, store, "counts", dt, key="source")
+    new = materialise(history.unseen_rows(job_rows(kept), store, "jobs", dt))
+    history.replace_day(new, store, "jobs", dt)
     labelled = label_day(targets, kept, store, dt, labeller, limit) if label else None
     summary = quality.run_summary(raw, priced, kept, dt, new, labelled)
     summary.write.mode("overwrite").json(f"{store}/runs/dt={dt}")
@@ -115,6 +122,7 @@ def backfill(spark: SparkSession, landing: str, store: str, today: str, rates: D
     kept = materialise(normalise_postings(read_postings(spark, landing, registry, lines), rates, today))
     rows = job_rows(history.backfill_rows(kept, today))
     history.write_backfill(rows, store)
+    history.rewrite_keys(spark, store, "jobs")
     return history.backfill_summary(history.read_table(spark, store, "jobs"))
 
 

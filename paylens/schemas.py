@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, D, B, L = T.StringType(), T.DoubleType(), T.BooleanType(), T.LongType()
+S, D, B, L, BYTES = T.StringType(), T.DoubleType(), T.BooleanType(), T.LongType(), T.BinaryType()
 
 
 def struct(**fields: T.DataType) -> T.StructType:
@@ -50,7 +50,10 @@ JOBS = struct(
     salary_min_orig=D, salary_max_orig=D, salary_interval_orig=S, salary_min_usd=D, salary_max_usd=D,
     salary_mid_usd=D, has_salary=B)
 SKILLS = struct(job_uid=S, skill=S, source=S, prompt_version=S, extracted_at=T.TimestampType())
-TABLES = {"snapshots": SNAPSHOTS, "jobs": JOBS, "skills": SKILLS}
+KEYS = struct(slots=L, slot=L, bits=BYTES)  # filters over the keys of a day
+COUNTS = struct(source=S, n=L)  # rows of a day by source; a row of NULLs says that the day must be counted again
+TABLES = {"snapshots": SNAPSHOTS, "jobs": JOBS, "skills": SKILLS, "jobs_keys": KEYS, "snapshots_keys": KEYS,
+          "counts": COUNTS}
 
 GOLD = struct(id=L, title=S, text=S, expected=T.ArrayType(S))
 REGISTRY = struct(name=S, ats=S, source=S, slug=S, status=S, added=S, n_jobs=L, has_eu=B, has_remote=B)

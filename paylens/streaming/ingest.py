@@ -8,25 +8,48 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paylens.operators import history
 from paylens.operators.sizes import materialise
-from paylens.plans.jobs import job_rows, normalise_postings, snapshot_rows
+from paylens.plans.jobs import bucketed, job_rows, priced_postings, snapshot_rows, target_postings
 from paylens.sources.boards import stream_postings
 
 
-def absorb(batch: DataFrame, store: str, dt: str, rates: DataFrame) -> None:
-    """Add one micro-batch to the day. Keys the history already holds are dropped first, so replaying a batch after
-    a failure adds nothing."""
-    spark = batch.sparkSession
-    kept = materialise(normalise_postings(batch, rates, dt))
-    day = F.col("dt") == F.lit(dt).cast("date")
-    known = history.read_table(spark, store, "jobs").select("job_uid").distinct()
-    history.write_day(job_rows(kept).join(known, "job_uid", "left_anti"), store, "jobs", dt, append=True)
-    today = history.read_table(spark, store, "snapshots").where(day).select("job_uid").distinct()
-    history.write_day(snapshot_rows(kept).join(today, "job_uid", "left_anti"), store, "snapshots", dt, append=True)
+def keyed_state(priced: DataFrame, dt: str, keep: str) -> DataFrame:
+    """(job_uid, posting, new_key, new_today) of every key that the current micro-batch touches.
+
+    Streaming state holds, per key, when it was first and last seen and when it was first seen on its latest day, so a key
+    is known again without a look into the history. ``posting`` is its first one of this micro-batch, in ingest order. Keys
+    leave the state at the end of a window of length ``keep``; when they come again they count as new here, and the
+    history decides.
+    """
+    day, at = F.lit(dt).cast("date"), F.unix_micros("_at")
+    seen = priced.withColumn("_at", F.current_timestamp()).withWatermark("_at", "1 day")  # one time per micro-batch
+    state = seen.groupBy(F.window("_at", keep), "job_uid").agg(
+        F.min("_at").alias("first"), F.max("_at").alias("last"),
+        F.max(F.struct(day.alias("day"), (-at).alias("at"))).alias("newest"),
+        F.min_by(F.struct(*[c for c in priced.columns if c != "job_uid"]), F.struct(-at, F.col("ingest_seq"))).alias("posting"))
+    this_batch = F.struct(day.alias("day"), (-F.unix_micros("last")).alias("at"))
+    return state.select("job_uid", "posting", (F.col("first") == F.col("last")).alias("new_key"),
+                        ((F.col("newest") == this_batch) | (F.col("newest.day") > day)).alias("new_today"))
+
+
+def absorb(batch: DataFrame, store: str, dt: str) -> None:
+    """Add what is new in one micro-batch to the day. Key filters are extended before rows are written and hits are
+    checked in the history, so replaying a batch after a failure adds nothing."""
+    fresh = materialise(batch.where("new_key OR new_today"))
+    if fresh.isEmpty():
+        return
+    rows = bucketed(fresh.select("job_uid", "new_key", "new_today", "posting.*"), dt)
+    new = materialise(history.unseen_rows(job_rows(rows.where("new_key")), store, "jobs"))
+    history.extend_day(new, store, "jobs", dt)
+    today = materialise(history.unseen_rows(snapshot_rows(rows.where("new_today")), store, "snapshots", only=dt))
+    history.forget_counts(batch.sparkSession, store, dt)
+    history.extend_day(today, store, "snapshots", dt)
 
 
 def stream_ingest(spark: SparkSession, landing: str, store: str, dt: str, rates: DataFrame, checkpoint: str,
-                  lines: bool = False) -> StreamingQuery:
-    """Process every dump that landed since the last run, then stop. The checkpoint remembers which files were read."""
-    return (stream_postings(spark, landing, lines).writeStream.trigger(availableNow=True)
+                  lines: bool = False, keep: str = "30 days") -> StreamingQuery:
+    """Process every dump that landed since the last run, then stop. The checkpoint remembers which files were read and
+    which keys were seen within ``keep``."""
+    priced = priced_postings(target_postings(stream_postings(spark, landing, lines)), rates)
+    return (keyed_state(priced, dt, keep).writeStream.outputMode("update").trigger(availableNow=True)
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda batch, _: absorb(batch, store, dt, rates)).start())
+            .foreachBatch(lambda batch, _: absorb(batch, store, dt)).start())
