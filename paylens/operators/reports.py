@@ -103,11 +103,19 @@ def rate_freshness(rates: DataFrame, today: str, codes: tuple[str, ...] = ("GBP"
 
 # -- slice level -------------------------------------------------------------------------------------------------
 
-def histogram(df: DataFrame, value: str = "salary_mid_usd", width: int = 25_000, cap: int = 400_000,
+HISTOGRAM_WIDTH, HISTOGRAM_CAP = 25_000, 400_000
+
+
+def pay_bin(value: Column, width: int = HISTOGRAM_WIDTH, cap: int = HISTOGRAM_CAP) -> Column:
+    """Number of the bin; the last one is open."""
+    return F.least(F.floor(value / width), F.lit(cap // width)).cast("int")
+
+
+def histogram(df: DataFrame, value: str = "salary_mid_usd", width: int = HISTOGRAM_WIDTH, cap: int = HISTOGRAM_CAP,
               min_n: int = 30) -> DataFrame:
     """(bin, low, high, n): equal bins and an open last one, empty bins included; no rows for a thin slice."""
     last = cap // width
-    index = F.least(F.floor(F.col(value) / width), F.lit(last)).cast("int")
+    index = pay_bin(F.col(value), width, cap)
     counted = df.where(F.col(value).isNotNull()).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spine = df.sparkSession.range(last + 1).select(F.col("id").cast("int").alias("bin"))
     full = spine.join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -186,21 +194,23 @@ def top_payers(df: DataFrame, employers: DataFrame | None = None, value: str = "
     return best.orderBy(F.desc("median"), company)
 
 
-def headline(df: DataFrame, premium: DataFrame, days: int, value: str = "salary_mid_usd",
-             management: str = "is_management", new: str = "is_new", min_n: int = 10, min_item: int = 15) -> DataFrame:
-    """One row of tiles: postings, new ones (not on the first day), median pay and its month, and the best premium.
-
-    The premium named is the first with ``min_item`` rows whose interval does not touch zero, else the first with
-    enough rows.
-    """
+def best_premium(premium: DataFrame, min_item: int = 15) -> Column:
+    """(item, premium_pct, n) of the first premium with ``min_item`` rows whose interval does not touch zero, else of the
+    first with enough rows."""
     solid = ~F.coalesce(F.col("ci_lo") <= 0, F.lit(False))
     rank = F.struct(F.when(solid, 0).otherwise(1), -F.col("premium_pct"), F.col("item"))
-    best = premium.where(F.col("n") >= min_item).agg(F.min_by(F.struct("item", "premium_pct", "n"), rank)).scalar()
+    return premium.where(F.col("n") >= min_item).agg(F.min_by(F.struct("item", "premium_pct", "n"), rank)).scalar()
+
+
+def headline(df: DataFrame, premium: DataFrame, days: int, value: str = "salary_mid_usd",
+             management: str = "is_management", new: str = "is_new", min_n: int = 10, min_item: int = 15) -> DataFrame:
+    """One row of tiles: postings, new ones (not on the first day), median pay and its month, and the best premium."""
     pay = grouped_quantiles(paid(df, value, management), [], value, {"median": median_ranks}, min_n)
     middle = pay.agg(F.max("median")).scalar()
     paid_rows = F.count_if(~F.col(management) & F.col(value).isNotNull())
     tiles = df.agg(F.count(F.lit(1)).alias("postings"), F.count_if(F.col(new) == 1).alias("_new"),
-                   paid_rows.alias("paid_n")).withColumns({"median": middle, "_best": best})
+                   paid_rows.alias("paid_n")).withColumns(
+        {"median": middle, "_best": best_premium(premium, min_item)})
     return tiles.select(
         "postings", F.when(F.lit(days > 1), F.col("_new")).alias("new"), "paid_n", "median",
         (F.col("median") / 12).alias("median_month"), F.col("_best.item").alias("top_item"),

@@ -168,19 +168,20 @@ def write_published(result: Published, target: str) -> None:
 
 
 def slice_report(df: DataFrame, premium: DataFrame, days: int, region: str = "all", seniority: str = "all",
-                 employers: DataFrame | None = None) -> dict[str, DataFrame]:
+                 employers: DataFrame | None = None, value: str = "salary_mid_usd", order: list[str] | None = None
+                 ) -> dict[str, DataFrame]:
     """Every interactive aggregate of one slice. The grade chart ignores the grade filter and the place chart the
-    region filter, so that both show all their groups."""
+    region filter, so that both show all their groups. ``paylens.operators.cube`` has all slices at once."""
     picked = classify.slice_filter(df, region, seniority)
-    paid = classify.paid(picked)
+    paid = classify.paid(picked, value)
     return {
-        "headline": reports.headline(picked, premium, days),
-        "histogram": reports.histogram(paid),
-        "marks": reports.distribution_marks(paid),
-        "grades": reports.median_by_grade(classify.paid(classify.slice_filter(df, region))),
-        "places": reports.median_by_place(classify.paid(classify.slice_filter(df, "all", seniority))),
-        "demand": reports.item_demand(picked),
-        "payers": reports.top_payers(paid, employers),
+        "headline": reports.headline(picked, premium, days, value),
+        "histogram": reports.histogram(paid, value),
+        "marks": reports.distribution_marks(paid, value),
+        "grades": reports.median_by_grade(classify.paid(classify.slice_filter(df, region), value), value, order=order),
+        "places": reports.median_by_place(classify.paid(classify.slice_filter(df, "all", seniority), value), value),
+        "demand": reports.item_demand(picked, value=value),
+        "payers": reports.top_payers(paid, employers, value),
         "learn_next": reports.learn_next(premium, reports.item_shares(picked)),
     }
 
