@@ -1,8 +1,9 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick automaton over fixed anchors (at-signs, plus signs, digits, schemes, identifier cues) scans every text
-once. Each hit goes to a local parser that expands to both sides as far as its grammar allows and validates what it
-found: number ranges, check digits, length. Parsers are deterministic and read each character a bounded number of times.
+once. Each hit goes to a local parser that expands to both sides as far as its grammar allows, however long that is, and
+validates what it found: number ranges, check digits, length. Parsers are deterministic and read each character a bounded
+number of times.
 
 Base kinds are email, ip, card and phone. Beyond them the cues add: email written with (at) and (dot), account (IBANs
 with a right check number, and numbers named as accounts), address (house number and street), secret (keys, tokens and
@@ -39,26 +40,27 @@ SECRET_CUES = ("token", "password", "passwd", "api_key", "apikey", "api key", "s
 STREET_BEFORE = ("street", "road", "avenue", "lane", "drive", "boulevard")  # 12 Long Street
 STREET_AFTER = ("straße", "strasse", "gasse")  # Lange Straße 12
 STREET_LEAD = ("rue", "calle", "avenida")  # 12 rue Longue, calle Larga 12
-_ACCOUNT_TAIL = re.compile(r"(?:\s|[.:#=]|no\b|number\b|nr\b){0,6}([0-9](?:[ -]?[0-9]){5,20})(?![0-9])")
+_ACCOUNT_TAIL = re.compile(r"(?:\s|[.:#=]|no\b|number\b|nr\b){0,6}([0-9](?:[ -]?[0-9]){5,})")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _IBAN_START = re.compile(r"[A-Z]{2}[0-9]{2}")
 _IBAN_CUE = re.compile(r"(?<![^\W_])(?:iban|IBAN|Iban)")
+_NOT_BLANK = re.compile(r"\S|\Z")
 _IBAN_STOP = re.compile(rf"\n|{_IBAN_CUE.pattern}")
-IBAN_WINDOW = 48  # an account may follow its label on the next line
 IBAN_LENGTHS = {code[:2]: int(code[2:]) for code in (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 "
     "FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 "
     "LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 "
     "RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
-_SECRET_TAIL = re.compile(r"""["']?\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9+/_.=-]{8,512})""")
-_HOUSE_BEFORE = re.compile(r"(?<![0-9])[0-9]{1,5}[a-z]? (?:[A-Z][\w'-]{0,30} ){1,3}$")
-_STREET_STEM = re.compile(r"(?:[A-ZÄÖÜ][\w-]{0,30}[ -]?)$")
+_SECRET_TAIL = re.compile(r"""["']?\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9+/_.=-]{8,})""")
+_HOUSE_BEFORE = re.compile(r"(?<![0-9])[0-9]{1,5}[a-z]? $")
+_STREET_WORDS = 3  # of a street's name, before its kind or behind it
+_CAPITAL = re.compile(r"[A-ZÄÖÜ]")
 _HOUSE_AFTER = re.compile(r" [0-9]{1,5}[a-z]?\b")
 _NUMBER_LEAD = re.compile(r"(?<![0-9])[0-9]{1,5},? $")
-_LEAD_TAIL = re.compile(r" (?:de |la |del |des |du |los |las ){0,2}(?:[A-ZÁÉÍÓÚÈÀÂ][\w'-]{0,30} ?){1,3}(,? ?[0-9]{1,5}\b)?")
+_LEAD_TAIL = re.compile(r" (?:de |la |del |des |du |los |las ){0,2}(?:[A-ZÁÉÍÓÚÈÀÂ][\w'-]*+ ?){1,3}(,? ?[0-9]{1,5}\b)?")
 _AT = re.compile(r" ?[(\[{] ?at ?[)\]}] ?", re.I)
 _MASKED = re.compile(r"[A-Za-z0-9-]{1,63}(?: ?[(\[{] ?(?:dot|punkt|punto|point) ?[)\]}] ?[A-Za-z0-9-]{1,63}){1,5}", re.I)
-_LOGIN = re.compile(r"[^\s/?#@:\"'<>]{1,128}:[^\s/?#@\"'<>]{1,128}@")
+_LOGIN = re.compile(r"[^\s/?#@:\"'<>]++:[^\s/?#@\"'<>]++@")
 
 
 @cache
@@ -130,15 +132,10 @@ def _account(text: str, start: int, end: int):
     return m and ("account", m.start(1), m.end(1))
 
 
-def _iban(text: str, start: int, end: int):
-    """All accounts up to the end of the line, or to the next cue, which searches on from there. A country's own length
-    tells where one ends, whatever follows; for other countries every end is tried, the longest first."""
-    last, upto = _IBAN_STOP.search(text, end), len(text)
-    if last and last[0] == "\n" and last.start() < end + IBAN_WINDOW:
-        upto = end + IBAN_WINDOW
-        last = _IBAN_CUE.search(text, last.end(), upto)
-    stop = last.start() if last else upto
-    found, at = [], end
+def _ibans(text: str, at: int, stop: int) -> list[tuple[str, int, int]]:
+    """All accounts of a stretch. A country's own length tells where one ends, whatever follows; for other countries every
+    end is tried, the longest first."""
+    found = []
     while m := _IBAN_START.search(text, at, stop):
         most = _IBAN.match(text, m.start()) or m
         ends = [k for k in range(most.start() + 1, most.end() + 1) if text[k - 1] != " "]
@@ -150,19 +147,52 @@ def _iban(text: str, start: int, end: int):
     return found
 
 
+def _iban(text: str, start: int, end: int):
+    """The accounts up to the end of the line, or to the next cue, which searches on from there; if the line has none, those
+    of the next line that is not blank."""
+    for _ in range(2):
+        last = _IBAN_STOP.search(text, end)
+        if found := _ibans(text, end, last.start() if last else len(text)):
+            return found
+        if not last or last[0] != "\n":
+            return None
+        end = _NOT_BLANK.search(text, last.end()).start()
+    return None
+
+
 def _secret(text: str, start: int, end: int):
     m = _SECRET_TAIL.match(text, end)
-    return m and any(c.isdigit() for c in m[1]) and ("secret", m.start(1), m.end(1))
+    return m and ("secret", m.start(1), m.end(1), any(c.isdigit() for c in m[1]))
+
+
+def _left_word(text: str, at: int, marks: str) -> int:
+    while at and (text[at - 1].isalnum() or text[at - 1] in marks):
+        at -= 1
+    return at
 
 
 def _street_before(text: str, start: int, end: int):
-    m = _HOUSE_BEFORE.search(text, max(0, start - 110), start)
-    return m and ("address", m.start(), end)
+    """The longest name of up to _STREET_WORDS capitalised words with a house number before it."""
+    at, found = start, None
+    for _ in range(_STREET_WORDS):
+        if not at or text[at - 1] != " ":
+            break
+        word = _left_word(text, at - 1, "_'-")
+        if word == at - 1 or not "A" <= text[word] <= "Z":
+            break
+        at = word
+        if m := _HOUSE_BEFORE.search(text, max(0, at - 8), at):
+            found = "address", m.start(), end
+    return found
 
 
 def _street_after(text: str, start: int, end: int):
-    stem, house = _STREET_STEM.search(text, max(0, start - 34), start), _HOUSE_AFTER.match(text, end)
-    return house and (stem or text[start].isupper()) and ("address", stem.start() if stem else start, house.end())
+    house = _HOUSE_AFTER.match(text, end)
+    if not house:
+        return None
+    stop = start - (start > 0 and text[start - 1] in " -")
+    stem = _CAPITAL.search(text, _left_word(text, stop, "_-"), stop)
+    return (stem or text[start].isupper()) and ("address", stem.start() if stem else start, house.end())
 
 
 def _street_lead(text: str, start: int, end: int):
@@ -173,6 +203,7 @@ def _street_lead(text: str, start: int, end: int):
 
 
 def _masked(text: str, start: int, end: int):
+    """Names and labels have at most 64 and 63 characters by the mail standard."""
     left = start - 1 if start and text[start - 1] == " " else start
     begin, m = _left(text, left, max(0, left - 64)), _MASKED.match(text, end + (text[end:end + 1] == " "))
     return m and begin < left and ("email", begin, m.end())
@@ -201,11 +232,16 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
         return []
     spans = [(*s, True) for s in base_spans(text, hits)]
     taken, free = sorted((s, e) for _, s, e, _ in spans), 0
-    added = []
+    added, secret = [], 0
     for start, end, kind in cues:
         if kind not in _FREE_LEFT and start and text[start - 1].isalnum():
             continue
+        if kind == "secret" and end < secret:  # inside a value that was read whole, be it a secret or not
+            continue
         if got := PARSERS[kind](text, start, end):
+            if kind == "secret":
+                *got, good = got
+                secret, got = got[2], [tuple(got)] if good else []
             added += got if isinstance(got, list) else [got]
     place = 0
     for kind, start, end in sorted(set(added), key=lambda s: (s[1], -s[2], s[0])):

@@ -67,8 +67,11 @@ def pii_query(spark: SparkSession, sf: str) -> DataFrame:
 
     found = pii.find_spans(table(spark, sf, "documents")).withColumn("base", F.filter("spans", lambda s: s.base))
     counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{kind}')) AS long) AS n_{kind}") for kind in pii.BASE]
+    added = [F.expr(f"CAST(size(filter(spans, s -> NOT s.base AND s.kind = '{kind}')) AS long) AS n_{name}")
+             for kind, name in (("account", "account"), ("address", "address"), ("secret", "secret"), ("login", "login"),
+                                ("email", "masked_email"))]
     return found.select("doc_id", *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
-                        joined("spans").alias("spans"))
+                        joined("spans").alias("spans"), *added)
 
 
 @query("op5_sentencepiece")
