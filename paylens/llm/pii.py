@@ -236,7 +236,7 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     for start, end, kind in cues:
         if kind not in _FREE_LEFT and start and text[start - 1].isalnum():
             continue
-        if kind == "secret" and end < secret:  # inside a value that was read whole, be it a secret or not
+        if kind == "secret" and end + 1 < secret:  # its value would end where one ends that was read whole
             continue
         if got := PARSERS[kind](text, start, end):
             if kind == "secret":
