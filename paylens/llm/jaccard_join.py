@@ -5,9 +5,12 @@
    prefix trie: classes under one node share a prefix. Prefixes are shortened from the full depth until two sets at
    the threshold share one in some tree with probability ``recall``; that fixes the shallowest depth used.
 3. At every depth from the full one to the shallowest, each class is tied to the first class of its node. That is one
-   edge per level and class, however many classes share a node. Edges whose signatures agree far too little are dropped,
-   and what stays connected is one candidate group. Groups hold all classes that are chained by similar signatures, so
-   pairs that no tree put side by side are checked as well.
+   edge per level and class, however many classes share a node. Edges whose signatures agree far too little are dropped.
+   A node at the shallowest depth that loses an edge is mixed: a passage that unrelated texts share has filled it. The
+   signatures of its classes are then compared pair by pair, block by block, but for those already connected. So all
+   classes that share a node and have similar signatures are connected, and what is connected is one candidate group.
+   Groups hold all classes that are chained by similar signatures, so pairs that no tree put side by side are checked as
+   well.
 4. Inside each candidate group all pairs are verified exactly on their sets. Groups are cut into blocks, block pairs are
    dealt to tasks, and a task counts links by matrix products and returns one row per class, never pairs.
 
@@ -33,6 +36,7 @@ from paylens.operators.sizes import materialise
 SALTS = 64
 SEED = 20_240
 BLOCK_SETS, BLOCK_SHINGLES = 128, 500_000
+NODE_BLOCK = 2048  # classes of a mixed node that are compared at once
 COLUMNS = 16_384
 _WORD = re.compile(WORD)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -154,6 +158,63 @@ def similar_edges(edges: DataFrame, classes: DataFrame, least: float) -> DataFra
     return both.mapInArrow(run, "a long, b long")
 
 
+def spanning_links(sigs: np.ndarray, least: float, split: int | None) -> list[tuple[int, int]]:
+    """Pairs of places that connect all rows whose signatures agree in the share ``least``; rows that are connected
+    already are not compared again. With ``split`` only pairs of the first ``split`` rows and the others count."""
+    label, found = np.arange(len(sigs)), []
+    for i in range(len(sigs) if split is None else split):
+        first = i + 1 if split is None else split
+        others = first + np.flatnonzero(label[first:] != label[i])
+        for j in others[(sigs[others] == sigs[i]).mean(axis=1) >= least].tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                found.append((i, j))
+    return found
+
+
+def mixed_edges(classes: DataFrame, trees: int, max_depth: int, depth: int, least: float) -> DataFrame:
+    """Edges (a, b) that connect all similar classes of the mixed nodes at the shallowest depth."""
+    start = F.col("tree") * (2 * max_depth) + 1
+    keys = classes.select("node", F.col("sig"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).select(
+        "node", "tree", F.substring("sig", start, F.lit(2 * depth)).alias("prefix"))
+    nodes = keys.groupBy("tree", "prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialise(keys.join(nodes, ["tree", "prefix"]))
+    stars = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    near = similar_edges(stars, classes, least).select(F.col("a").alias("first"), F.col("b").alias("node"))
+    mixed = members.filter("node <> first").join(near, ["first", "node"], "left_anti").select("tree", "prefix").distinct()
+    blocks = F.ceil(F.col("size") / NODE_BLOCK).cast("long")
+    rows = members.join(mixed, ["tree", "prefix"]).join(classes.select("node", "sig"), "node").select(
+        "tree", "prefix", "node", "sig", F.pmod(F.xxhash64("node"), blocks).alias("block"), blocks.alias("blocks"))
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "tree", "prefix", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "sig")
+    grain = ["tree", "prefix", "i", "j"]
+
+    def flush(now: tuple | None, group: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
+        group = sorted(group)
+        split = None if now is None or now[2] == now[3] else [side for side, _, _ in group].count(0)
+        if len(group) < 2 or split in (0, len(group)):
+            return []
+        sigs = np.frombuffer(b"".join(sig for _, _, sig in group), ">u2").reshape(len(group), -1)
+        return [tuple(sorted((group[i][1], group[j][1]))) for i, j in spanning_links(sigs, least, split)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group, found = None, [], []
+        for batch in batches:
+            for tree, prefix, i, j, side, node, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (tree, prefix, i, j) != now:
+                    found += flush(now, group)
+                    now, group = (tree, prefix, i, j), []
+                group.append((side, node, sig))
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in range(2)], ["a", "b"])
+            found = []
+        found = flush(now, group)
+        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in range(2)], ["a", "b"])
+
+    return dealt.repartition(*grain).sortWithinPartitions(*grain).mapInArrow(run, "a long, b long")
+
+
 def count_links(sets: list[np.ndarray], weights: np.ndarray, threshold: float, split: int | None
                 ) -> tuple[np.ndarray, np.ndarray]:
     """Weighted number of links of each set and the smallest place it is connected with. With ``split`` only links
@@ -260,8 +321,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5
         F.first("sig").alias("sig")))
 
     spread = (threshold * (1 - threshold) / (trees * max_depth)) ** 0.5
-    edges = similar_edges(forest_edges(classes, trees, max_depth, depth), classes, threshold - 5 * spread)
-    groups = components(edges)
+    least = threshold - 5 * spread
+    edges = similar_edges(forest_edges(classes, trees, max_depth, depth), classes, least)
+    groups = components(edges.union(mixed_edges(classes, trees, max_depth, depth, least)))
     members = materialise(groups.join(classes.drop("sig"), "node"))
     sizes = members.groupBy("root").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("long").alias("blocks"))

@@ -163,7 +163,9 @@ def links(classes: DataFrame, threshold: int = 2) -> DataFrame:
     """(a, b), a < b: all pairs of distinct fingerprints that differ in at most ``threshold`` bits."""
     home = homes(classes).select(F.col("anchor").alias("at"), F.col("fp").alias("other"))
     differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
-    met = visits(classes, threshold).join(home, (F.col("anchor") == F.col("at")) & differ.between(1, threshold))
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = classes.select("fp").repartition(tasks, "fp")  # each row becomes many
+    met = visits(spread, threshold).join(home, (F.col("anchor") == F.col("at")) & differ.between(1, threshold))
     return met.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
 
 
