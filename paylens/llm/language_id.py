@@ -7,7 +7,9 @@ without listing the cuts. A text's score is the sum over its words, and the lang
 Piece probabilities are fitted by expectation maximisation: expected piece counts over all segmentations (forward and
 backward pass), on word counts per language from a sample of labelled rows whose size is a parameter. Expectations are
 taken in Spark tasks; only one number per language and piece reaches the driver. Words are lower-cased runs of letters
-behind a word mark, and those of over MAX_WORD letters are scored in parts of that length, so texts are read whole.
+behind a word mark, of any length: those of over STRETCH letters, such as in scripts without spaces, are passed over stretch
+by stretch, each handing on the values at its last characters, so every segmentation of the whole word counts. Languages
+are scored in blocks, and a model takes about 0.2 MB a language in a task.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ from paylens.llm import spm_model
 from paylens.llm.common import held_out, pick, small_batches
 from paylens.operators.sizes import materialise
 
-MAX_WORD = 64
+STRETCH = 1024
+CELLS = 262_144  # characters of words that are looked up at once
+VALUES = 4_000_000  # forward values held at once
 CACHE_WORDS = 300_000
 SCALE = 64.0  # per character; keeps products of small probabilities inside the range of doubles
 UNSEEN = 1e-7  # probability of a character that is no piece; the same for every language, so it favours none
@@ -40,8 +44,6 @@ def words_of(text: str | None) -> list[str]:
     found = _LETTERS.findall(text.lower()) if text else []
     if not any(c.isalpha() for w in found for c in w):
         return []
-    if len(max(found, key=len)) > MAX_WORD:
-        found = [w[at:at + MAX_WORD] for w in found for at in range(0, len(w), MAX_WORD)]
     return found
 
 
@@ -97,11 +99,11 @@ class Lattice:
         return out
 
 
-def by_length(words: list[str], most: int = 4096) -> Iterator[np.ndarray]:
-    """Places of the words of one length, at most ``most`` at a time."""
+def by_length(words: list[str]) -> Iterator[np.ndarray]:
+    """Places of the words of one length, at most CELLS characters at a time."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     for size in np.unique(sizes):
-        places = np.flatnonzero(sizes == size)
+        places, most = np.flatnonzero(sizes == size), max(1, min(4096, CELLS // int(size)))
         for at in range(0, len(places), most):
             yield places[at:at + most]
 
@@ -131,6 +133,31 @@ def forward(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
     return np.where(alpha[size] > 0, log, -np.inf)
 
 
+def stretches(words: list[str], lattice: Lattice) -> Iterator[tuple[int, np.ndarray]]:
+    """(start, ids) of words of one length, STRETCH characters at a time."""
+    for start in range(0, len(words[0]), STRETCH):
+        left = max(0, start - lattice.width + 1)
+        yield start, lattice.ids([w[left:start + STRETCH] for w in words])[:, start - left:]
+
+
+def forward_long(words: list[str], lattice: Lattice, probs: np.ndarray) -> np.ndarray:
+    """``forward`` over words of one length, holding only the values that later characters need, in a ring."""
+    size, turn = len(words[0]), lattice.width + 1
+    ring = np.zeros((turn, len(words), probs.shape[1]))
+    ring[0] = 1
+    log = np.zeros(ring.shape[1:])
+    for start, ids in stretches(words, lattice):
+        for j, lengths in enumerate(ends(ids, lattice.none)[0]):
+            end, new = start + j + 1, np.zeros(log.shape)
+            for k, at in lengths:
+                new[at] += ring[(end - 1 - k) % turn, at] * probs[ids[at, j, k]]
+            by = np.where(new > 0, new, 1)
+            ring[end % turn] = new
+            ring /= by
+            log += np.log(by)
+    return np.where(ring[size % turn] > 0, log, -np.inf)
+
+
 def scaled(theta: np.ndarray, pieces: list[str]) -> np.ndarray:
     """Piece probabilities (piece x language) times SCALE per character, with rows for no piece and an unseen one."""
     sizes = np.array([len(p) for p in pieces], float)
@@ -145,38 +172,98 @@ def log_probs(words: list[str], lattice: Lattice, probs: np.ndarray) -> np.ndarr
     out = np.empty((len(words), probs.shape[1]))
     for places in by_length(words):
         some = [words[p] for p in places]
-        out[places] = forward(lattice.ids(some), probs) - len(some[0]) * np.log(SCALE)
+        size = len(some[0])
+        ids = lattice.ids(some) if size <= STRETCH else None
+        block = max(1, VALUES // (len(some) * (min(size, STRETCH) + 1)))
+        for lo in range(0, probs.shape[1], block):
+            now = probs[:, lo:lo + block]
+            found = forward_long(some, lattice, now) if ids is None else forward(ids, now)
+            out[places, lo:lo + block] = found - size * np.log(SCALE)
     return out
 
 
-def expected_counts(words: list[str], weight: np.ndarray, lang: np.ndarray, lattice: Lattice, probs: np.ndarray
-                    ) -> np.ndarray:
-    """Expected uses of every piece (piece x language) in words of known language, each counted ``weight`` times; words
-    without any probability have none. Forward values are normalised as in ``forward``. Divided by the value they sum
-    to, the terms are the shares of the last piece's lengths, and going back they hand on the chance of a cut."""
+class Sums:
+    """Sums by number, kept as long as the numbers that occur."""
+
+    def __init__(self) -> None:
+        self.keys, self.values, self.size = [], [], 0
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.values.append(values)
+        self.size += len(keys)
+        if self.size > VALUES:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.keys:
+            return np.empty(0, np.int64), np.empty(0)
+        keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
+        values = np.bincount(place, np.concatenate(self.values), len(keys))
+        self.keys, self.values, self.size = [keys], [values], 0  # the size counts what came since
+        return keys, values
+
+
+def add_expected(sums: Sums, words: list[str], weight: np.ndarray, lang: np.ndarray, lattice: Lattice, probs: np.ndarray
+                 ) -> None:
+    """Add the expected uses of every piece in words of known language, each counted ``weight`` times, by the number piece *
+    languages + language; words without any probability have none.
+
+    Forward values are normalised as in ``forward``. Divided by the value they sum to, the terms are the shares of the
+    last piece's lengths, and going back they hand on the chance of a cut. Only the values at the start of each stretch
+    are kept; the shares of a stretch are computed again on the way back.
+    """
     words = [spm_model.MARK + w for w in words]
-    langs = probs.shape[1]
-    total = np.zeros(probs.shape[0] * langs)
-    for places in by_length(words):
-        ids, own = lattice.ids([words[p] for p in places]), lang[places]
-        count, size, _ = ids.shape
-        last = np.zeros(ids.shape)  # word x end x length
-        lengths, width = ends(ids, len(probs) - 2)
-        alpha, cut = np.zeros((size + 1, count)), np.zeros((size + 1, count))
-        alpha[0] = 1
-        for j in range(size):
-            for k, at in lengths[j]:
-                last[at, j, k] = alpha[j - k, at] * probs[ids[at, j, k], own[at]]
-                alpha[j + 1] += last[:, j, k]
-            by = np.where(alpha[j + 1] > 0, alpha[j + 1], 1)
+    langs, width = probs.shape[1], lattice.width
+    turn = width + 1
+
+    def shares(start: int, ids: np.ndarray, own: np.ndarray, ring: np.ndarray) -> tuple[np.ndarray, list]:
+        """word x end x length; moves ``ring`` on."""
+        last, lengths = np.zeros(ids.shape), ends(ids, lattice.none)[0]
+        for j, some in enumerate(lengths):
+            end, new = start + j + 1, np.zeros(len(own))
+            for k, at in some:
+                last[at, j, k] = ring[(end - 1 - k) % turn, at] * probs[ids[at, j, k], own[at]]
+                new += last[:, j, k]
+            by = np.where(new > 0, new, 1)
             last[:, j] /= by[:, None]
-            alpha[max(0, j + 2 - width):j + 2] /= by
-        cut[size] = weight[places] * (alpha[size] > 0)
-        for j in reversed(range(size)):
-            for k, at in lengths[j]:
-                use = cut[j + 1, at] * last[at, j, k]
-                cut[j - k, at] += use
-                np.add.at(total, ids[at, j, k] * langs + own[at], use)
+            ring[end % turn] = new
+            ring /= by
+        return last, lengths
+
+    for places in by_length(words):
+        some, own = [words[p] for p in places], lang[places]
+        ring = np.zeros((turn, len(some)))
+        ring[0] = 1
+        kept = []
+        for start, ids in stretches(some, lattice):
+            kept.append((start, ids if len(some[0]) <= STRETCH else None, ring.copy()))
+            last, lengths = shares(start, ids, own, ring)
+        cut = np.zeros((turn, len(some)))  # at the last characters up to the end of the stretch
+        cut[width] = weight[places] * (ring[len(some[0]) % turn] > 0)
+        for start, ids, ring in reversed(kept):
+            if ids is None:
+                left = max(0, start - width + 1)
+                ids = lattice.ids([w[left:start + STRETCH] for w in some])[:, start - left:]
+                last, lengths = shares(start, ids, own, ring)
+            size = ids.shape[1]
+            chance = np.concatenate([np.zeros((size, len(some))), cut])  # from ``width`` characters before the stretch
+            for j in reversed(range(size)):
+                for k, at in lengths[j]:
+                    use = chance[j + 1 + width, at] * last[at, j, k]
+                    chance[j - k + width, at] += use
+                    sums.add(ids[at, j, k].astype(np.int64) * langs + own[at], use)
+            cut = chance[:turn]
+
+
+def expected_counts(words: list[str], weight: np.ndarray, lang: np.ndarray, lattice: Lattice, probs: np.ndarray
+                    ) -> np.ndarray:
+    """The same as a whole table (piece x language)."""
+    sums = Sums()
+    add_expected(sums, words, weight, lang, lattice, probs)
+    total = np.zeros(probs.size)
+    keys, values = sums.merge()
+    total[keys] = values
     return total.reshape(probs.shape)[:-2]
 
 
@@ -238,10 +325,12 @@ def word_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", vocabulary_path: str =
-        spm_model.VOCABULARY, docs_per_language: int = 3000, rounds: int = 3, max_languages: int = 1000) -> LanguageModel:
+        spm_model.VOCABULARY, docs_per_language: int = 3000, rounds: int = 3, max_languages: int = 10_000) -> LanguageModel:
     """Learn from rows with a language whose crc32(doc_id as text) mod 5 is not 0.
 
     At most about ``docs_per_language`` rows of each language are used: those whose id hashes below the share wanted.
+    A column with more than ``max_languages`` values is refused, as it will not be one of languages; the model's size is
+    8 bytes per piece and language, so the limit also bounds what is broadcast.
     """
     spark = docs.sparkSession
     pieces = vocabulary(vocabulary_path)
@@ -254,10 +343,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     flat = np.full((len(pieces), max(1, len(languages))), 1 / len(pieces))
     if not languages:
         return LanguageModel([], pieces, flat)
-    wanted = F.lit(0)
-    for name in languages:
-        wanted = F.when(F.col("lang") == name, int(1_000_000 * min(1.0, docs_per_language / sizes[name]))).otherwise(wanted)
-    sampled = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < wanted)
+    shares = [(name, int(1_000_000 * min(1.0, docs_per_language / sizes[name]))) for name in languages]
+    wanted = F.broadcast(spark.createDataFrame(shares, "lang string, wanted int"))  # at most max_languages rows
+    sampled = rows.join(wanted, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("wanted"))
     counted = materialise(word_counts(sampled, languages))
     theta = flat
     for _ in range(rounds):
@@ -265,26 +353,26 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     return LanguageModel(languages, pieces, theta)
 
 
-def _expect(spark, counted: DataFrame, pieces: list[str], theta: np.ndarray) -> list:
+def _expect(spark, counted: DataFrame, pieces: list[str], theta: np.ndarray) -> pd.DataFrame:
     sent = spark.sparkContext.broadcast((pieces, theta))
 
     def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, now = sent.value
-        lattice, probs, total = Lattice(names), scaled(now, names), np.zeros(now.shape)
+        lattice, probs, sums = Lattice(names), scaled(now, names), Sums()
         for batch in batches:
             if len(batch):
-                total += expected_counts(list(batch.word), batch.n.to_numpy(float), batch.lang_no.to_numpy(), lattice, probs)
-        piece, lang = np.nonzero(total)
-        yield pd.DataFrame({"piece": piece, "lang_no": lang, "n": total[piece, lang]})
+                add_expected(sums, list(batch.word), batch.n.to_numpy(float), batch.lang_no.to_numpy(np.int64), lattice, probs)
+        keys, n = sums.merge()
+        seen = keys < now.size
+        yield pd.DataFrame({"piece": keys[seen] // now.shape[1], "lang_no": keys[seen] % now.shape[1], "n": n[seen]})
 
     return (counted.mapInPandas(expect, "piece int, lang_no int, n double").groupBy("piece", "lang_no")
-            .agg(F.sum("n").alias("n")).collect())  # one number per piece of the vocabulary and language
+            .agg(F.sum("n").alias("n")).toPandas())  # one number per piece of the vocabulary and language at most
 
 
-def _maximise(counts: list, shape: tuple[int, int]) -> np.ndarray:
+def _maximise(counts: pd.DataFrame, shape: tuple[int, int]) -> np.ndarray:
     total = np.full(shape, SMOOTHING)
-    for piece, lang_no, n in counts:
-        total[piece, lang_no] += n
+    total[counts.piece.to_numpy(np.int64), counts.lang_no.to_numpy(np.int64)] += counts.n.to_numpy(float)
     return total / total.sum(axis=0)
 
 
