@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_type
 
 from paylens.llm.common import WORD, pick, small_batches
 from paylens.llm.components import components
@@ -109,6 +110,7 @@ class MinHash:
 
 def _signatures(docs: DataFrame, n: int, size: int) -> DataFrame:
     """(doc_id, node, shingles, sig) of rows that have an id and a word."""
+    kind = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, minhash = Shingler(n), MinHash(size)
@@ -119,10 +121,10 @@ def _signatures(docs: DataFrame, n: int, size: int) -> DataFrame:
                 if doc_id is not None and len(found):
                     rows.append((doc_id, node_of(found), len(found), minhash(found)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate((to_arrow_type(kind), pa.int64(), pa.int64(), pa.binary()))],
                 ["doc_id", "node", "shingles", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, node long, shingles long, sig binary")
+    return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, node long, shingles long, sig binary")
 
 
 def forest_edges(classes: DataFrame, trees: int, max_depth: int, depth: int) -> DataFrame:
@@ -310,7 +312,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5
     to each other like any copies. An empty table gives an empty result; other columns are ignored.
     """
     depth = forest_depth(trees, max_depth, threshold, recall)
-    thin = small_batches(pick(docs, doc_id=doc_id, text=text)).select(F.col("doc_id").cast("long"), "text")
+    thin = small_batches(pick(docs, doc_id=doc_id, text=text))
     signed = materialise(_signatures(thin, n, trees * max_depth).withColumn(
         "salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")))
     entries = signed.groupBy("salt", "node").agg(

@@ -192,8 +192,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pd.DataFrame({"doc_id": [r[0] for r in rows], "y": [r[1] for r in rows],
                                 "x": [r[2].ravel().tolist() for r in rows], "sizes": [r[3].tolist() for r in rows]})
 
-    found = small_batches(pick(docs, doc_id=doc_id, text=text)).join(sample, "doc_id").mapInPandas(
-        count, "doc_id long, y int, x array<float>, sizes array<double>")
+    joined = small_batches(pick(docs, doc_id=doc_id, text=text)).join(sample, "doc_id").dropDuplicates(["doc_id", "y", "text"])
+    found = joined.select(F.col("doc_id").cast("string"), "text", "y").mapInPandas(
+        count, "doc_id string, y int, x array<float>, sizes array<double>")
     rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.y, r.x))  # about max_docs rows of at most max_lines lines
     parts = [(np.array(r.x, np.float32).reshape(-1, WIDTH), np.array(r.sizes)) for r in rows]
     return train(parts, np.array([r.y for r in rows], int))

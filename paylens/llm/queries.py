@@ -92,7 +92,8 @@ def chat_query(spark: SparkSession, sf: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.digests(chat.pieces(turns))
+    formatted = chat.pieces(turns)
+    return chat.digests(formatted, chat.examples(formatted))
 
 
 @query("op8_jaccard_join")

@@ -186,8 +186,9 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
                      pa.array([p for _, p in coded]), pa.array(back)],
                     ["doc_id", "n_tokens", "ids", "parity", "round_trip"])
 
-    return small_batches(pick(docs, doc_id=doc_id, text=text)).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
+    thin = small_batches(pick(docs, doc_id=doc_id, text=text))
+    kind = thin.schema["doc_id"].dataType.simpleString()
+    return thin.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
 
 
 def decode(encoded: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -201,5 +202,5 @@ def decode(encoded: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str =
                 [batch.column(0), pa.array([coder.decode(i or []) for i in batch.column(1).to_pylist()], pa.string())],
                 ["doc_id", "text"])
 
-    return small_batches(pick(encoded, doc_id=doc_id, ids=ids)).select(F.col("doc_id").cast("long"), "ids").mapInArrow(
-        run, "doc_id long, text string")
+    thin = small_batches(pick(encoded, doc_id=doc_id, ids=ids))
+    return thin.mapInArrow(run, f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, text string")

@@ -12,6 +12,8 @@ import numpy as np
 import pytest
 from conftest import prose
 
+from pyspark.sql import functions as F
+
 from paylens.llm import (
     chat,
     components,
@@ -331,6 +333,36 @@ def test_examples_are_prefixes_with_one_trainable_reply(spark, monkeypatch):
         assert whole.count(chat.CLOSE) == len(rows)
 
 
+def test_digests_come_from_the_examples(spark):
+    rows = [("c", 0, "user", "hi"), ("c", 1, "assistant", "yes"), ("c", 2, "user", "more"), ("c", 3, "assistant", "##no"),
+            ("", 0, "assistant", "x"), (None, 0, "assistant", "y"), ("c", 4, "a:\nb", "t"), ("c", 5, "a:\n", "b:\nt"), ("c", 6, ":", "\n")]
+    formatted = chat.pieces(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"))
+    made = chat.examples(formatted)
+    got = {r.conv_id: r for r in chat.digests(formatted, made).collect()}
+    full = "".join(f"{role}\n{text}\n" for c, _, role, text in rows if c == "c")
+    assert got["c"].turns_sha256 == hashlib.sha256(full.encode()).hexdigest()
+    assert got["c"].loss_sha256 == hashlib.sha256(b"yes##no").hexdigest() and got["c"].n_examples == 2
+    assert (got[""].loss_chars, got[None].loss_chars) == (1, 1)
+    for broken in (made.withColumn("context_end", F.col("context_end") - 1), made.withColumn("target_end", F.col("target_end") - 1),
+                   made.withColumn("target_start", F.col("target_start") + 1), made.filter("place <> 1"),
+                   made.withColumn("end", F.col("end") + 1)):
+        other = {r.conv_id: r for r in chat.digests(formatted, broken).collect()}["c"]
+        assert other.loss_sha256 != got["c"].loss_sha256 and other.turns_sha256 == got["c"].turns_sha256
+
+
+def test_text_ids(spark):
+    """Ids need not be numbers."""
+    long = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(f"d{k}", t, "s") for k, t in enumerate([long, long + " end", "other words here", None])],
+                                 "doc_id string, text string, source string")
+    joined = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.join(docs).collect()}
+    assert joined == {"d0": ("d0", 1), "d1": ("d0", 1), "d2": ("d2", 0), "d3": ("d3", 0)}
+    coded = sentencepiece_codec.encode(docs, sentencepiece_codec.load())
+    assert {r.doc_id: r.text for r in sentencepiece_codec.decode(coded, sentencepiece_codec.load()).collect()}["d2"] == "other words here"
+    y = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert line_crf.score(docs, line_crf.fit(docs, y)).count() == 4
+
+
 # -- Jaccard join
 
 
