@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.base import L, P, S, check, label_table, labelled_postings, postings, rows, table
 from paylens.functions import classify
 from paylens.operators import groups, history, keyfilter, labels, quality, reports
-from paylens.operators.sizes import materialise, shared_folder
+from paylens.operators.sizes import materialise, shared_folder, stage
 
 E = """e AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, value, event_type = 'error' AS mgmt,
   value > 10 AS has_pay FROM events)"""
@@ -118,6 +118,25 @@ def distinct_counts(spark, sf):
     return reports.distinct_counts(p, classify.latest(p))
 
 
+SPANS = "(VALUES ('year', DATE '1997-01-01', DATE '1997-12-31'), ('all', DATE '1900-01-01', DATE '2100-01-01'))"
+
+
+@check("distinct_over_days", rows(P, f"w AS (SELECT * FROM {SPANS} w(span, low, high))", select="""
+  SELECT span, source, count(DISTINCT company) AS exact, true AS close FROM p JOIN w ON snapshot_date BETWEEN low AND high
+  GROUP BY 1, 2"""))
+def distinct_over_days(spark, sf):
+    """Companies of a source over spans of days: the exact count, and whether the union of the days' sketches is within
+    3 % of it."""
+    p, spans = postings(spark, sf), spark.sql("SELECT * FROM VALUES ('year', DATE '1997-01-01', DATE '1997-12-31'), "
+                                              "('all', DATE '1900-01-01', DATE '2100-01-01') w(span, low, high)")
+    inside = F.col("snapshot_date").between(F.col("low"), F.col("high"))
+    sketches = stage(reports.distinct_sketches(p, ["source", "snapshot_date"], "company"))
+    guess = reports.distinct_over(sketches.join(spans, inside), ["span", "source"])
+    exact = p.join(spans, inside).groupBy("span", "source").agg(F.count_distinct("company").alias("exact"))
+    close = F.abs(F.col("n") - F.col("exact")) <= 0.03 * F.col("exact")
+    return exact.join(guess, ["span", "source"]).select("span", "source", "exact", close.alias("close"))
+
+
 @check("source_counts", rows(P, select="SELECT source, count(*) AS n FROM p GROUP BY source"))
 def source_counts(spark, sf):
     return quality.source_counts(postings(spark, sf))

@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-import html
 import re
 from itertools import groupby
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from paylens.functions import entities
 from paylens.functions import vocab as v
 from paylens.functions.expr import blank, col, let, lookup
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
 def unescape(text: str | Column, passes: int = 1) -> Column:
-    """Resolve HTML entities. Only texts with an ampersand travel to Python, in Arrow batches."""
+    """Resolve HTML entities."""
     text = col(text)
     for _ in range(passes):
-        text = F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
+        text = entities.unescape(text)
     return text
 
 
