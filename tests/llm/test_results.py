@@ -42,7 +42,7 @@ def rows_of(columns, rows):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "labels", "pages", "conversations"):
+    for table in ("documents", "labels", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     answer = con.execute(SQL[name])
     want = rows_of([d[0] for d in answer.description], answer.fetchall())
@@ -95,6 +95,34 @@ def test_dedup_in_many_runs(spark):
     assert {r.doc_id for r in exact_dedup.drop_duplicates(docs).collect()} == {max(g) for g in groups.values()}
 
 
+@pytest.mark.parametrize("fan_in", [2, 8])
+def test_dedup_merges_sorted_runs(spark, fan_in):
+    """Every level sorts its runs by digest, no hash of a digest places a row, and each text has one entry at the end."""
+    rows = [(k if k % 9 else None, f"t{k % 40}" if k % 3 else "hot") for k in range(2000)]
+    thin = exact_dedup.thin_entries(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), "doc_id", "text")
+    entries = thin.select(*exact_dedup.KEY, F.col("doc_id").alias("best"), "tag", F.lit(1).cast("long").alias("n"),
+                          F.pmod(F.shiftright("tag", 33), F.lit(fan_in**2)).cast("int").alias("run"))
+    assert entries.select("run").distinct().count() > 1
+    merged = exact_dedup.merge_runs(entries, fan_in, 2, [F.asc_nulls_first("best"), F.asc("tag")])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("shufflepartitionidpassthrough") == 3 and "hashpartitioning" not in plan
+    assert plan.count("Sort [run") == 3 and "Aggregate" not in plan
+    got = merged.collect()
+    assert len(got) == len({r.sha for r in got}) == 41 and sum(r.n for r in got) == 2000
+    want = {}
+    for k, t in rows:
+        want[t] = max(want.get(t, -1), -1 if k is None else k)
+    assert sorted(r.best for r in got) == sorted(want.values())
+
+
+def test_dedup_of_many_rows_without_id(spark):
+    docs = spark.createDataFrame([(None, f"t{k % 3}") for k in range(900)] + [(5, "t1")], "doc_id long, text string").repartition(4)
+    got = [(r.keep_id, r.group_size, r.kept) for r in exact_dedup.mark_duplicates(docs).collect()]
+    assert sorted(Counter(got).items(), key=str) == sorted({
+        (None, 300, False): 598, (None, 300, True): 2, (5, 301, False): 300, (5, 301, True): 1}.items(), key=str)
+    assert sorted(str(r.doc_id) for r in exact_dedup.drop_duplicates(docs).collect()) == ["5", "None", "None"]
+
+
 # -- language
 
 
