@@ -106,8 +106,11 @@ def slots(sources: DataFrame) -> DataFrame:
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
-    """Add nth, which tells the rows of one id apart, whatever their order."""
-    return rows.withColumn("nth", F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text"))))
+    """Add nth, which tells rows with the same id and text (``tie``) apart, and ``same``, the number of those. Texts take no
+    part, so only thin rows move."""
+    w = W.partitionBy("doc_id", "tie")
+    return rows.withColumns({"nth": F.row_number().over(w.orderBy(F.col("source").asc_nulls_last())),
+                             "same": F.count(F.lit(1)).over(w)})
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix",
@@ -118,15 +121,15 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     Rows without words are in ``rows`` but in no piece. Equal rows are scheduled one after the other. Long texts span
     many blocks. Empty tables give empty frames. Other columns are ignored. The same input gives the same mix.
     """
-    thin = _numbered(pick(docs, doc_id=doc_id, text=text, source=source)).select(
-        "doc_id", "source", "nth", n_words(F.col("text")).alias("size"),
+    thin = pick(docs, doc_id=doc_id, text=text, source=source).select(
+        "doc_id", "source", F.xxhash64("text").alias("tie"), n_words(F.col("text")).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("h"))
-    thin = materialise(thin)
+    thin = materialise(_numbered(thin))
     sources = materialise(targets(thin.groupBy("source").agg(F.sum("size").alias("source_size")), weights, passes,
                                   block_words))
     named = thin.join(sources.select("source_no", F.col("source").alias("_s")), F.col("source").eqNullSafe(F.col("_s"))
                       ).drop("_s").withColumn("slice", F.substring("h", 1, 3))
-    rows = materialise(_prefix(named, ["source_no"], "slice", ["h", "doc_id", "nth"], F.col("size"), "start"))
+    rows = materialise(_prefix(named, ["source_no"], "slice", ["h", "doc_id", "tie", "nth"], F.col("size"), "start"))
     ranked = slots(sources).join(sources.select("source_no", "blocks"), "source_no")
     schedule = ranked.filter(F.col("rank") < F.col("blocks") * passes).select(
         "slot", "source_no", F.floor(F.col("rank") / F.col("blocks")).alias("pass"),
@@ -147,7 +150,7 @@ def _pieces(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def taken_words(plan: Mix) -> DataFrame:
-    """One row per row of the input: doc_id, nth, size, source_size, target, taken (repeats counted), and stretches, the
+    """One row per row of the input: doc_id, tie and nth (which tell rows of one id apart), same, size, source_size, target, taken (repeats counted), and stretches, the
     runs of equally often taken blocks in it (first, last, times). A row with n words has n / length + 2 of its pieces,
     so they are gathered per row."""
     piece = F.struct("first", "last", "times")
@@ -155,22 +158,30 @@ def taken_words(plan: Mix) -> DataFrame:
         F.sum((F.col("last") - F.col("first")) * F.col("times")).alias("taken"),
         F.array_sort(F.collect_list(piece)).alias("stretches"))
     sized = plan.rows.join(plan.sources.select("source_no", "source_size", "target"), "source_no")
-    columns = ["doc_id", "nth", "size", "source_size", "target", "taken", "stretches"]
+    columns = ["doc_id", "tie", "nth", "same", "size", "source_size", "target", "taken", "stretches"]
     some = sized.filter("size > 0").join(took, ["source_no", "start"]).select(*columns)
     none = sized.filter("size = 0").withColumn("taken", F.lit(0).cast("long")).withColumn(
         "stretches", F.array().cast("array<struct<first:bigint,last:bigint,times:bigint>>"))
     return some.unionByName(none.select(*columns))
 
 
-def mixed_rows(docs: DataFrame, plan: Mix, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed_rows(docs: DataFrame, plan: Mix, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` as the mix takes them, with all their columns. A row whose blocks are all taken n times at
     least comes n times whole; what is taken beyond that comes as further rows that hold just those words, with the
-    white space between them. Rows without words are not in any block and leave the mix."""
-    packed = _numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                                   F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")))
-    took = taken_words(plan).filter("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("nth").alias("_nth"), "stretches")
-    both = packed.join(took, packed.doc_id.eqNullSafe(took._id) & (packed.nth == took._nth))
+    white space between them. Rows without words are not in any block and leave the mix.
+
+    Texts are shuffled once, to meet what is taken of them; only rows with the same id and text are numbered first."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{doc_id}`").alias("doc_id"),
+                         F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source"), F.xxhash64(F.col(f"`{text}`")).alias("tie"))
+    took = materialise(taken_words(plan).filter("taken > 0").select(
+        F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("nth").alias("_nth"), "same", "stretches"))
+    this = packed.doc_id.eqNullSafe(F.col("_id")) & (packed.tie == F.col("_tie"))
+    alone = packed.join(took.filter("same = 1"), this).select("_row", "text", "stretches")
+    again = packed.join(took.filter("same > 1").select("_id", "_tie").distinct(), this, "left_semi")
+    numbered = _numbered(again).drop("same")
+    copies = numbered.join(took, numbered.doc_id.eqNullSafe(F.col("_id")) & (numbered.tie == F.col("_tie"))
+                           & (numbered.nth == F.col("_nth"))).select("_row", "text", "stretches")
+    both = alone.unionByName(copies)
     whole = F.array_min(F.col("stretches.times"))
     pieces = F.transform(F.filter("stretches", lambda s: s.times > whole), lambda s: F.struct(
         s.first.alias("first"), s["last"].alias("last"), (s.times - whole).alias("times")))
