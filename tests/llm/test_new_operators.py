@@ -205,7 +205,7 @@ def test_scanner_cuts_long_texts_between_terms(monkeypatch):
 
 def test_mix_of_rows_without_id_and_of_copies(spark):
     from paylens.llm import mixing
-    rows = [(None, f"word{k} " * (k % 7), "a", k) for k in range(20_000)] + [(3, "one two three", "b", k) for k in range(60)]
+    rows = [(None, f"word{k} " * (k % 7 + 1), "a", k) for k in range(20_000)] + [(3, "one two three", "b", k) for k in range(60)]
     rows += [(3, "one two three", None, 99), (4, None, "b", 0), (5, "  ", "c", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(6)
     plan = mixing.mix(docs)
@@ -214,7 +214,7 @@ def test_mix_of_rows_without_id_and_of_copies(spark):
     per_source = {r.source_size: r.w for r in taken.groupBy("source_size").agg(F.sum("taken").alias("w")).collect()}
     out = mixing.mixed_rows(docs, plan)
     words = {r.source: r.w for r in out.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"\S+"))).alias("w")).collect()}
-    assert words.get("a") == per_source[sum(k % 7 for k in range(20_000))]
+    assert words.get("a") == per_source[sum(k % 7 + 1 for k in range(20_000))]
     assert words.get("b") == per_source[180] and words.get(None) == per_source[3]
     assert out.filter("source = 'b'").select("extra").distinct().count() == 60
     spread = plan.rows.groupBy(F.xxhash64("doc_id", "tie") % 64).count().agg(F.max("count")).first()[0]
