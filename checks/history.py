@@ -99,6 +99,29 @@ def dictionary_slice(spark, sf):
     return coded.withColumn("item_idx", text)
 
 
+@check("compact_slice", rows(P, S, L, """
+named AS (SELECT l.job_uid, string_agg(l.skill, ',' ORDER BY l.skill) AS items FROM l JOIN p ON p.job_uid = l.job_uid
+  WHERE l.skill IS NOT NULL GROUP BY 1)""", select="""
+  SELECT region, seniority, CAST(is_remote AS INT) AS is_remote, CAST(is_management AS INT) AS is_management, company, pay,
+    CASE WHEN n.job_uid IS NOT NULL THEN coalesce(items, '') END AS items, CAST(p.job_uid % 3 = 0 AS INT) AS is_new, count(*) AS n
+  FROM p LEFT JOIN newest n ON n.job_uid = p.job_uid LEFT JOIN named ON named.job_uid = p.job_uid GROUP BY ALL"""))
+def compact_slice(spark, sf):
+    """The compact slice written as positional arrays, read back, and its indexes turned into names again."""
+    target = f"{shared_folder(spark)}/compact-{uuid.uuid4().hex}"
+    df = labelled_postings(spark, sf).withColumn("is_new", (F.col("job_uid") % 3 == 0).cast("int"))
+    companies, items, coded = reports.encode_slice(df, keep=["region", "seniority", "is_remote", "is_management", "pay", "is_new"])
+    companies, items = materialise(companies), materialise(items)
+    reports.positional_rows(coded, "pay").write.text(target)
+    back = reports.read_positional(spark.read.text(target)).withColumn("row", F.monotonically_increasing_id())
+    back = materialise(back.withColumnRenamed("salary_mid_usd", "pay"))
+    names = back.select("row", F.explode("item_idx").alias("idx")).join(items, "idx").groupBy("row").agg(
+        F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items"))
+    full = back.join(companies.withColumnRenamed("idx", "company_idx"), "company_idx", "left").join(names, "row", "left")
+    listed = F.when(F.col("item_idx").isNotNull(), F.coalesce("items", F.lit("")))
+    return full.withColumn("items", listed).groupBy(
+        "region", "seniority", "is_remote", "is_management", "company", "pay", "items", "is_new").agg(F.count(F.lit(1)).alias("n"))
+
+
 @check("coverage", rows(P, S, select="""
   SELECT count(*) AS total, count(*) FILTER (has_pay) AS paid, count(DISTINCT k.job_uid) AS labelled,
          round_even(count(*) FILTER (has_pay) / count(*), 3) AS paid_share,

@@ -94,6 +94,65 @@ def aggregate_job(spark, sf):
         out.freshness.select("age_days", "stale", "usd"), F.lit(True))  # one row each
 
 
+URL_SQL = """CASE source WHEN 'greenhouse' THEN 'https://boards.greenhouse.io/' || company
+  WHEN 'lever' THEN 'https://jobs.lever.co/' || company WHEN 'ashby' THEN 'https://jobs.ashbyhq.com/' || company END"""
+
+
+@check("aggregate_published", rows(ALL, KEPT, """zz AS (SELECT *, split_part(job_uid, ':', 2) AS company FROM z)""", f"""
+top AS (SELECT company, source, count(*) AS n, {URL_SQL} AS url FROM zz GROUP BY 1, 2 ORDER BY n DESC, company, source LIMIT 10),
+mid AS (SELECT round_even(median(mid), 0) AS m FROM zz WHERE ok AND NOT is_management)""", select=f"""
+  SELECT 'series' AS part, '{DAY}' AS name, NULL AS detail, count(*) AS n, CAST((SELECT m FROM mid) AS DOUBLE) AS x FROM zz
+  UNION ALL SELECT 'new', '{DAY}', NULL, count(*), NULL FROM zz
+  UNION ALL SELECT 'days', NULL, NULL, 1, NULL
+  UNION ALL SELECT 'companies', NULL, NULL, count(DISTINCT company), NULL FROM zz
+  UNION ALL SELECT 'companies_of_source', source, NULL, count(DISTINCT company), NULL FROM zz GROUP BY source
+  UNION ALL SELECT 'top', company || '/' || source, url, n, NULL FROM top
+  UNION ALL SELECT 'dictionary', company, NULL, 1, NULL FROM (SELECT DISTINCT company FROM zz)
+  UNION ALL SELECT 'item', i, NULL, 1, NULL FROM (SELECT DISTINCT unnest(CASE source WHEN 'greenhouse' THEN ['Python', 'SQL']
+    ELSE ['Go', 'Kafka'] END) AS i FROM zz WHERE source <> 'ashby')
+  UNION ALL SELECT 'rows', region, CASE WHEN source = 'ashby' THEN 'open' ELSE 'two' END, count(*), round(sum(CASE WHEN ok THEN mid END), 0)
+    FROM zz GROUP BY region, CASE WHEN source = 'ashby' THEN 'open' ELSE 'two' END"""))
+def aggregate_published(spark, sf):
+    """Every published table of a day but the premium and the rates, which have queries of their own."""
+    store, _ = day_of(spark, sf)
+    out = jobs.aggregate(spark, store)
+
+    def part(df, kind, name, detail, n, x):
+        return df.select(kind.alias("part"), name.cast("string").alias("name"), detail.cast("string").alias("detail"),
+                         n.cast("bigint").alias("n"), x.cast("double").alias("x"))
+    none, one, c = F.lit(None), F.lit(1), F.col
+    labelled = F.when(c("item_idx").isNull(), "open").when(F.size("item_idx") == 0, "none").when(F.size("item_idx") == 2, "two")
+    grouped = out.rows.groupBy("region", labelled.alias("held")).agg(
+        F.count(one).alias("n"), F.round(F.sum("salary_mid_usd"), 0).alias("pay"))
+    parts = [
+        part(out.series, F.lit("series"), c("snapshot_date"), none, c("active"), c("median")),
+        part(out.series, F.lit("new"), c("snapshot_date"), none, c("new"), none),
+        part(out.counts, c("metric"), c("name"), none, c("n"), none),
+        part(out.top_companies, F.lit("top"), F.concat_ws("/", "company", "source"), c("url"), c("n"), none),
+        part(out.companies, F.lit("dictionary"), c("company"), none, one, none),
+        part(out.items, F.lit("item"), c("item"), none, one, none),
+        part(grouped, F.lit("rows"), c("region"), c("held"), c("n"), c("pay"))]
+    found = parts[0]
+    for df in parts[1:]:
+        found = found.unionByName(df)
+    return found
+
+
+@check("bad_documents", """
+  SELECT CASE c_nationkey % 3 WHEN 0 THEN 'lever' WHEN 1 THEN 'ashby' ELSE 'greenhouse' END AS source, lower(c_mktsegment) AS company,
+         count(*) AS documents FROM customer WHERE c_custkey % 4 <> 0 GROUP BY 1, 2""")
+def bad_documents(spark, sf):
+    """Landed documents that are cut off, are no JSON, or hold no list of postings; every fourth is sound."""
+    root, c = folder(spark), table(spark, sf, "customer")
+    source = F.element_at(F.array(F.lit("lever"), F.lit("ashby"), F.lit("greenhouse")), (F.col("c_nationkey") % 3 + 1).cast("int"))
+    sound = F.when(source == "lever", '[{"id": "1"}]').otherwise('{"jobs": []}')
+    value = (F.when(F.col("c_custkey") % 4 == 0, sound).when(F.col("c_custkey") % 4 == 1, '{"jobs": [{"id')
+             .when(F.col("c_custkey") % 4 == 2, "gateway error").otherwise('{"error": 404}'))
+    c.select(source.alias("source"), F.lower("c_mktsegment").alias("company"), value.alias("value")).write.partitionBy(
+        "source", "company").text(root)
+    return boards.bad_documents(spark, root, lines=True)
+
+
 @check("slice_report_job", rows(ALL, KEPT, select="""
   SELECT 'headline' AS chart, NULL AS name, count(*) AS n FROM z
   UNION ALL SELECT 'places', region, count(*) FROM z WHERE ok AND NOT is_management GROUP BY region HAVING count(*) >= 10"""))

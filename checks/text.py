@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import replay
 from checks.base import L, P, S, check, label_table, postings, rows, table
 from paylens.functions import text
-from paylens.operators import evaluate, groups, labels, mentions
+from paylens.operators import evaluate, groups, labels, mentions, quality
 from paylens.sources import registry
 
 PRIORITIES_BLANK = "4-NOT SPECIFIED"
@@ -212,6 +212,28 @@ def labeller_plugin(spark, sf):
     return labels.label_rows(done, "v1", F.current_timestamp(), "model", "doc_id").select("doc_id", "skill")
 
 
+def flaky_labeller(batch):
+    """Fails on some documents, leaves others out of its reply, and finds nothing in the rest but for a few."""
+    number = int(batch[0]["title"])
+    if number % 11 == 0:
+        raise ValueError("no answer")
+    return {"items": [] if number % 7 == 0 else [{"id": 0, "skills": ["Go", "SQL"] if number % 5 == 0 else []}]}
+
+
+@check("label_counters", """
+  WITH s AS (SELECT CASE WHEN doc_id % 11 = 0 THEN 'failed' WHEN doc_id % 7 = 0 THEN 'omitted' WHEN doc_id % 5 = 0 THEN 'some'
+    ELSE 'empty' END AS s FROM documents)
+  SELECT count(*) AS label_queue, count(*) FILTER (s IN ('some', 'empty')) AS labelled,
+    count(*) FILTER (s = 'empty') AS labelled_empty, count(*) FILTER (s = 'omitted') AS labels_omitted,
+    count(*) FILTER (s = 'failed') AS labels_failed,
+    CAST(2 * count(*) FILTER (s = 'some') + count(*) FILTER (s = 'empty') AS BIGINT) AS label_rows FROM s""")
+def label_counters(spark, sf):
+    """A labeller of the caller's own that fails, omits and answers, one document a call."""
+    d = table(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("title"), "text")
+    done = labels.apply_labeller(d, flaky_labeller, "doc_id", text="text", size=1, max_failures=10**9)
+    return quality.label_counters(done)
+
+
 @check("literal_labeller", "\nUNION ALL ".join(
     f"SELECT conv_id * 1000 + turn AS id, '{n}' AS label FROM conversations WHERE {word_sql('text', n)}"
     + (f" OR {word_sql('text', 'Of')}" if n == "Nope" else "") for n in WORDS))

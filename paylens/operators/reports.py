@@ -62,6 +62,38 @@ def encode_slice(df: DataFrame, key: str = "job_uid", company: str = "company",
     return companies, names.withColumnRenamed("_item", "item"), rows
 
 
+#: Fields of a positional row of the compact slice, in this order.
+POSITIONAL = ["region", "seniority", "is_remote", "is_management", "company_idx", "salary_mid_usd", "item_idx", "is_new"]
+
+
+def positional_rows(rows: DataFrame, value: str = "salary_mid_usd") -> DataFrame:
+    """(value): each row of an encoded slice as a JSON array in the order of POSITIONAL, flags as 0 or 1, the items as an
+    array of indexes or null."""
+    words = F.to_json(F.array("region", "seniority"))
+    flags = [F.coalesce(F.col(c).cast("int"), F.lit(0)).cast("string") for c in ("is_remote", "is_management")]
+    items = F.concat(F.lit("["), F.array_join("item_idx", ","), F.lit("]"))
+    rest = [*flags, F.col("company_idx").cast("string"), F.col(value).cast("string"), items, F.col("is_new").cast("string")]
+    fields = [F.substr(words, F.lit(2), F.length(words) - 2), *[F.coalesce(c, F.lit("null")) for c in rest]]
+    return rows.select(F.concat(F.lit("["), F.concat_ws(",", *fields), F.lit("]")).alias("value"))
+
+
+def read_positional(lines: DataFrame) -> DataFrame:
+    """The typed columns of positional rows; the inverse of ``positional_rows``."""
+    at = F.from_json("value", "array<string>")
+    kinds = ["string", "string", "int", "int", "bigint", "double", None, "int"]
+
+    def typed(k: int, kind: str | None) -> Column:
+        field = F.get("f", F.lit(k))
+        return F.from_json(field, "array<bigint>") if kind is None else field.cast(kind)
+    return lines.select(at.alias("f")).select(*[typed(k, kind).alias(c) for k, (c, kind) in enumerate(zip(POSITIONAL, kinds))])
+
+
+def compact_size(lines: DataFrame, limit: int = 3_000_000) -> DataFrame:
+    """One row: rows, bytes with line ends, and whether they keep within ``limit``."""
+    size = F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0))
+    return lines.agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).withColumn("fits", F.col("bytes") <= limit)
+
+
 def coverage(snap: DataFrame, labels: DataFrame, key: str = "job_uid", has_pay: str = "has_salary") -> DataFrame:
     """One row: rows, paid rows, labelled keys (any version) and the two shares, 0 for an empty snapshot."""
     done = processed_keys(labels, key).withColumn("_done", F.lit(True))

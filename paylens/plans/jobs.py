@@ -161,7 +161,9 @@ def aggregate(spark: SparkSession, store: str, replicates: int = 1000, rates: Da
 
 
 def write_published(result: Published, target: str) -> None:
-    """Write every published result as JSON lines below ``target``."""
+    """Write every published result as JSON lines below ``target``; the rows of the slice also as positional arrays, one per
+    line, below ``compact``."""
+    reports.positional_rows(result.rows).write.mode("overwrite").text(f"{target}/compact")
     for name in ("companies", "items", "rows", "series", "coverage", "counts", "top_companies", "premium", "freshness"):
         if (frame := getattr(result, name)) is not None:
             frame.write.mode("overwrite").json(f"{target}/{name}")

@@ -30,7 +30,8 @@ def _dumps(spark: SparkSession, landing: str, source: str, streaming: bool = Fal
         if streaming or e.getCondition() != "PATH_NOT_FOUND":
             raise
         texts = spark.createDataFrame([], "value string, company string")
-    jobs = F.from_json("value", SOURCES[source])
+    array = F.col("value").rlike(r"^\s*\[")  # a single object, such as an error reply, would pass for a list of one
+    jobs = F.from_json(F.when(array, F.col("value")) if source == "lever" else F.col("value"), SOURCES[source])
     return texts.select("company", _origin(texts, streaming).alias("origin"), "value",
                         (jobs if source == "lever" else jobs["jobs"]).alias("jobs"))
 

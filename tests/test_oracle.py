@@ -15,7 +15,7 @@ from checks import base  # noqa: E402
 DATA = Path("/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-SLOW = {"daily_ingest", "backfill_job", "stream_ingest", "headline", "learn_next", "daily_labels", "run_summary", "slice_report_job"}  # their parts are tested elsewhere
+SLOW = {"daily_ingest", "backfill_job", "stream_ingest", "headline", "learn_next", "daily_labels", "run_summary", "slice_report_job", "slice_cube", "aggregate_published"}  # their parts are tested elsewhere
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no driver tables here")
 

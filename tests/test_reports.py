@@ -1,3 +1,4 @@
+import json
 from statistics import median
 
 from pyspark.sql import functions as F
@@ -62,3 +63,29 @@ def test_pulse_and_coverage_edge_cases(spark):
     marks = spark.createDataFrame([("a", "Go")], "job_uid string, skill string")
     row = reports.coverage(empty, marks).first()
     assert (row.total, row.paid_share, row.labelled_share) == (0, 0.0, 0.0)
+
+
+def test_positional_rows_round_trip(spark):
+    rows = [("us", 'se"n,ior', True, False, 3, 245000.5, [0, 14], 1), (None, None, None, None, None, None, None, 0),
+            ("e[u", "x", False, True, 0, 1e9, [], 0)]
+    df = spark.createDataFrame(rows, "region string, seniority string, is_remote boolean, is_management boolean, company_idx bigint, "
+                                     "salary_mid_usd double, item_idx array<bigint>, is_new int")
+    lines = reports.positional_rows(df)
+    texts = [json.loads(r.value) for r in lines.collect()]
+    assert texts == [[r[0], r[1], int(bool(r[2])), int(bool(r[3])), *r[4:]] for r in rows]
+    back = reports.read_positional(lines).collect()
+    assert [tuple(r) for r in back] == [(r[0], r[1], int(bool(r[2])), int(bool(r[3])), *r[4:]) for r in rows]
+    size = sum(len(r.value) + 1 for r in lines.collect())
+    assert tuple(reports.compact_size(lines).first()) == (3, size, True)
+    assert not reports.compact_size(lines, size - 1).first().fits
+
+
+def test_distinct_counts_over_any_days(spark):
+    df = spark.range(60_000).selectExpr("id % 30 as day", "concat('c', id % 7001) as company")
+    sketches = reports.distinct_sketches(df, ["day"], "company")
+    for days in (range(1), range(10), range(30)):
+        part = sketches.where(F.col("day").isin(list(days)))
+        exact = df.where(F.col("day").isin(list(days))).select("company").distinct().count()
+        assert abs(reports.distinct_over(part).first().n - exact) <= 0.03 * exact
+    both = reports.distinct_over(sketches.withColumn("half", F.col("day") < 15), ["half"]).collect()
+    assert len(both) == 2
