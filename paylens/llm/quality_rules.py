@@ -139,12 +139,13 @@ def choose_cutoffs(tally: list[tuple[str, int, int, dict[str, list[int]], dict[s
 def certify(counted: DataFrame, labels: DataFrame, policy: Policy = Policy()) -> dict[tuple[str, str], float]:
     """Cutoffs by (stratum, signal) from labelled rows.
 
-    ``counted`` has doc_id, stratum and c (see ``counts``); ``labels`` has doc_id and quality (1 good, 0 bad, others and
-    null ignored). The result holds at most one number per stratum and signal, whatever the size of the tables. A stratum
+    ``counted`` has doc_id, stratum, digest and c (see ``counts``); ``labels`` has doc_id and quality (1 good, 0 bad, others
+    and null ignored). The bounds hold for independent draws, so all labelled copies of a text in a stratum are one draw,
+    a good one if any label says so. The result holds at most one number per stratum and signal, whatever the size of the tables. A stratum
     with too few good texts to certify anything gets no rule, as does a signal that catches nothing.
     """
     rows = (counted.filter(~_base_failed(F.col("c"))).join(labels.filter("quality IN (0, 1)"), "doc_id")
-            .groupBy("stratum"))
+            .groupBy("stratum", "digest").agg(F.max("quality").alias("quality"), F.first("c").alias("c")).groupBy("stratum"))
     sums = [F.array(*[F.count_if((F.col("quality") == q) & (_signal(F.col("c"), name) > cutoff))
                       for cutoff in policy.cutoffs]).alias(f"{name}{q}") for name in SIGNALS for q in (0, 1)]
     tally = rows.agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"),
@@ -162,7 +163,9 @@ def reasons(c: Column, stratum: Column, cutoffs: dict[tuple[str, str], float]) -
 
 def _counted(docs: DataFrame, doc_id: str, text: str, stratum: str, policy: Policy) -> DataFrame:
     thin = small_batches(pick(docs, doc_id=doc_id, text=text, stratum=stratum))
-    return thin.select("doc_id", _stratum(F.col("stratum"), policy).alias("stratum"), counts(F.col("text")).alias("c"))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return thin.select("doc_id", _stratum(F.col("stratum"), policy).alias("stratum"), digest.alias("digest"),
+                       counts(F.col("text")).alias("c"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, policy: Policy = Policy(), doc_id: str = "doc_id", text: str = "text",
@@ -170,8 +173,8 @@ def judge(docs: DataFrame, labels: DataFrame, policy: Policy = Policy(), doc_id:
     """One row per row of ``docs``: doc_id, the counts, base_failed, kept, stratum and rules (those that reject it).
 
     A null or empty text has no words and fails the base. Whole texts are counted, however long. Repeated rows are each
-    judged; if an id has several rows or labels, all combinations count in the holdout. A null id has no label. Without
-    labels only the base rules hold. An empty table gives an empty result; other columns are ignored.
+    judged; if an id has several rows or labels, all combinations are looked at in the holdout, where copies of a text count
+    once. A null id has no label. Without labels only the base rules hold. An empty table gives an empty result; other columns are ignored.
     """
     counted = materialise(_counted(docs, doc_id, text, stratum, policy))
     cutoffs = certify(counted, labels.select("doc_id", "quality"), policy)
@@ -201,7 +204,7 @@ def judge_sql(policy: Policy = Policy()) -> str:
     values = ", ".join(f"coalesce({a}::DOUBLE / nullif({b}, 0), 0.0)" for a, b in SIGNALS.values())
     grid = ", ".join(f"({k}, {c!r}::DOUBLE)" for k, c in enumerate(policy.cutoffs))
     return f"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
-    CASE WHEN lang IN ({strata}) THEN lang ELSE '*' END AS stratum FROM documents),
+    CASE WHEN lang IN ({strata}) THEN lang ELSE '*' END AS stratum, md5(coalesce(text, '')) AS digest FROM documents),
 w AS (SELECT k, unnest(regexp_extract_all(text, '{word}')) AS w,
     generate_subscripts(regexp_extract_all(text, '{word}'), 1) AS i FROM d),
 v AS (SELECT k, i, w, lead(w) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM w WINDOW o AS (PARTITION BY k ORDER BY i)),
@@ -220,10 +223,11 @@ c AS (SELECT d.k, doc_id, stratum, coalesce(n_words, 0) AS n_words, coalesce(wor
 b AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATS} * n_words AS base_failed FROM c),
 s AS (SELECT k, doc_id, stratum, base_failed, unnest([{names}]) AS name, unnest([{values}]) AS value FROM b),
 grid(place, cutoff) AS (VALUES {grid}),
-t AS (SELECT stratum, name, place, cutoff, count_if(quality = 1) AS good, count_if(quality = 0) AS bad,
+y AS (SELECT b.stratum, digest, max(quality) AS quality, min(b.k) AS k FROM b JOIN d ON d.k = b.k
+  JOIN labels l ON b.doc_id = l.doc_id AND quality IN (0, 1) WHERE NOT base_failed GROUP BY 1, 2),
+t AS (SELECT s.stratum, name, place, cutoff, count_if(quality = 1) AS good, count_if(quality = 0) AS bad,
     count_if(quality = 1 AND value > cutoff) AS lost, count_if(quality = 0 AND value > cutoff) AS caught
-  FROM s JOIN labels l ON s.doc_id = l.doc_id AND quality IN (0, 1) CROSS JOIN grid WHERE NOT base_failed
-  GROUP BY ALL),
+  FROM s JOIN y ON s.k = y.k CROSS JOIN grid GROUP BY ALL),
 p AS (SELECT *, lost < {share} * good AND list_sum(list_transform(range(lost::BIGINT + 1), lambda i:
     exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({share})
         + (good - i) * ln(1 - {share})))) <= {policy.delta!r}::DOUBLE / {policy.tests} AS sure FROM t WHERE good > 0),
