@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from paylens.llm.common import lower_ascii, pick
-from paylens.operators.sizes import materialise, stage
+from paylens.operators.sizes import materialise
 
 KEY = ("sha", "bytes", "second")
 SALTS = 64
@@ -47,7 +47,7 @@ def thin_entries(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, digest columns, tag, salt): one row per row, written once. The tag names the row, whatever its id; its upper
     bits are the input partition."""
     tagged = digests(pick(docs, doc_id=doc_id, text=text), "text").drop("text").withColumn("tag", F.monotonically_increasing_id())
-    return stage(tagged.withColumn("salt", F.pmod(F.xxhash64("tag"), F.lit(SALTS)).cast("int")))
+    return materialise(tagged.withColumn("salt", F.pmod(F.xxhash64("tag"), F.lit(SALTS)).cast("int")))
 
 
 def merge_runs(entries: DataFrame, fan_in: int, rounds: int, last: list[Column]) -> DataFrame:
