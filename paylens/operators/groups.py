@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens.operators.sizes import materialise, stage
 
 SPREAD = 1024
+AT_ONCE = 200_000  # rows of a group that may meet in one task
 
 
 def first_occurrence(df: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
@@ -25,12 +28,19 @@ def top_per_group(df: DataFrame, by: list[str], key: str, order: list[Column], n
     """The first ``n`` rows of every group plus their place.
 
     A group is first cut inside ``spread`` slices by key, so a group that holds a third of all rows is sorted by many
-    tasks, and at most ``spread * n`` of its rows meet in the second cut. For small ``n`` Spark also cuts before each
-    shuffle. Keep ``df`` thin: join texts back afterwards.
+    tasks. Where that leaves more than AT_ONCE rows of a group, slices are cut again in bundles of the square root of their
+    number, before the last cut. For small ``n`` Spark also cuts before each shuffle. Keep ``df`` thin: join texts back
+    afterwards.
     """
     sliced = df.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(spread)))
-    inner = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy(*order))
-    kept = sliced.withColumn("_place", inner).where(F.col("_place") <= n).drop("_slice")
+
+    def cut(rows: DataFrame, *slices: Column) -> DataFrame:
+        inner = F.row_number().over(Window.partitionBy(*by, *slices).orderBy(*order))
+        return rows.withColumn("_place", inner).where(F.col("_place") <= n).drop("_place")
+    kept = cut(sliced, F.col("_slice"))
+    if spread * n > AT_ONCE:
+        kept = cut(kept, F.col("_slice") % math.isqrt(spread))
+    kept = kept.drop("_slice")
     return kept.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(
         F.col("_place") <= n)
 

@@ -97,3 +97,17 @@ def test_queue_without_limit_takes_turns(spark):
     assert [r.id for r in few] == want[:40]
     positions = [r.position for r in groups.interleave(df, "source", "id", order).orderBy("position").collect()]
     assert positions == list(range(1, 901))
+
+
+def test_top_rows_of_a_hot_group_in_three_cuts(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(k, "hot" if rng.random() < .9 else f"g{k % 5}", int(rng.integers(0, 1000))) for k in range(4000)]
+    df = spark.createDataFrame(rows, "id long, g string, v int").repartition(4)
+    order = [F.desc("v"), F.asc("id")]
+    want = {}
+    for k, g, v in sorted(rows, key=lambda r: (-r[2], r[0])):
+        want.setdefault(g, []).append(k)
+    for at_once in (groups.AT_ONCE, 100):
+        monkeypatch.setattr(groups, "AT_ONCE", at_once)
+        got = groups.top_per_group(df, ["g"], "id", order, 70).collect()
+        assert {(r.g, r._place, r.id) for r in got} == {(g, n + 1, k) for g, ks in want.items() for n, k in enumerate(ks[:70])}
