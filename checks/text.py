@@ -63,26 +63,30 @@ def mention_counts(spark, sf):
     return counts.unpivot([], list(WORDS), "label", "n")
 
 
-# Names of one and two words, from the items of the benchmark.
+# Names of three words, for every tenth item also of two, from the items of the benchmark.
 NAMES = r"""w AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z]+') AS ws FROM benchmark),
-names AS (SELECT DISTINCT item_id AS label, unnest(list_concat(ws, list_transform(range(1, len(ws)),
-  lambda i: ws[i] || ' ' || ws[i + 1]))) AS name FROM w)"""
+names AS (SELECT DISTINCT item_id AS label, unnest(list_concat(
+  list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]),
+  CASE WHEN item_id % 10 = 0 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE [] END)) AS name FROM w)"""
 
 
 def benchmark_names(spark, sf):
     words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("ws") - 1), lambda i: F.concat_ws(
-        " ", F.element_at("ws", i), F.element_at("ws", i + 1)))
-    w = table(spark, sf, "benchmark").select("item_id", words.alias("ws")).where(F.size("ws") > 1)
-    return w.select(F.col("item_id").alias("label"), F.explode(F.concat("ws", pairs)).alias("name")).distinct()
+
+    def runs(n):
+        return F.transform(F.sequence(F.lit(1), F.size("ws") - (n - 1)), lambda i: F.array_join(F.slice("ws", i, F.lit(n)), " "))
+    w = table(spark, sf, "benchmark").select("item_id", words.alias("ws")).where(F.size("ws") > 2)
+    pairs = F.when(F.col("item_id") % 10 == 0, runs(2)).otherwise(F.array().cast("array<string>"))
+    return w.select(F.col("item_id").alias("label"), F.explode(F.concat(runs(3), pairs)).alias("name")).distinct()
 
 
 @check("mention_join", rows(NAMES, r"""
 t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_]') AS t FROM documents),
-g AS (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], '')))) AS name
-  FROM t)""", select="SELECT DISTINCT doc_id, label FROM g JOIN names USING (name)"))
+g AS (SELECT doc_id, unnest(list_concat(list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], '')),
+  list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], '')))) AS name FROM t)""",
+                            select="SELECT DISTINCT doc_id, label FROM g JOIN names USING (name)"))
 def mention_join(spark, sf):
-    """Which documents mention a word or a pair of words of which item."""
+    """Which documents mention a run of two or three words of which item."""
     return mentions.mention_join(table(spark, sf, "documents"), benchmark_names(spark, sf), "doc_id", "text")
 
 

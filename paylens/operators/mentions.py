@@ -2,8 +2,9 @@
 
 Names and texts are cut into the same tokens: runs of word characters, and every other character on its own. A name occurs
 literally, with a word boundary where it begins or ends with a letter or digit, exactly where its tokens stand in a row.
-Names are indexed by their first token; every token of a text meets only the names that begin with it and then compares
-the few tokens that follow. So the cost grows with the texts and the hits, not with the catalogue.
+Names are indexed by their first token and their number of tokens. A token of a text that begins some name gives one n-gram
+for each length that such names have, and n-grams meet whole names in a hash join. So the cost grows with the texts and
+the hits, not with the catalogue, and a name that many labels share is matched once.
 """
 
 from __future__ import annotations
@@ -48,11 +49,15 @@ def token_windows(texts: DataFrame, key: str, text: str, width: int) -> DataFram
 def mention_join(texts: DataFrame, names: DataFrame, key: str = "job_uid", text: str = "description",
                  label: str = "label", name: str = "name") -> DataFrame:
     """Distinct (key, label) of all names that occur literally in the whole texts; ``names`` has one row per name."""
-    index = name_index(names, label, name)
+    index = name_index(names, label, name).withColumn("gram", F.array_join("tokens", ""))
     width = index.agg(F.max("size")).first()[0] or 1
     kind = texts.schema[key].dataType
-    same = F.slice("window", F.lit(1), F.col("size")) == F.col("tokens")
-    found = token_windows(texts, key, text, width).join(index, ["first"]).where(same)
+    sizes = index.groupBy("first").agg(F.collect_set("size").alias("sizes"))
+    begun = token_windows(texts, key, text, width).join(sizes, "first").select("key", "window", F.explode("sizes").alias("size"))
+    grams = begun.where(F.size("window") >= F.col("size")).select(
+        "key", F.array_join(F.slice("window", F.lit(1), F.col("size")), "").alias("gram"))
+    hits = grams.join(index.select("gram").distinct(), "gram").distinct()
+    found = hits.join(index.select("gram", "label").distinct(), "gram")
     return found.select(F.col("key").cast(kind).alias(key), F.col("label").alias(label)).distinct()
 
 
