@@ -127,8 +127,9 @@ def _signatures(docs: DataFrame, n: int, size: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, node long, shingles long, sig binary")
 
 
-def forest_edges(classes: DataFrame, trees: int, max_depth: int, depth: int) -> DataFrame:
-    """Edges (a, b) from each class to the first class of its trie node, level by level, over all trees. One shuffle by
+def forest(classes: DataFrame, trees: int, max_depth: int, depth: int) -> DataFrame:
+    """(tree, prefix, node, first0, first1, ...): every class that is not alone in its trie node, with the first class of
+    its node at each depth from the shallowest on; the first class of a shallowest node itself has no row. One shuffle by
     (tree, shortest prefix) and one sort serve all levels; the trees spread a large group over as many nodes."""
     width = 2 * max_depth
     rows = classes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
@@ -138,11 +139,16 @@ def forest_edges(classes: DataFrame, trees: int, max_depth: int, depth: int) ->
     levels = [f"p{d}" for d in range(depth, max_depth + 1)]
     firsts = {f"first{k}": F.first("node").over(W.partitionBy("tree", *levels[:k + 1]).orderBy(*levels[k + 1:], "node"))
               for k in range(len(levels))}
-    chain = ["node", *reversed(firsts)]
-    rows = rows.withColumns(firsts)
-    steps = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in zip(chain, chain[1:], strict=False)])
-    pairs = rows.filter(" OR ".join(f"node <> {f}" for f in firsts)).select(F.explode(steps).alias("e")).select("e.*")
-    return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return rows.withColumns(firsts).filter("node <> first0").select("tree", F.col(f"p{depth}").alias("prefix"), "node", *firsts)
+
+
+def forest_edges(trie: DataFrame) -> DataFrame:
+    """Edges (a, b) from each class to the first class of its node, level by level, and to that of its shallowest node."""
+    chain = ["node", *sorted((c for c in trie.columns if c.startswith("first")), reverse=True)]
+    steps = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
+                      for x, y in [*zip(chain, chain[1:], strict=False), ("node", "first0")]])
+    pairs = trie.select(F.explode(steps).alias("e")).select("e.*").filter("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def similar_edges(edges: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -174,19 +180,16 @@ def spanning_links(sigs: np.ndarray, least: float, split: int | None) -> list[tu
     return found
 
 
-def mixed_edges(classes: DataFrame, trees: int, max_depth: int, depth: int, least: float) -> DataFrame:
-    """Edges (a, b) that connect all similar classes of the mixed nodes at the shallowest depth."""
-    start = F.col("tree") * (2 * max_depth) + 1
-    keys = classes.select("node", F.col("sig"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).select(
-        "node", "tree", F.substring("sig", start, F.lit(2 * depth)).alias("prefix"))
-    nodes = keys.groupBy("tree", "prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialise(keys.join(nodes, ["tree", "prefix"]))
-    stars = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    near = similar_edges(stars, classes, least).select(F.col("a").alias("first"), F.col("b").alias("node"))
-    mixed = members.filter("node <> first").join(near, ["first", "node"], "left_anti").select("tree", "prefix").distinct()
-    blocks = F.ceil(F.col("size") / NODE_BLOCK).cast("long")
-    rows = members.join(mixed, ["tree", "prefix"]).join(classes.select("node", "sig"), "node").select(
-        "tree", "prefix", "node", "sig", F.pmod(F.xxhash64("node"), blocks).alias("block"), blocks.alias("blocks"))
+def mixed_edges(trie: DataFrame, near: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Edges (a, b) that connect all similar classes of the mixed nodes: those at the shallowest depth with a class that is
+    not similar to the first one. ``near`` has the similar pairs among the forest's edges."""
+    star = [F.least("node", "first0").alias("a"), F.greatest("node", "first0").alias("b")]
+    mixed = trie.select("tree", "prefix", *star).join(near, ["a", "b"], "left_anti").select("tree", "prefix").distinct()
+    held = trie.join(mixed, ["tree", "prefix"], "left_semi")
+    members = held.select("tree", "prefix", "node").union(held.select("tree", "prefix", "first0").distinct())
+    sizes = members.groupBy("tree", "prefix").agg(F.ceil(F.count(F.lit(1)) / NODE_BLOCK).cast("long").alias("blocks"))
+    rows = members.join(sizes, ["tree", "prefix"]).join(classes.select("node", "sig"), "node").select(
+        "tree", "prefix", "node", "sig", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "blocks")
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select(
         "tree", "prefix", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -324,8 +327,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5
 
     spread = (threshold * (1 - threshold) / (trees * max_depth)) ** 0.5
     least = threshold - 5 * spread
-    edges = similar_edges(forest_edges(classes, trees, max_depth, depth), classes, least)
-    groups = components(edges.union(mixed_edges(classes, trees, max_depth, depth, least)))
+    trie = materialise(forest(classes, trees, max_depth, depth))
+    near = materialise(similar_edges(forest_edges(trie), classes, least))
+    groups = components(materialise(near.union(mixed_edges(trie, near, classes, least)).distinct()))
     members = materialise(groups.join(classes.drop("sig"), "node"))
     sizes = members.groupBy("root").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
