@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from paylens.llm.common import WORD, n_words, pick
-from paylens.operators.sizes import materialise
+from paylens.operators.sizes import materialise, stage
 
 PHI = 0.6180339887498949
 WEIGHTS = (5, 2, 1)
@@ -177,7 +177,8 @@ def mixed_rows(docs: DataFrame, plan: Mix, doc_id: str = "doc_id", text: str = "
         F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("nth").alias("_nth"), "same", "stretches"))
     this = packed.doc_id.eqNullSafe(F.col("_id")) & (packed.tie == F.col("_tie"))
     alone = packed.join(took.filter("same = 1"), this).select("_row", "text", "stretches")
-    again = packed.join(took.filter("same > 1").select("_id", "_tie").distinct(), this, "left_semi")
+    several = stage(took.filter("same > 1").select("_id", "_tie").distinct())  # a file's size is known, so few are broadcast
+    again = packed.join(several, this, "left_semi")
     numbered = _numbered(again).drop("same")
     copies = numbered.join(took, numbered.doc_id.eqNullSafe(F.col("_id")) & (numbered.tie == F.col("_tie"))
                            & (numbered.nth == F.col("_nth"))).select("_row", "text", "stretches")
