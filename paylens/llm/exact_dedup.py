@@ -23,12 +23,13 @@ KEY = ("sha", "bytes", "second")
 SALTS = 64
 
 
-def rounds_for(partitions: int, fan_in: int) -> int:
-    """Rounds needed so that there is a run for every shuffle partition."""
+def rounds_for(partitions: int, fan_in: int) -> tuple[int, int]:
+    """(rounds, fan-in): as few rounds as ``fan_in`` allows to have a run for every shuffle partition, and of these the
+    least fan-in, so that there are not many more runs than partitions."""
     rounds = 1
     while fan_in**rounds < partitions:
         rounds += 1
-    return rounds
+    return rounds, next(k for k in range(2, fan_in + 1) if k**rounds >= min(partitions, fan_in**rounds))
 
 
 def _digit(number: Column, place: int, fan_in: int) -> Column:
@@ -72,7 +73,7 @@ def merge_runs(entries: DataFrame, fan_in: int, rounds: int, last: list[Column])
 def duplicate_groups(thin: DataFrame, keep: str = "largest", fan_in: int = 8) -> DataFrame:
     """(digest columns, best, tag, n) of every text of more than one row: id and tag of the row that stays, and the size
     of the group."""
-    rounds = rounds_for(int(thin.sparkSession.conf.get("spark.sql.shuffle.partitions")), fan_in)
+    rounds, fan_in = rounds_for(int(thin.sparkSession.conf.get("spark.sql.shuffle.partitions")), fan_in)
     run = F.pmod(F.shiftright("tag", 33), F.lit(fan_in**rounds)).cast("int")
     entries = thin.select(*KEY, F.col("doc_id").alias("best"), "tag", run.alias("run"), F.lit(1).cast("long").alias("n"))
     order = {"largest": F.asc_nulls_first, "smallest": F.desc_nulls_first}[keep]("best")
