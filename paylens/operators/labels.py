@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from paylens.functions import vocab as v
 from paylens.functions.text import add_implied, clean_labels, literal_mentions
 from paylens.operators.groups import first_occurrence, interleave
+from paylens.operators.sizes import small_batches
 
 Labeller = Callable[[list[dict]], dict]
 
@@ -100,13 +101,24 @@ def apply_labeller(df: DataFrame, call: Labeller, key: str = "job_uid", title: s
 
     ``status`` is labelled, omitted (the reply leaves the id out) or failed (the call raised); only labelled rows have
     labels, so the others stay queued. After ``max_failures`` failed calls in a row a task gives up and the job fails with
-    the last error. Texts go in whole unless a limit in characters is given.
+    the last error. Texts go in whole unless a limit in characters is given. Rows reach Python in small batches; what is
+    left of one is carried into the next, so only a task's last call may have fewer rows.
     """
+    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[list[pd.DataFrame]]:
+        """The frames' rows in parts of ``size``, those of one frame together."""
+        rest = None
+        for frame in frames:
+            rows = frame if rest is None else pd.concat([rest, frame])
+            whole = len(rows) - len(rows) % size
+            rest = rows.iloc[whole:].copy()
+            yield [rows.iloc[k:k + size] for k in range(0, whole, size)]
+        if rest is not None and len(rest):
+            yield [rest]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         failures = 0
-        for frame in frames:
-            for start in range(0, len(frame), size):
-                part = frame.iloc[start:start + size]
+        for group in parts(frames):
+            for part in group:
                 payload = [{"id": i, "title": t, "text": x}
                            for i, (t, x) in enumerate(zip(part["_title"], part["_text"]))]
                 try:
@@ -126,7 +138,7 @@ def apply_labeller(df: DataFrame, call: Labeller, key: str = "job_uid", title: s
 
     sent = df.select(key, cut(title, title_chars).alias("_title"), cut(text, text_chars).alias("_text"))
     kind = df.schema[key].dataType.simpleString()
-    labelled = sent.mapInPandas(run, f"{key} {kind}, labels array<string>, status string")
+    labelled = small_batches(sent).mapInPandas(run, f"{key} {kind}, labels array<string>, status string")
     return labelled.withColumn("labels", clean_labels("labels"))
 
 
