@@ -15,11 +15,12 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paylens.functions.expr import let
+from paylens.functions.expr import let, lookup
 
 REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 LEGACY = max(len(name) for name in html5 if not name.endswith(";"))
 MOST = 0x10FFFF
+COMMON = {name: html5[name] for name in ("lt;", "gt;", "amp;", "quot;", "nbsp;", "apos;")}  # nearly all of a posting's
 
 
 @cache
@@ -67,9 +68,10 @@ def _resolved(name: Column) -> Column:
     decimal = F.regexp_extract(name, "^#([0-9]+)", 1)
     prefixes = [F.when(F.length(name) > k, F.concat(_named(F.substring(name, 1, k), True), F.substr(name, F.lit(k + 1))))
                 for k in range(LEGACY, 1, -1)]
-    return (F.when(hexadecimal != "", let(_number(hexadecimal, 16, 6), _character))
+    rare = (F.when(hexadecimal != "", let(_number(hexadecimal, 16, 6), _character))
             .when(decimal != "", let(_number(decimal, 10, 7), _character))
             .otherwise(F.coalesce(_named(name), *prefixes, F.concat(F.lit("&"), name))))
+    return F.coalesce(lookup(COMMON, name), rare)
 
 
 def unescape(text: Column) -> Column:

@@ -72,3 +72,11 @@ def test_dates(spark):
         F.unix_millis(dates.epoch_to_timestamp("a"))).first()
     assert tuple(iso) == ("2023-11-14T22:13:20.123000+00:00", "2023-11-14T22:13:20+00:00", None, 1700000000123)
     assert spark.range(1).select(dates.today()).first()[0] is not None
+
+
+def test_common_references_come_first_and_agree_with_the_standard(spark):
+    from paylens.functions import entities
+    assert all(html.unescape(f"&{n}") == text for n, text in entities.COMMON.items())
+    texts = ["&lt;b&gt; &amp;amp; &quot;x&quot; &apos;&nbsp;|", "&ltx &amp &AMP; &Lt; &lt", "&#60;&#x3e; &notit; &unknown;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(entities.unescape(F.col("t"))).collect()] == [html.unescape(t) for t in texts]
