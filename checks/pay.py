@@ -29,14 +29,15 @@ premium AS (SELECT pct.item, n, round_even(pct, 1) AS premium_pct, round_even(m,
   FROM pct JOIN mid ON pct.item = mid.item WHERE pct > 0 ORDER BY premium_pct DESC, pct.item LIMIT 10)"""
 
 
-def paid_members(spark, sf):
-    """Stored, as the latest slice is."""
-    return stage(paid(labelled_postings(spark, sf), "pay", has_salary="has_pay").select("skills", "pay", *STRATA))
+def paid_members(spark, sf, labelled=None):
+    """Stored, as the latest slice is; ``labelled`` are the labelled postings where they are stored already."""
+    labelled = labelled_postings(spark, sf) if labelled is None else labelled
+    return stage(paid(labelled, "pay", has_salary="has_pay").select("skills", "pay", *STRATA))
 
 
 @check("stratified_premium", rows(P, S, L, PREMIUM, select="SELECT * FROM premium"))
-def stratified_premium(spark, sf):
-    return pr.stratified_premium(paid_members(spark, sf), "skills", "pay", STRATA)
+def stratified_premium(spark, sf, labelled=None):
+    return pr.stratified_premium(paid_members(spark, sf, labelled), "skills", "pay", STRATA)
 
 
 REPLICATES = 1000
@@ -152,8 +153,8 @@ def top_payers(spark, sf):
     return reports.top_payers(paid(p, "pay"), employers, "pay", min_n=5).withColumn("median", F.round("median", 4))
 
 
-def _flagged_premium(spark, sf):
-    best = stratified_premium(spark, sf)
+def _flagged_premium(spark, sf, labelled=None):
+    best = stratified_premium(spark, sf, labelled)
     return best.withColumns({"ci_lo": F.when(F.col("n") % 3 == 0, -1.0).when(F.col("n") % 3 == 1, 1.0),
                              "ci_hi": F.lit(99.0)})
 

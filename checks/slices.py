@@ -88,7 +88,8 @@ def stored(spark, sf):
 @check("slice_cube", rows(*SLICES, select="SELECT * FROM charts"))
 def slice_cube(spark, sf):
     """Every chart of every region, remote or all, by every grade or all, from one cube."""
-    cube, premium = c.build_cube(stored(spark, sf), "pay"), stage(_flagged_premium(spark, sf))
+    df = stored(spark, sf)
+    cube, premium = c.build_cube(df, "pay"), stage(_flagged_premium(spark, sf, df))
     return flat(c.slice_cube(cube, premium, 2) | {"grades": c.cube_grades(cube, order=GRADES)})
 
 
@@ -97,7 +98,8 @@ def slice_cube(spark, sf):
   WHERE (region = 'remote' OR chart = 'places') AND (seniority = '2-HIGH' OR chart = 'grades')"""))
 def slice_report_all(spark, sf):
     """The whole report of one slice, read from the rows."""
-    report = jobs.slice_report(stored(spark, sf), stage(_flagged_premium(spark, sf)), 2, "remote", "2-HIGH", value="pay", order=GRADES)
+    df = stored(spark, sf)
+    report = jobs.slice_report(df, stage(_flagged_premium(spark, sf, df)), 2, "remote", "2-HIGH", value="pay", order=GRADES)
     given = {name: {"places": ["seniority"], "grades": ["region"]}.get(name, ["region", "seniority"]) for name in report}
     chosen = {"region": F.lit("remote"), "seniority": F.lit("2-HIGH")}
     return flat({name: df.withColumns({x: chosen[x] for x in given[name]}) for name, df in report.items()})

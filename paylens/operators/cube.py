@@ -1,16 +1,17 @@
 """Every interactive slice at once: any region, or remote, or all, by any grade or all.
 
-One pass counts the rows by region, remote flag, grade, what is counted (the row itself, its company, an item it holds, its
+The rows are counted by region, remote flag, grade, what is counted (the row itself, its company, an item it holds, its
 bin) and bucket of pay. These cells are small and mergeable: a slice is a sum of cells, and so is a slice over several days.
-Exact medians need one more pass: the cells tell which bucket holds a wanted rank, and only values of those buckets are
-read. The charts equal those of ``slice_report`` slice by slice.
+Exact medians need one more pass over the columns they are taken of: the cells tell which bucket holds a wanted rank, and only
+values of those buckets are kept. The charts equal those of ``slice_report`` slice by slice.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens.functions.classify import SENIORITY_ORDER
@@ -48,12 +49,27 @@ def places(df: DataFrame) -> DataFrame:
     return _grades(df.withColumn("place", F.explode(place)))
 
 
+def _members(rows: DataFrame, kind: str) -> DataFrame:
+    """Every row once per name it is counted under."""
+    if kind == "item":
+        return rows.withColumn("name", F.explode(F.array_distinct("_items"))).where(F.col("name").isNotNull())
+    return rows.withColumn("name", F.col("_company") if kind == "company" else F.lit(None).cast("string"))
+
+
+def _often(paid: DataFrame, min_n: int) -> DataFrame:
+    """Cells of names with at least ``min_n`` paid rows in all; no slice of another name can have as many. They now lie
+    together by name, so that slices of a name are counted and ordered without another shuffle."""
+    total = F.sum("_n").over(Window.partitionBy("name"))
+    return paid.withColumn("_all", total).where(F.col("_all") >= min_n).drop("_all")
+
+
 @dataclass(frozen=True)
 class Cube:
-    """``members`` are read for values of picked buckets only; ``cells`` has (base, kind, name, _bucket, n, new). A row that
-    takes no part in pay statistics has no bucket."""
+    """``rows`` has (base, _company, _items, _value, _bucket, _new) of every row and is read for values of picked buckets
+    only; ``cells`` has (base, kind, name, _bucket, n, new). A row that takes no part in pay statistics has no value and no
+    bucket."""
 
-    members: DataFrame
+    rows: DataFrame
     cells: DataFrame
 
     def of(self, kind: str) -> DataFrame:
@@ -62,11 +78,14 @@ class Cube:
     def quantiles(self, kind: str, by: list[str], expand, wanted: dict[str, Ranks], min_n: int = 1) -> DataFrame:
         """by, n and the wanted quantiles; ``expand`` turns rows with base columns into rows of slices."""
         paid = self.of(kind).where(F.col("_bucket").isNotNull()).withColumnRenamed("n", "_n")
+        if "name" in by:
+            paid = _often(paid, min_n)
         histogram = expand(paid).groupBy(*by, "_bucket").agg(F.sum("_n").alias("_n"))
         picks = stage(locate(histogram, by, wanted, min_n))
         grain = [c for c in by if c == "name"] + ["_bucket"]
-        near = join_same(self.members.where(F.col("kind") == kind), picks.select(*grain).distinct(), grain, "left_semi")
-        values = near.groupBy(*BASE, *KIND, "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
+        members = _members(self.rows.where(F.col("_value").isNotNull()), kind)
+        near = join_same(members, picks.select(*grain).distinct(), grain, "left_semi")
+        values = near.groupBy(*BASE, "name", "_bucket", "_value").agg(F.count(F.lit(1)).alias("_n"))
         inside = join_same(expand(values), picks.select(*by, "_bucket"), [*by, "_bucket"], "left_semi").groupBy(
             *by, "_bucket", "_value").agg(F.sum("_n").alias("_n"))
         return resolve(inside, picks, by, list(wanted))
@@ -77,22 +96,27 @@ class Cube:
 
 def build_cube(df: DataFrame, value: str = "salary_mid_usd", items: str = "skills", company: str = "company",
                new: str = "is_new", management: str = "is_management") -> Cube:
-    """The cells of a slice or of any table with the columns of one; ``df`` should be a stored table."""
+    """The cells of a slice or of any table with the columns of one; ``df`` should be a stored table, as it is read again
+    for every kind of name and every quantile."""
     paid = ~F.col(management) & F.col(value).isNotNull()
-    named = F.filter(F.array_distinct(F.coalesce(items, F.array().cast("array<string>"))), lambda x: x.isNotNull())
+    rows = df.select(*BASE, F.col(company).cast("string").alias("_company"), F.col(items).cast("array<string>").alias("_items"),
+                     F.when(paid, F.col(value)).alias("_value"), F.coalesce(F.col(new), F.lit(0)).alias("_new"))
+    rows = rows.withColumn("_bucket", bucket(F.col("_value")))
 
     def one(kind: str, name: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"))
 
-    nothing = F.lit(None)
-    always = F.array(one("row", nothing), one("company", F.col(company)), F.when(F.col(items).isNotNull(), one("labelled", nothing)),
-                     F.when(paid, one("bin", pay_bin(F.col(value)))))
-    counted = F.concat(F.filter(always, lambda c: c.isNotNull()), F.transform(named, lambda x: one("item", x)))
-    members = df.select(*BASE, F.explode(counted).alias("_c"), F.when(paid, F.col(value)).alias("_value"),
-                        F.coalesce(F.col(new), F.lit(0)).alias("_new")).select(*BASE, "_c.*", "_value", "_new")
-    members = members.withColumn("_bucket", bucket(F.col("_value")))
-    cells = stage(members.groupBy(*BASE, *KIND, "_bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("_new").alias("new")))
-    return Cube(members, cells)
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("_new").alias("new")]
+    plain = rows.groupBy(  # few groups, whatever the number of rows
+        *BASE, "_bucket", F.when(F.col("_value").isNotNull(), pay_bin(F.col("_value"))).alias("_bin"),
+        F.col("_items").isNotNull().alias("_labelled")).agg(*sums)
+    counted = F.array(one("row", F.lit(None)), F.when(F.col("_labelled"), one("labelled", F.lit(None))),
+                      F.when(F.col("_bin").isNotNull(), one("bin", F.col("_bin"))))
+    unnamed = plain.select(*BASE, "_bucket", "n", "new", F.explode(F.filter(counted, lambda c: c.isNotNull())).alias("_c")).select(
+        *BASE, "_c.*", "_bucket", "n", "new")
+    named = [_members(rows, kind).groupBy(*BASE, F.lit(kind).alias("kind"), "name", "_bucket").agg(*sums)
+             for kind in ("company", "item")]
+    return Cube(rows, stage(reduce(DataFrame.unionByName, named, merge_cells(unnamed))))
 
 
 def merge_cells(*parts: DataFrame) -> DataFrame:
