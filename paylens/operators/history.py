@@ -49,7 +49,8 @@ def unseen_rows(rows: DataFrame, store: str, table: str, dt: str | None = None,
 
     The key filters of the days settle most keys; days are read only where a filter hits, or where they have none.
     """
-    return rows.join(known_keys(rows, store, table, dt, only, key).known, key, "left_anti")
+    known = known_keys(rows, store, table, dt, only, key).known
+    return rows if known.isEmpty() else rows.join(known, key, "left_anti")
 
 
 def known_keys(rows: DataFrame, store: str, table: str, dt: str | None = None, only: str | None = None,

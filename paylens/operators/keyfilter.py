@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylens.operators.sizes import materialise
 
@@ -60,6 +61,8 @@ def merge(filters: DataFrame, by: list[str] | None = None) -> DataFrame:
 def _hits(keys: DataFrame, filters: DataFrame, key: str, keep: list[str]) -> DataFrame:
     """Pairs of a key and a filter that may hold it. Bitmaps are looked at inside the join and never copied out."""
     sizes = [r.slots for r in filters.select("slots").distinct().collect()]  # powers of two, so a few dozen at most
+    if not sizes:  # nothing can hit: the keys need not be read
+        return keys.sparkSession.createDataFrame([], T.StructType([keys.schema[key], *(filters.schema[c] for c in keep)]))
     placed = keys.select(F.col(key).alias("_key"), F.explode(F.array(*map(F.lit, sizes)).cast("array<bigint>")).alias("_slots"))
     placed = placed.withColumn("_slot", _slot(F.col("_key"), F.col("_slots")))
     same = (F.col("_slots") == F.col("slots")) & (F.col("_slot") == F.col("slot")) & holds(F.col("bits"), F.col("_key"))
@@ -99,6 +102,8 @@ def find_known(today: DataFrame, history: DataFrame, filters: DataFrame, covered
     exact = past.where(F.col(day).isin(hit_days)).join(candidates, [key, day], "left_semi").select(key)
     if covered is not None:
         bare = past.where(~F.col(day).isin(covered)) if covered else past
-        days = sorted({*hit_days, *(r[0] for r in bare.select(day).distinct().collect())})
-        exact = exact.unionByName(bare.join(keys, key, "left_semi").select(key))
+        bare_days = [r[0] for r in bare.select(day).distinct().collect()]
+        days = sorted({*hit_days, *bare_days})
+        if bare_days:
+            exact = exact.unionByName(bare.join(keys, key, "left_semi").select(key))
     return Found(materialise(exact.distinct()), candidates, days, past)

@@ -182,3 +182,33 @@ def test_a_replayed_batch_adds_nothing(spark, tmp_path, fx):
         ingest.stream_ingest(spark, str(landing), store, "2026-08-20", fx, str(tmp_path / mark)).awaitTermination()
     assert history.read_table(spark, store, "jobs").count() == 2
     assert history.read_table(spark, store, "snapshots").count() == 2
+
+
+def test_stream_keeps_its_state_on_disk_and_only_what_is_stored(spark, tmp_path, fx):
+    provider = f"{ingest.STATE}.providerClass"
+    land(tmp_path / "landing", "a.json", ["x", "y", "x"])
+    for own in (None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"):
+        if own:
+            spark.conf.set(provider, own)
+        stream = ingest.stream_ingest(spark, str(tmp_path / "landing"), str(tmp_path / f"store{own}"), "2026-08-20", fx,
+                                      str(tmp_path / f"mark{own}"))
+        assert spark.conf.get(provider, None) == own and not any(spark.conf.get(k, None) for k in ingest.ON_DISK if k != provider)
+        stream.awaitTermination()
+        spark.conf.unset(provider)
+        used = stream.recentProgress[0]["stateOperators"][0]["customMetrics"]
+        assert any(k.startswith("rocksdb") for k in used) != bool(own)
+        assert history.read_table(spark, str(tmp_path / f"store{own}"), "jobs").count() == 2
+    raw = jobs.target_postings(ingest.stream_postings(spark, str(tmp_path / "landing")))
+    state = ingest.keyed_state(jobs.priced_postings(raw, fx), "2026-08-20", "30 days")
+    kept = set(state.schema["posting"].dataType.fieldNames())
+    assert not kept & {"ingest_seq", "pay", "published_at_raw", "job_id"} and {"title", "salary_mid_usd", "country"} <= kept
+
+
+def test_a_look_up_that_can_find_nothing_moves_no_rows(spark, tmp_path):
+    rows = snapshots(spark, str(DAYS[1]), {"lever": 3})
+    assert history.unseen_rows(rows, str(tmp_path), "snapshots") is rows
+    history.extend_day(rows, str(tmp_path), "snapshots", str(DAYS[1]))
+    assert history.unseen_rows(rows, str(tmp_path), "snapshots").count() == 0
+    assert history.unseen_rows(rows, str(tmp_path), "snapshots", only=str(DAYS[2])) is rows
+    more = rows.unionByName(snapshots(spark, str(DAYS[2]), {"lever": 2}))
+    assert history.unseen_rows(more, str(tmp_path), "snapshots").count() == 2
